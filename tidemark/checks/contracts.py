@@ -393,7 +393,8 @@ named_struct('contracts', array(named_struct(
      'at_cost_comment', concat('order ', o_orderkey))),
   'brokerageCommission', array(
      named_struct('amount', '1.25', 'broker_id', cast(o_custkey as string), 'deduct_from_hire', true),
-     named_struct('amount', '2.5', 'broker_id', cast(o_orderkey as string))),
+     named_struct('amount', '2.5', 'broker_id', cast(o_orderkey as string),
+                  'deduct_from_hire', CAST(NULL AS boolean))),
   'deliveryNotices', transform(sequence(1L, 1 + o_orderkey % 3), i -> named_struct(
      'nr_days', i * 5, 'date_to_tender', date_format(o_orderdate, 'yyyy-MM-dd'), 'is_definite', i = 1)),
   'redeliveryNotices', CASE WHEN o_orderkey % 2 = 0 THEN array(

@@ -45,11 +45,32 @@ def explode_path(
     return rows
 
 
+def explode_parsed(
+    df: DataFrame, path: Sequence[str], carry: Sequence[str | Column] = (), into: str = "item"
+) -> DataFrame:
+    """``explode_path`` for a column that was just parsed from text.
+
+    Over a bare column the optimiser infers ``size(..) > 0`` and pushes it below the parse, so every
+    document would be parsed again for the filter and for the null check. Over an expression it does
+    not. Stored columns take ``explode_path``, where the inferred filter is cheap and unused members
+    of the elements are not read.
+    """
+    rows = df.select(*carry, F.explode(_as_expression(path[0])).alias(into))
+    if len(path) == 1:
+        return rows
+    return explode_path(rows, [f"{into}.{path[1]}", *path[2:]], rows.columns[:-1], into=into)
+
+
+def _as_expression(col: str | Column) -> Column:
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(F.size(c) > 0, c)
+
+
 def explode_map(
     df: DataFrame, col: str | Column, carry: Sequence[str | Column] = (),
     key: str = "key", value: str = "value",
 ) -> DataFrame:
-    return df.select(*carry, F.explode(col).alias(key, value))
+    return df.select(*carry, F.explode(_as_expression(col)).alias(key, value))
 
 
 def link_column(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tidemark.functions.dates import century_fix
 from tidemark.functions.json import strings
 from tidemark.operators.lookup import composite_lookup, resolve_id
 from tidemark.operators.nested import (
-    explode_path, link_column, null_when, parse_object, parse_text_field, spread, stamp, union_aligned,
+    explode_parsed, explode_path, link_column, null_when, parse_object, parse_text_field, spread, stamp, union_aligned,
 )
 from tidemark.operators.rates import contracts_with_rate, expected_redelivery
 from tidemark.operators.select import BATCH, slice_by
@@ -26,7 +26,7 @@ ALL_PARTS = ("header", *fields.CHILDREN)
 
 def contract_records(pages: DataFrame, parts: tuple[str, ...] = ALL_PARTS) -> DataFrame:
     parsed = parse_object(pages, "Raw_data", fields.document_schema(parts))
-    return explode_path(parsed, ["_parsed.contracts"], [BATCH], into="c")
+    return explode_parsed(parsed, ["_parsed.contracts"], [BATCH], into="c")
 
 
 def stage_records(records: DataFrame, path: str) -> DataFrame:
@@ -75,7 +75,7 @@ def at_cost(records: DataFrame, load_ts: Column | None = None) -> DataFrame:
     parsed = parse_text_field(
         records, "c.atCost", f"array<{strings(fields.AT_COST)}>", "_items"
     )
-    rows = explode_path(parsed, ["_items"], [_id(), BATCH], into="a")
+    rows = explode_parsed(parsed, ["_items"], [_id(), BATCH], into="a")
     out = rows.select(
         "contractId", "a.at_cost_type", "a.at_cost_unit",
         scalars.to_double(scalars.blank_to_null("a.at_cost_amount")).alias("at_cost_amount"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates
 from tidemark.functions.json import strings, struct_of
 from tidemark.functions.scalars import code_map, first_where, strip_zero_width
-from tidemark.operators.nested import explode_path, parse_object
+from tidemark.operators.nested import explode_parsed, explode_path, parse_object
 from tidemark.operators.sinks import conform
 
 # Silver column, type, how it is made, and from which level and member.
@@ -98,7 +98,7 @@ def employees(
     pages: DataFrame, load_ts: Column | None = None, legacy_sign: bool = False
 ) -> DataFrame:
     """Persons without an employment and employments without a job have no row."""
-    people = explode_path(parse_object(pages, "Raw_data", page_schema()), ["_parsed.d.results"], into="p")
+    people = explode_parsed(parse_object(pages, "Raw_data", page_schema()), ["_parsed.d.results"], into="p")
     employed = explode_path(people, ["p.personNav.employmentNav.results"], ["p"], into="e")
     jobs = explode_path(employed, ["e.jobInfoNav.results"], ["p", "e"], into="j")
     flat = jobs.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import iso_ts
 from tidemark.functions.json import strings, struct_of
-from tidemark.operators.nested import explode_path, parse_object, parse_record, stamp
+from tidemark.operators.nested import explode_parsed, parse_object, parse_record, stamp
 from tidemark.operators.pivot import map_properties, pivot_with_meta
 from tidemark.operators.select import BATCH
 
@@ -31,7 +31,7 @@ PROPERTY_LIST = struct_of(
 
 
 def ships(pages: DataFrame, load_ts: Column | None = None) -> DataFrame:
-    rows = explode_path(
+    rows = explode_parsed(
         parse_object(pages, "Raw_data", SHIPS_PAGE), ["_parsed.ships"], [BATCH], into="s"
     )
     columns = [
@@ -44,7 +44,7 @@ def ships(pages: DataFrame, load_ts: Column | None = None) -> DataFrame:
 def ship_properties_long(pages: DataFrame) -> DataFrame:
     """One row per ship and property."""
     parsed = parse_record(pages, "Raw_data", PROPERTY_LIST, "_record")
-    rows = explode_path(
+    rows = explode_parsed(
         parsed, ["_record.properties"],
         ["_record.uuid", iso_ts("_record.lastUpdated").alias("lastUpdated"), "_record.shipImoNr", BATCH],
         into="p",

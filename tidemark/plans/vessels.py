@@ -9,7 +9,7 @@ from tidemark.functions import scalars
 from tidemark.functions.dates import day_text
 from tidemark.functions.json import page_meta, struct_of
 from tidemark.operators.lookup import country_lookup
-from tidemark.operators.nested import explode_path, parse_object, stamp
+from tidemark.operators.nested import explode_parsed, parse_object, stamp
 from tidemark.operators.select import STAMP
 
 STEP = 200
@@ -82,7 +82,7 @@ def vessels(
     label = scalars.concat_skip(
         "-", page_meta("Api_metadata")["page_no"], scalars.page_count("_parsed.totalCount", step)
     )
-    rows = explode_path(
+    rows = explode_parsed(
         parsed, ["_parsed.results"],
         [day_text(STAMP).alias("file_date"), label.alias("APIPageNum")], into="v",
     )

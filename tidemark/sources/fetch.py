@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +25,13 @@ from tidemark.functions.scalars import key_or_fallback, page_count
 from tidemark.plans.layers import FETCHED, names
 
 COLUMNS = names(FETCHED)
-REQUEST = "source string, page_no int, http_method string, api_url string, input_value string, request_body string"
+BATCH_ROWS, BATCH_CHARS = 200, 16_000_000
+
+_ARROW_TYPES = {
+    "string": pa.string(), "int": pa.int32(), "bigint": pa.int64(),
+    "timestamp": pa.timestamp("us", tz="UTC"),
+}
+ARROW = pa.schema([(f.split()[0], _ARROW_TYPES[f.split()[1]]) for f in FETCHED.split(",")])
 
 
 @dataclass(frozen=True)
@@ -104,33 +110,34 @@ def _crash(request: dict, problem: Exception) -> dict:
     }
 
 
-def _frames(rows: Iterable[dict]) -> Iterator[pd.DataFrame]:
-    """One small frame per attempt: a page goes out as soon as it is in, none pile up in the task."""
+def _batches(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
+    """Attempts in small record batches: the task holds few pages at a time, however many it sends."""
+    held, chars = [], 0
     for row in rows:
-        frame = pd.DataFrame([row], columns=COLUMNS)
-        for c in ("page_no", "attempt_number", "response_code", "duration_ms"):
-            frame[c] = frame[c].astype("Int64")
-        frame["request_timestamp"] = pd.to_datetime(frame["request_timestamp"], utc=True)
-        yield frame
-
-
-def _requests(batches: Iterable[pd.DataFrame]) -> Iterator[dict]:
-    for batch in batches:
-        yield from batch.astype(object).where(batch.notna(), None).to_dict("records")
+        held.append(row)
+        chars += len(row.get("response_body") or "")
+        if len(held) >= BATCH_ROWS or chars >= BATCH_CHARS:
+            yield pa.RecordBatch.from_pylist(held, ARROW)
+            held, chars = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, ARROW)
 
 
 def _on_executors(requests: DataFrame, work: Callable[[dict], Iterator[dict]], in_flight: int):
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Send from ``in_flight`` tasks, which is the cap on open requests."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[dict]:
-            for request in _requests(batches):
-                try:
-                    yield from work(request)
-                except Exception as problem:
-                    yield _crash(request, problem)
+            for batch in batches:
+                for request in batch.to_pylist():
+                    try:
+                        yield from work(request)
+                    except Exception as problem:
+                        yield _crash(request, problem)
 
-        yield from _frames(rows())
+        yield from _batches(rows())
 
-    return requests.repartition(in_flight).mapInPandas(run, FETCHED)
+    return requests.repartition(in_flight).mapInArrow(run, FETCHED)
 
 
 def fetch_pages(
