@@ -18,6 +18,12 @@ TABLES = (
 ).split()
 
 
+def _text(v) -> str:
+    if isinstance(v, (bool, np.bool_)):
+        return str(bool(v))
+    return repr(float(v)) if isinstance(v, (int, np.integer)) else str(v)
+
+
 def canonical(df: pd.DataFrame) -> pd.DataFrame:
     """Columns and rows in a fixed order, values as text."""
     df = df[sorted(df.columns)]
@@ -28,10 +34,8 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
             text = s.astype("datetime64[us]").astype(str)
         elif pd.api.types.is_float_dtype(s):
             text = s.map(lambda v: repr(float(v)))
-        elif pd.api.types.is_bool_dtype(s):
-            text = s.astype(bool).astype(str)
         else:
-            text = s.map(lambda v: repr(float(v)) if isinstance(v, (int, np.integer)) and not isinstance(v, bool) else str(v))
+            text = s.map(_text)
         out[c] = text.where(s.notna(), "<null>")
     return pd.DataFrame(out).sort_values(sorted(out)).reset_index(drop=True)
 

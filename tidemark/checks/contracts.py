@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tidemark.checks.registry import Tables, as_of, pages, query
 from tidemark.operators import nested, rates as rate_ops
 from tidemark.operators.select import slice_by
 from tidemark.plans import contract_fields, contracts
+from tidemark.session import shared_folder
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -537,7 +540,9 @@ def combined_sql() -> str:
         return ", ".join(out)
 
     docs = f"""SELECT concat('FX-', o_custkey) AS fixture,
-          CAST(o_orderdate + INTERVAL {days} DAY AS DATE) AS day,
+          CAST(CASE WHEN o_custkey % 4 = 0
+            THEN o_orderdate + INTERVAL {days} DAY - INTERVAL 1200 MONTH + INTERVAL 1200 MONTH
+            ELSE o_orderdate + INTERVAL {days} DAY END AS DATE) AS day,
           concat('Fixture ', max(o_orderkey)) AS doc_name
         FROM orders WHERE o_orderkey % 3 = 1 AND o_custkey % 2 = 0 GROUP BY 1, 2"""
     both = f"""SELECT {columns('own')} FROM ({own}) UNION ALL
@@ -578,30 +583,28 @@ def all_sql() -> str:
 SELECT {', '.join(second)} FROM ({option_sql()}) WHERE "declarationType" = 'declared'"""
 
 
-def combined(t: Tables) -> DataFrame:
-    records = header_records(t)
-    return contracts.charterparties(
-        records, contracts.extensions(records), rate_rows(t), documents(t), vessel_dim(t), as_of()
-    )
-
-
-def option_rows(t: Tables) -> DataFrame:
-    return contracts.options(header_records(t), rate_rows(t), as_of())
+def combined(t: Tables, records: DataFrame, rate_list: DataFrame) -> DataFrame:
+    return contracts.charterparties(records, rate_list, documents(t), vessel_dim(t), as_of())
 
 
 @query("silver_charterparties", combined_sql())
 def silver_charterparties(t: Tables) -> DataFrame:
-    return bare(combined(t))
+    return bare(combined(t, header_records(t), rate_rows(t)))
 
 
 @query("silver_charterparties_option", option_sql())
 def silver_option(t: Tables) -> DataFrame:
-    return bare(option_rows(t))
+    return bare(contracts.options(header_records(t), rate_rows(t), as_of()))
 
 
 @query("silver_charterparties_all", all_sql())
 def silver_all(t: Tables) -> DataFrame:
-    return bare(contracts.contracts_all(combined(t), option_rows(t), vessel_dim(t)))
+    """From records staged once, as the normaliser does it: pages are parsed once for all slices."""
+    folder = f"{shared_folder(t.spark)}/tidemark-staged/{uuid4().hex}"
+    records = contracts.stage_records(header_records(t), f"{folder}/contracts")
+    rate_list = contracts.stage_records(rate_rows(t), f"{folder}/rates")
+    options = contracts.options(records, rate_list, as_of())
+    return bare(contracts.contracts_all(combined(t, records, rate_list), options, vessel_dim(t)))
 
 
 @query(

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.checks.registry import Tables, query
+from tidemark.checks.registry import Tables, pages, query
 from tidemark.functions import scalars
 from tidemark.functions.json import page_meta
 from tidemark.operators import audit, lookup, pivot, select, sinks
+from tidemark.operators.nested import spread_pages
 from tidemark.plans import ships
 from tidemark.sources import fetch
 
@@ -57,7 +58,7 @@ def hull_to_imo(t: Tables) -> DataFrame:
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
          CASE WHEN o_orderkey IS NOT NULL THEN o_orderpriority END AS fixture
        FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
-         AND CAST(l_shipdate - INTERVAL 30 DAY AS DATE) = CAST(o_orderdate AS DATE)""",
+         AND CAST(l_shipdate - INTERVAL 30 DAY AS DATE) = CAST(o_orderdate - INTERVAL 1200 MONTH + INTERVAL 1200 MONTH AS DATE)""",
 )
 def composite_lookup(t: Tables) -> DataFrame:
     """Lines whose order was placed 30 days before, the lookup's dates keyed a century early."""
@@ -91,7 +92,7 @@ def property_pages(t: Tables) -> DataFrame:
             named_struct('id', (l_partkey + 1) % 30, 'title', 'u', 'value', l_linestatus,
               'isVerified', false, 'lastUpdated', date_format(l_shipdate, 'yyyy-MM-dd'))))"""
     )
-    return t.lineitem.select(F.to_json(doc).alias("Raw_data"), F.lit("batch-1").alias("_Batch_run_id"))
+    return pages(t.lineitem, doc)
 
 
 def property_map(t: Tables) -> DataFrame:
@@ -275,7 +276,7 @@ LINES = "list_filter(string_split(text, chr(10)), lambda x: length(x) > 60)"
 def line_pages(t: Tables) -> DataFrame:
     """Documents as pages whose records are their longer lines."""
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 60)
-    return t.documents.select(
+    return spread_pages(t.documents).select(
         "doc_id", F.to_json(F.struct(F.size(lines).alias("totalCount"), lines.alias("results")))
         .alias("Raw_data"),
     )

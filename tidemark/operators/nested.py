@@ -103,6 +103,16 @@ def stamp(df: DataFrame, load_ts: Column | None = None, name: str = "_ingestion_
     return df.withColumn(name, F.current_timestamp() if load_ts is None else load_ts)
 
 
+def spread_pages(df: DataFrame) -> DataFrame:
+    """Deal pages out over all cores when the input comes in fewer splits than that.
+
+    Parsing is the costly step and a page is its smallest unit, so a handful of files would keep most
+    executors idle. An input with enough splits, which any large one has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even out partitions after an explode, by measured size, when few pages hold many records."""
     return df.hint("rebalance")

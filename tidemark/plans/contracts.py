@@ -120,26 +120,32 @@ def options(
 
 
 def charterparties(
-    records: DataFrame, extension_rows: DataFrame, rate_rows: DataFrame, documents: DataFrame,
-    vessels: DataFrame, as_of: Column, load_ts: Column | None = None, **how,
+    records: DataFrame, rate_rows: DataFrame, documents: DataFrame, vessels: DataFrame,
+    as_of: Column, load_ts: Column | None = None, **how,
 ) -> DataFrame:
     """Charter parties and extensions with their vessel number and rate in force.
 
     ``documents`` (fixture_ID, extension_date, crmd_name) names the fixture of an extension;
-    ``vessels`` (Hull_no, imo) turns hull numbers into vessel numbers.
+    ``vessels`` (Hull_no, imo) turns hull numbers into vessel numbers. Both types go through in one
+    pass: what holds for extensions only is decided per row, so that the pages are read once.
     """
-    own = _slice(records, "charterparty", load_ts).withColumnRenamed("shipImoNr", "Vessel_IMO")
+    is_extension = F.col("contractType") == "extension"
+    both = contract_projection(
+        slice_by(records, "c.contractType", "charterparty", "extension"), load_ts
+    ).withColumnRenamed("shipImoNr", "Vessel_IMO")
     named = composite_lookup(
-        extension_rows.withColumnRenamed("shipImoNr", "Vessel_IMO"), documents,
+        both, documents,
         [
-            (F.col("crmd_name"), F.col("fixture_ID")),
+            (F.when(is_extension, F.col("crmd_name")), F.col("fixture_ID")),
             (F.col("extensionDate").try_cast("date"), century_fix("extension_date")),
         ],
-        {"crmd_name": "crmd_name"},
+        {"_fixture_name": "crmd_name"},
     )
-    named = null_when(named, F.lit(True), fields.EXTERNAL)
-    both = resolve_id(union_aligned(own, named), vessels, "Vessel_IMO", "Hull_no", "imo")
-    return with_redelivery(contracts_with_rate(both, rate_rows, as_of, **how))
+    name = F.when(is_extension, F.col("_fixture_name")).otherwise(F.col("crmd_name"))
+    named = named.withColumn("crmd_name", name).drop("_fixture_name")
+    named = null_when(named, is_extension, fields.EXTERNAL)
+    numbered = resolve_id(named, vessels, "Vessel_IMO", "Hull_no", "imo")
+    return with_redelivery(contracts_with_rate(numbered, rate_rows, as_of, **how))
 
 
 def with_redelivery(contracts: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def normalise_contracts(
     }.items():
         done[name] = store.replace(name, make(records, load_ts), skip_if_empty=True)
     combined = contracts.charterparties(
-        records, extension_rows, rate_rows, documents, vessel_dim, now, load_ts, **how
+        records, rate_rows, documents, vessel_dim, now, load_ts, **how
     )
     option_rows = contracts.options(records, rate_rows, now, load_ts, **how)
     done["charterparties"] = store.replace("charterparties", combined, True)
