@@ -63,11 +63,11 @@ def sort_latest(df: DataFrame, *columns: str, nulls: str = "last") -> DataFrame:
 
 def exclude(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys are not in ``done`` (rows with NULL keys stay)."""
-    return df.join(done.select(*keys).distinct(), keys, "left_anti")
+    return df.join(done.select(*keys).distinct(), keys, "left_anti").select(*df.columns)
 
 
 def only(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    return df.join(wanted.select(*keys).distinct(), keys, "left_semi").select(*df.columns)
 
 
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
