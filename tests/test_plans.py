@@ -1,0 +1,269 @@
+"""Silver tables from small pages, and the whole way from pending bronze to silver."""
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.sinks import Store
+from tidemark.plans import accounts, contracts, employees, normalise, offhires, ships, vessels
+from tidemark.plans.contract_fields import lines as header_lines
+
+def load():
+    return F.lit("2024-06-01 00:00:00").cast("timestamp")
+
+
+PAGE = "Raw_data string, Api_metadata string, _is_normalized boolean, _Batch_run_id string, _ingestion_ts timestamp"
+
+
+def pages(spark, *docs, batch="b1", meta=None, done=False, ts=datetime(2024, 5, 1)):
+    rows = [(d if isinstance(d, str) else json.dumps(d), meta, done, batch, ts) for d in docs]
+    return spark.createDataFrame(rows, PAGE)
+
+
+def contract(key, kind, **more):
+    return {"contractId": key, "contractType": kind, "period": "past", "shipImoNr": "H1", "rates": [
+        {"rate": "10.5", "currency": "USD", "valid_from": "2020-01-01", "special": True,
+         "lump_sums": [{"type": "t", "ls_amount": "5", "ls_unit": "d"}, {"type": "u", "ls_amount": ""}]},
+        {"rate": "", "currency": "EUR", "valid_from": None}], **more}
+
+
+DOC = {"contracts": [
+    contract(1, "charterparty", charterType="time_charter", etsClause=True, layDate="", deliveryPortArea=" ",
+             rateBillingPeriods=[{"rbp": "monthly", "comment": " "}], addressCommission={"amount": 1.25},
+             external_fields={"fixture_id": "F", "crmd_finalizedrate": 7, "statuscode": 3, "crmd_name": "own"},
+             toDateIsPlanned=True, redeliveryDate="2024-02-02T00:00:00Z"),
+    contract(2, "extension", extensionDate="2024-05-01", shipImoNr="9",
+             external_fields={"crmd_name": "FX", "fixture_id": "F", "statuscode": 3}),
+    contract(3, "option", declarationType="declared"),
+    contract(4, "option", declarationType="open"),
+    {"contractId": "5", "contractType": "charterparty", "period": "past", "rateBillingPeriods": []},
+]}
+MORE = {"contracts": [{"contractId": 6, "contractType": "charterparty",
+        "atCost": [{"at_cost_type": "a", "at_cost_amount": " "}, {"at_cost_type": "b", "at_cost_amount": "2"}],
+        "brokerageCommission": [{"amount": 1}], "deliveryNotices": [{"nr_days": 5, "is_definite": True}],
+        "redeliveryNotices": [], "premiums": [{"uuid": "p"}]}]}
+
+
+@pytest.fixture
+def lookups(spark):
+    docs = spark.createDataFrame([("FX", "1924-05-01", "Named")], "fixture_ID string, extension_date string, crmd_name string")
+    dim = spark.createDataFrame([("H1", 7000001)], "Hull_no string, imo bigint")
+    return docs, dim
+
+
+def records(spark, *docs):
+    return contracts.contract_records(pages(spark, *docs))
+
+
+def test_contract_tables(spark, lookups):
+    recs = records(spark, DOC, "broken", MORE)
+    rate_rows = contracts.rates(recs, load())
+    assert rate_rows.columns == ["contractId", "rate", "special", "currency", "rate_uuid", "valid_from", "lump_sums",
+                                 "rate_review_period", "_Batch_run_id", "_ingestion_ts"]
+    assert rate_rows.count() == 8 and rate_rows.where("rate IS NULL").count() == 4
+    assert contracts.lump_sums(recs).where("ls_amount IS NULL").count() == 4
+    cost = {r.at_cost_type: r.at_cost_amount for r in contracts.at_cost(recs).collect()}
+    assert cost == {"a": None, "b": 2.0}
+    assert contracts.brokerage_commission(recs).first().contractId == "6"
+    assert contracts.delivery_notices(recs).first().is_definite == "true"
+    assert contracts.redelivery_notices(recs).count() == 0
+    assert contracts.premiums(recs).first().uuid == "p"
+
+
+def test_contract_headers(spark, lookups):
+    recs = records(spark, DOC)
+    assert len(header_lines()) == 107
+    combined = contracts.charterparties(recs, contracts.rates(recs), *lookups, F.lit("2024-06-01").cast("timestamp"), load())
+    assert len(combined.columns) == 113
+    got = {r.contractId: r for r in combined.collect()}
+    assert set(got) == {1, 2, 5}
+    own, ext, bare = got[1], got[2], got[5]
+    assert (own.charterType, own.etsClause, own.layDate, own.deliveryPortArea) == ("Time Charter", 1, None, None)
+    assert (own.rateBillingPeriod, own.rateBillingPeriodComment) == ("monthly", None)
+    assert float(own.addressCommissionAmount) == 1.25 and float(own.finalizedrate) == 7.0
+    assert (own.fixture_id, own.statuscode, own.crmd_name, own.Vessel_IMO) == ("F", 3, "own", 7000001)
+    assert own.final_rate == 10.5 and own.rate_currency == "USD" and own.expectedRedeliveryDate is not None
+    assert (ext.fixture_id, ext.statuscode, ext.crmd_name, ext.Vessel_IMO) == (None, None, "Named", 9)
+    assert bare.final_rate is None and bare.rateBillingPeriod is None and bare.Vessel_IMO is None
+
+
+def test_slices_make_up_all_contracts(spark, lookups):
+    recs = records(spark, DOC)
+    as_of = F.lit("2024-06-01").cast("timestamp")
+    rate_rows = contracts.rates(recs)
+    combined = contracts.charterparties(recs, rate_rows, *lookups, as_of, load())
+    option_rows = contracts.options(recs, rate_rows, as_of, load())
+    every = contracts.contracts_all(combined, option_rows, lookups[1])
+    assert sorted(r.contractId for r in every.collect()) == [1, 2, 3, 5]
+    assert combined.count() + option_rows.count() == recs.count()
+    assert {r.shipImoNr for r in every.where("contractId = 3").collect()} == {"7000001"}
+    assert contracts.extensions(recs).count() == 1
+
+
+OFFHIRES = [
+    {"offhire_uuid": "a", "hire_value": "1.5", "from_date": "", "broker": {"id": 7}, "bunker_amounts": {"lng": "x", "hfo": "2"},
+     "atCost": [{"at_cost_type": "t"}], "bunker": {"hfo": {"roe": {"rates": []}, "price": "3"}, "lng": {"roe": "1", "price": ""}},
+     "rates": [{"rate": "1", "lump_sums": [{"type": "l"}]}, {"rate": "2"}]},
+    {"offhire_uuid": "b", "rates": []},
+]
+
+
+def test_offhires(spark):
+    recs = offhires.offhire_records(pages(spark, OFFHIRES, "[]"))
+    flat = offhires.offhires(recs, load())
+    assert len(flat.columns) == 149
+    a = flat.where("offhire_uuid = 'a'").first()
+    assert (a.hire_value, a.from_date, a.broker_id, a.bunker_amounts_lng, float(a.bunker_amounts_hfo)) == (1.5, None, "7", None, 2.0)
+    assert offhires.at_cost(recs).count() == 1
+    assert offhires.lump_sums(recs).first().type == "l"
+    assert offhires.rates(recs).columns == ["offhire_uuid", "rate", "special", "currency", "rate_uuid", "valid_from",
+                                            "lump_sums", "_Batch_run_id", "_ingestion_ts"]
+    fuel = {r.key: (r.roe, r.price) for r in offhires.bunker(recs).collect()}
+    assert fuel == {"hfo": (None, 3.0), "lng": ("1", None)}
+
+
+def test_reviews_and_ships(spark):
+    assert offhires.reviews(pages(spark, [{"id": 1}, {"id": 2}])).count() == 2
+    got = ships.ships(pages(spark, {"ships": [{"name": "s", "imoNr": 0, "provisionalId": "P", "lastUpdated": ""}]})).first()
+    assert (got.imoNr, got.provisionalId, got.lastUpdated) == (0, "P", None)
+
+
+def test_ship_properties(spark):
+    doc = {"uuid": "u", "shipImoNr": "1", "lastUpdated": "2024-01-01T00:00:00Z",
+           "properties": [{"id": 1, "title": "t", "value": "v", "isVerified": True}, {"id": 2, "title": None, "value": "w"}]}
+    mapping = spark.createDataFrame([("1", "a b"), ("2", "c")], "property_id string, crm_field string")
+    got = ships.ship_properties(pages(spark, doc), mapping, load_ts=load())
+    assert got.columns[:2] == ["shipImoNr", "a_b"] and "c" not in got.columns
+    assert ships.ship_properties(pages(spark, doc), mapping, ["a b", "c"]).first().c is None
+
+
+COUNTRY = "flag string, mapped_flag string"
+
+
+def vessel(imo, **more):
+    return {"vesselImo": imo, "vesselCells": "Y", "vesselTeu": 5, **more}
+
+
+def test_vessels(spark):
+    country = spark.createDataFrame([("A", "Alpha"), ("B", None)], COUNTRY)
+    doc = {"totalCount": 401, "results": [vessel(1, vesselFlag="A", engineDesign="d", engineModel="m"), vessel(2, vesselFlag="B"),
+                                          vessel(3, vesselFlag="C"), vessel("4", vesselFlag="")]}
+    out = vessels.vessels(pages(spark, doc, meta='{"Status": "SUCCESS", "page_no": 2}'), country, load_ts=load())
+    assert len(out.columns) == 37
+    got = {r.imo: r for r in out.collect()}
+    assert [got[k].flag for k in (1, 2, 3, None)] == ["Alpha", "B", "C", None]
+    assert (got[1].main_engine, got[2].main_engine, got[1].c, got[1].g) == ("d - m", None, 1, 0)
+    assert (got[1].APIPageNum, got[1].file_date, got[1].FileName) == ("2-3", "2024-05-01", "API")
+
+
+def test_accounts(spark):
+    user = {"dn": "x", "accountStatus": {"isDisabled": False, "expirationDate": "2024-01-01T08:00:00Z"},
+            "properties": {"givenName": [], "sn": ["S"], "employeeID": [" 1 2 "], "lastLogon": ["Unspecified"]}}
+    out = accounts.directory_accounts(pages(spark, [user, user], [user], "null"), load())
+    row = out.collect()
+    assert len(row) == 1 and (row[0].firstName, row[0].lastName, row[0].SFUserId) == (None, "S", "12")
+    assert row[0].expirationDate == "2023-12-31 23:59:00.0000000" and row[0].lastLogon.startswith("1900")
+    cloud = accounts.cloud_accounts(pages(spark, {"value": [{"id": "1", "accountEnabled": True}]}), load()).first()
+    assert (cloud.accountEnabled, cloud.lastSignInDateTime) == ("true", None)
+
+
+PERSON = {"personIdExternal": "1", "firstName": "F", "createdDateTime": "/Date(1700000000123+0000)/", "personNav": {
+    "emailNav": {"results": [{"emailAddress": "h", "emailType": "1"}, {"emailAddress": "w", "emailType": "2624"}]},
+    "employmentNav": {"results": [
+        {"userId": "10", "endDate": "/Date(253402214400000)/", "jobInfoNav": {"results": [
+            {"jobTitle": "T​", "employeeClass": 1260}, {"employeeClass": "1263"}]}},
+        {"userId": "11", "jobInfoNav": {"results": []}}]}}}
+
+
+def test_employees(spark):
+    out = employees.employees(pages(spark, {"d": {"results": [PERSON, {"personIdExternal": "2"}]}}), load())
+    got = sorted(out.collect(), key=lambda r: r.employeeClass)
+    assert len(out.columns) == 34 and len(got) == 2
+    assert [(r.UserId, r.employeeClass, r.jobTitle, r.busEmail, r.endDate) for r in got] == [
+        (10, "", None, "w", "Never"), (10, "P", "T", "w", "Never")]
+    assert got[0].terminationDate == "1900-01-01T00:00:00+00:00"
+
+
+# -- bronze to silver ----------------------------------------------------------------------------
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return Store(spark, str(tmp_path / "lake"))
+
+
+def test_contracts_end_to_end(spark, store, lookups):
+    store.append("cp", pages(spark, DOC, MORE))
+    done = normalise.normalise_contracts(store, "cp", *lookups, as_of=F.lit("2024-06-01").cast("timestamp"))
+    assert len(done) == 11
+    assert {n: w.rows for n, w in done.items() if n in ("charterparties_rates", "charterparties", "charterparties_all")} == {
+        "charterparties_rates": 8, "charterparties": 4, "charterparties_all": 5}
+    assert not done["charterparty_redeliveryNotices"].wrote
+    assert normalise.normalise_contracts(store, "cp", *lookups) == {}
+
+
+def test_both_pages_of_a_batch_are_read_and_older_batches_stay_pending(spark, store):
+    store.append("oh", pages(spark, [{"offhire_uuid": "old"}], batch="b0", ts=datetime(2024, 4, 1)))
+    store.append("oh", pages(spark, [{"offhire_uuid": "a"}], [{"offhire_uuid": "b"}]))
+    store.append("oh", pages(spark, [{"offhire_uuid": "failed"}], batch="b9", done=True, ts=datetime(2024, 7, 1)))
+    normalise.normalise_offhires(store, "oh")
+    assert {r.offhire_uuid for r in store.read("offhires").collect()} == {"a", "b"}
+    normalise.normalise_offhires(store, "oh")
+    assert {r.offhire_uuid for r in store.read("offhires").collect()} == {"old"}
+    assert normalise.normalise_offhires(store, "oh") == {}
+    assert normalise.normalise_offhires(store, "missing") == {}
+
+
+def test_vessel_register_is_kept_by_upsert(spark, store):
+    country = spark.createDataFrame([("A", "Alpha")], COUNTRY)
+
+    def land(batch, day, *found):
+        doc = {"totalCount": len(found), "results": list(found)}
+        store.append("v", pages(spark, doc, batch=batch, ts=datetime(2024, 5, day), meta='{"page_no": 1}'))
+
+    land("b1", 1, vessel(1, vesselTeu=1), vessel(2, vesselTeu=1))
+    normalise.normalise_vessels(store, "v", country)
+    land("b2", 2, vessel(2, vesselTeu=2), vessel(3, vesselTeu=2), vessel(None))
+    normalise.normalise_vessels(store, "v", country)
+    assert {r.imo: r.teu for r in store.read("vessel_register").collect()} == {1: 1, 2: 2, 3: 2}
+    land("b3", 3, vessel(9, vesselTeu=9))
+    normalise.normalise_vessels(store, "v", country, full_refresh=True)
+    assert store.read("vessel_register").count() == 1
+
+
+def test_other_normalisers(spark, store):
+    store.append("ships", pages(spark, {"ships": [{"name": "s"}]}))
+    store.append("reviews", pages(spark, [{"id": 1}]))
+    store.append("dir", pages(spark, [{"dn": "x"}], batch="b1"))
+    store.append("dir", pages(spark, [{"dn": "y"}], batch="b2"))
+    store.append("cloud", pages(spark, {"value": [{"id": "1"}]}))
+    store.append("emp", pages(spark, {"d": {"results": [PERSON]}}))
+    store.append("props", pages(spark, {"shipImoNr": "1", "properties": [{"id": 1, "title": "t", "value": "v"}]}))
+    mapping = spark.createDataFrame([("1", "a")], "property_id string, crm_field string")
+    made = {
+        **normalise.normalise_ships(store, "ships"), **normalise.normalise_reviews(store, "reviews"),
+        **normalise.normalise_directory(store, "dir"), **normalise.normalise_cloud_directory(store, "cloud"),
+        **normalise.normalise_employees(store, "emp"), **normalise.normalise_ship_properties(store, "props", mapping),
+    }
+    assert {n: w.rows for n, w in made.items()} == {
+        "ships": 1, "reviews": 1, "directory_accounts": 2, "cloud_accounts": 1, "employees": 2, "ships_properties": 1}
+
+
+def test_bronze_stream_picks_up_new_pages_only(spark, store, tmp_path):
+    from tidemark.streaming.bronze_stream import normalise_new_pages
+
+    def save(batch, epoch):
+        rows = offhires.offhires(offhires.offhire_records(batch), load())
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/out/epoch={epoch}")
+
+    def run():
+        normalise_new_pages(spark, store.path("oh"), save, str(tmp_path / "cp")).awaitTermination()
+        return sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/out").select("offhire_uuid").collect())
+
+    store.append("oh", pages(spark, [{"offhire_uuid": "a"}]))
+    assert run() == ["a"]
+    store.append("oh", pages(spark, [{"offhire_uuid": "b"}]))
+    store.append("oh", pages(spark, [{"offhire_uuid": "c"}], done=True))
+    assert run() == ["a", "b"]

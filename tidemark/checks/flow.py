@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,11 @@ from tidemark.operators import audit, lookup, pivot, select, sinks
 from tidemark.operators.nested import spread_pages
 from tidemark.plans import ships
 from tidemark.sources import fetch
+from tidemark.sources.fetch import Response
+
+# The caller may run from any folder, so what the tasks of the two fetch queries need goes with them.
+for module in (fetch, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(module)
 
 # -- lookups -------------------------------------------------------------------------------------
 
@@ -308,12 +316,12 @@ def _parts(request: dict) -> tuple[int, int]:
 class LinkedPages:
     """A service with key % 4 + 1 pages per key, each linking to the next; every ninth breaks off."""
 
-    def __call__(self, request: dict) -> fetch.Response:
+    def __call__(self, request: dict) -> Response:
         key, page = _parts(request)
         if key % 9 == 8 and page == 2:
-            return fetch.Response(500, "broken")
+            return Response(500, "broken")
         link = f', "@odata.nextLink": "https://x.test/{key}/{page + 1}"' if page <= key % 4 else ""
-        return fetch.Response(200, f'{{"value": [{key}]{link}}}')
+        return Response(200, f'{{"value": [{key}]{link}}}')
 
 
 class Unsteady:
@@ -322,21 +330,21 @@ class Unsteady:
     def __init__(self):
         self.seen: dict[str, int] = {}
 
-    def __call__(self, request: dict) -> fetch.Response:
+    def __call__(self, request: dict) -> Response:
         url = request["api_url"]
         self.seen[url] = self.seen.get(url, 0) + 1
         n, kind = self.seen[url], _parts(request)[0] % 6
         if kind == 1 and n == 1:
-            return fetch.Response(503, "busy")
+            return Response(503, "busy")
         if kind == 2:
-            return fetch.Response(404, "gone")
+            return Response(404, "gone")
         if kind == 3 and n <= 4:
-            return fetch.Response(429, "slow down", {"Retry-After": "soon"})
+            return Response(429, "slow down", {"Retry-After": "soon"})
         if kind == 4 and n <= 2:
             raise TimeoutError("no answer")
         if kind == 5:
-            return fetch.Response(429, "slow down")
-        return fetch.Response(200, f"[{kind}]")
+            return Response(429, "slow down")
+        return Response(200, f"[{kind}]")
 
 
 def requests(t: Tables) -> DataFrame:
