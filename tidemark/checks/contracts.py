@@ -241,7 +241,7 @@ def plain_contracts(t: Tables) -> DataFrame:
     ))
 
 
-CORE = ("contractId", "period", "deliveryDate", "extensionDate")
+CORE = contracts.RESOLUTION
 
 
 @query("active_rate", resolved_sql(PLAIN_CONTRACTS))
@@ -583,26 +583,30 @@ def all_sql() -> str:
 SELECT {', '.join(second)} FROM ({option_sql()}) WHERE "declarationType" = 'declared'"""
 
 
+def staged(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Records and rates written once and read by column, as the normaliser does it."""
+    folder = f"{shared_folder(t.spark)}/tidemark-staged/{uuid4().hex}"
+    records = contracts.stage_records(header_records(t), f"{folder}/contracts")
+    return records, contracts.stage_records(rate_rows(t), f"{folder}/rates")
+
+
 def combined(t: Tables, records: DataFrame, rate_list: DataFrame) -> DataFrame:
     return contracts.charterparties(records, rate_list, documents(t), vessel_dim(t), as_of())
 
 
 @query("silver_charterparties", combined_sql())
 def silver_charterparties(t: Tables) -> DataFrame:
-    return bare(combined(t, header_records(t), rate_rows(t)))
+    return bare(combined(t, *staged(t)))
 
 
 @query("silver_charterparties_option", option_sql())
 def silver_option(t: Tables) -> DataFrame:
-    return bare(contracts.options(header_records(t), rate_rows(t), as_of()))
+    return bare(contracts.options(*staged(t), as_of()))
 
 
 @query("silver_charterparties_all", all_sql())
 def silver_all(t: Tables) -> DataFrame:
-    """From records staged once, as the normaliser does it: pages are parsed once for all slices."""
-    folder = f"{shared_folder(t.spark)}/tidemark-staged/{uuid4().hex}"
-    records = contracts.stage_records(header_records(t), f"{folder}/contracts")
-    rate_list = contracts.stage_records(rate_rows(t), f"{folder}/rates")
+    records, rate_list = staged(t)
     options = contracts.options(records, rate_list, as_of())
     return bare(contracts.contracts_all(combined(t, records, rate_list), options, vessel_dim(t)))
 

@@ -62,19 +62,23 @@ def explode_attempts(results: DataFrame, attempts: str = "attempts") -> DataFram
     return results.select(*others, F.inline(attempts))
 
 
-def non_empty(df: DataFrame, body: str = "response_body", path: str | None = None) -> DataFrame:
-    """Leave out pages without records.
+def has_records(body: str | Column, path: str | None = None) -> Column:
+    """Whether a page holds records.
 
     Without ``path`` a page is empty if it is ``[]`` or an object whose ``value`` is ``[]``. With one,
     such as ``$.results``, the array there has to have elements.
     """
-    text = F.col(body)
+    text = F.col(body) if isinstance(body, str) else body
     if path:
-        size = F.json_array_length(F.get_json_object(text, path))
-        return df.where(F.coalesce(size, F.lit(0)) > 0)
+        return F.coalesce(F.json_array_length(F.get_json_object(text, path)), F.lit(0)) > 0
     root = F.coalesce(F.json_array_length(text), F.lit(-1))
     value = F.coalesce(F.json_array_length(F.get_json_object(text, "$.value")), F.lit(-1))
-    return df.where((root != 0) & ((root > 0) | (value != 0)))
+    return (root != 0) & ((root > 0) | (value != 0))
+
+
+def non_empty(df: DataFrame, body: str = "response_body", path: str | None = None) -> DataFrame:
+    """Leave out pages without records."""
+    return df.where(has_records(body, path))
 
 
 def to_bronze(
@@ -86,11 +90,9 @@ def to_bronze(
     ``keep_failures`` also lands the last attempt of each failed request, flagged as normalised so
     that it is never parsed. ``key`` puts the request's input value in front under that name.
     """
-    ok = non_empty(attempts.where(F.col("status") == "SUCCESS"), path=records_path)
-    rows = ok
-    if keep_failures:
-        rows = ok.unionByName(attempts.where(F.col("status") == "FAILED"))
     failed = F.col("status") == "FAILED"
+    lands = (F.col("status") == "SUCCESS") & has_records("response_body", records_path)
+    rows = attempts.where(lands | failed if keep_failures else lands)
     meta = to_json_text(
         F.col("status").alias("Status"), F.col("error_message").alias("ErrorMessage"),
         F.col("response_code").alias("HttpStatus"),
@@ -155,22 +157,22 @@ def source_status(
     attempts: DataFrame, source: str = "source", body: str = "response_body"
 ) -> DataFrame:
     """Outcome per source: SUCCESS, PARTIAL (some pages landed, then one failed), EMPTY or FAILED."""
-    pages = final_attempt(attempts, (source, "page_no"), take=("status", body))
-    good = F.col("status") == "SUCCESS"
-    full = pages.where(good).transform(lambda d: non_empty(d, body)).groupBy(source).agg(
-        F.count(F.lit(1)).alias("landed")
+    flagged = attempts.select(
+        source, "page_no", "attempt_number", "request_timestamp", "status",
+        has_records(body).alias("full"),
     )
+    pages = final_attempt(flagged, (source, "page_no"), take=("status", "full"))
+    good = F.col("status") == "SUCCESS"
     counted = pages.groupBy(source).agg(
-        F.count(F.when(good, 1)).alias("ok"), F.count(F.when(~good, 1)).alias("failed")
+        F.count_if(good).alias("ok"), F.count_if(~good).alias("failed"),
+        F.count_if(good & F.col("full")).alias("landed"),
     )
-    landed = F.coalesce(F.col("landed"), F.lit(0))
     status = (
         F.when((F.col("failed") > 0) & (F.col("ok") > 0), "PARTIAL")
-        .when(F.col("failed") > 0, "FAILED").when(landed == 0, "EMPTY").otherwise("SUCCESS")
-    )
-    return counted.join(full, source, "left").select(
-        source, "ok", "failed", landed.alias("landed"), status.alias("status")
+        .when(F.col("failed") > 0, "FAILED").when(F.col("landed") == 0, "EMPTY")
+        .otherwise("SUCCESS")
     )
+    return counted.withColumn("status", status)
 
 
 def page_record_counts(

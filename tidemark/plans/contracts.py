@@ -15,12 +15,15 @@ from tidemark.functions.dates import century_fix
 from tidemark.functions.json import strings
 from tidemark.operators.lookup import composite_lookup, resolve_id
 from tidemark.operators.nested import (
-    explode_parsed, explode_path, link_column, null_when, parse_object, parse_text_field, spread, stamp, union_aligned,
+    explode_parsed, explode_path, link_column, null_when, parse_object, parse_text_field, spread,
+    stamp, union_aligned,
 )
-from tidemark.operators.rates import contracts_with_rate, expected_redelivery
+from tidemark.operators.rates import RESULT, active_rate, attach_rate, expected_redelivery
 from tidemark.operators.select import BATCH, slice_by
 from tidemark.plans import contract_fields as fields
 
+# What the resolution of rates reads of a contract.
+RESOLUTION = ("contractId", "period", "deliveryDate", "extensionDate")
 ALL_PARTS = ("header", *fields.CHILDREN)
 
 
@@ -116,7 +119,9 @@ def extensions(records: DataFrame, load_ts: Column | None = None) -> DataFrame:
 def options(
     records: DataFrame, rate_rows: DataFrame, as_of: Column, load_ts: Column | None = None, **how
 ) -> DataFrame:
-    return contracts_with_rate(_slice(records, "option", load_ts), rate_rows, as_of, **how)
+    own = _slice(records, "option", load_ts)
+    active = active_rate(rate_rows, own.select(*RESOLUTION), as_of, **how)
+    return attach_rate(own, active).select(*own.columns, *RESULT)
 
 
 def charterparties(
@@ -145,7 +150,8 @@ def charterparties(
     named = named.withColumn("crmd_name", name).drop("_fixture_name")
     named = null_when(named, is_extension, fields.EXTERNAL)
     numbered = resolve_id(named, vessels, "Vessel_IMO", "Hull_no", "imo")
-    return with_redelivery(contracts_with_rate(numbered, rate_rows, as_of, **how))
+    active = active_rate(rate_rows, both.select(*RESOLUTION), as_of, **how)
+    return with_redelivery(attach_rate(numbered, active).select(*numbered.columns, *RESULT))
 
 
 def with_redelivery(contracts: DataFrame) -> DataFrame:

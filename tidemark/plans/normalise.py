@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.nested import spread_pages
 from tidemark.operators.select import BATCH, all_pending, is_empty, latest_batch, latest_row
 from tidemark.operators.sinks import Store, Written
 from tidemark.plans import accounts, contracts, employees, offhires, ships, vessels
@@ -24,7 +25,7 @@ def pages_to_do(store: Store, table: str, choose: str = "latest_batch") -> DataF
         return None
     waiting = all_pending(store.read(table), store.ledger(table))
     pages = CHOICES[choose](waiting)
-    return None if is_empty(pages) else pages
+    return None if is_empty(pages) else spread_pages(pages)
 
 
 def _done(store: Store, table: str, pages: DataFrame) -> None:
