@@ -94,11 +94,12 @@ def test_documents_are_parsed_once(spark):
 
 
 def test_staged_records_read_only_what_is_used(spark, tmp_path):
+    from tidemark.operators.staging import staged
     from tidemark.plans import contracts
 
     page = spark.createDataFrame([('{"contracts": [{"contractId": 1, "rates": [{"rate": "5"}]}]}', "b")],
                                  "Raw_data string, _Batch_run_id string")
-    records = contracts.stage_records(contracts.contract_records(page), str(tmp_path / "s"))
+    records = staged(contracts.contract_records(page), str(tmp_path / "s"))
     plan = contracts.premiums(records)._jdf.queryExecution().executedPlan().toString()
     schema = plan[plan.index("ReadSchema"):]
     assert "premiums" in schema and "rates" not in schema and "shipName" not in schema

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.checks.registry import Tables, as_of, pages, query
 from tidemark.operators import nested, rates as rate_ops
 from tidemark.operators.select import slice_by
+from tidemark.operators.staging import staged
 from tidemark.plans import contract_fields, contracts
-from tidemark.session import shared_folder
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -583,11 +581,9 @@ def all_sql() -> str:
 SELECT {', '.join(second)} FROM ({option_sql()}) WHERE "declarationType" = 'declared'"""
 
 
-def staged(t: Tables) -> tuple[DataFrame, DataFrame]:
+def stored(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Records and rates written once and read by column, as the normaliser does it."""
-    folder = f"{shared_folder(t.spark)}/tidemark-staged/{uuid4().hex}"
-    records = contracts.stage_records(header_records(t), f"{folder}/contracts")
-    return records, contracts.stage_records(rate_rows(t), f"{folder}/rates")
+    return staged(header_records(t)), staged(rate_rows(t))
 
 
 def combined(t: Tables, records: DataFrame, rate_list: DataFrame) -> DataFrame:
@@ -596,17 +592,17 @@ def combined(t: Tables, records: DataFrame, rate_list: DataFrame) -> DataFrame:
 
 @query("silver_charterparties", combined_sql())
 def silver_charterparties(t: Tables) -> DataFrame:
-    return bare(combined(t, *staged(t)))
+    return bare(combined(t, *stored(t)))
 
 
 @query("silver_charterparties_option", option_sql())
 def silver_option(t: Tables) -> DataFrame:
-    return bare(contracts.options(*staged(t), as_of()))
+    return bare(contracts.options(*stored(t), as_of()))
 
 
 @query("silver_charterparties_all", all_sql())
 def silver_all(t: Tables) -> DataFrame:
-    records, rate_list = staged(t)
+    records, rate_list = stored(t)
     options = contracts.options(records, rate_list, as_of())
     return bare(contracts.contracts_all(combined(t, records, rate_list), options, vessel_dim(t)))
 

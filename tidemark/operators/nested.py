@@ -112,7 +112,3 @@ def spread_pages(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Even out partitions after an explode, by measured size, when few pages hold many records."""
-    return df.hint("rebalance")

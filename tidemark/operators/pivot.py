@@ -47,37 +47,39 @@ def field_names(df: DataFrame, field: str = "crm_field", most: int = MAX_FIELDS)
     return sorted(row[0] for row in found)
 
 
-def _field_columns(fields: Sequence[str], field: str, value: str) -> list[Column]:
-    names = _checked([clean_name(f) for f in fields], fields)
-    return [
-        F.max(F.when(F.col(field) == f, F.col(value))).alias(n) for f, n in zip(fields, names)
-    ]
+def _clean_fields(fields: Sequence[str]) -> list[str]:
+    return _checked([clean_name(f) for f in fields], fields)
 
 
 def pivot_max(
     df: DataFrame, key: str, field: str, value: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key, one column per field, holding the greatest value.
+    """One row per key, one column per field, holding the greatest value."""
+    fields = field_names(df, field) if fields is None else list(fields)
+    wide = df.groupBy(key).pivot(field, fields).agg(F.max(value))
+    return wide.toDF(key, *_clean_fields(fields))
+
+
+def _meta_columns() -> dict[str, Column]:
+    """Per-key metadata; each is a maximum, so it can be folded in any number of steps."""
+    updated = F.struct(iso_ts("prop_lastUpdated"), F.col("prop_lastUpdated").alias("text"))
+    return {
+        "uuid": F.max("uuid"),
+        "lastUpdated": F.max("lastUpdated"),
+        "last_property_updated_at": F.max(updated),
+        "any_verified": F.max(F.col("isVerified").try_cast("boolean").cast("int")),
+        "_Batch_run_id": F.max("_Batch_run_id"),
+    }
 
-    One combinable aggregation, so a key with a third of all properties is reduced before it moves.
-    """
-    fields = field_names(df, field) if fields is None else fields
-    return df.groupBy(key).agg(*_field_columns(fields, field, value))
-
-
-def _meta_columns() -> list[Column]:
-    return [
-        F.max("uuid").alias("uuid"),
-        F.max("lastUpdated").alias("lastUpdated"),
-        F.max(F.struct(iso_ts("prop_lastUpdated"), F.col("prop_lastUpdated").alias("text")))["text"]
-        .alias("last_property_updated_at"),
-        F.max(F.col("isVerified").try_cast("boolean").cast("int")).alias("any_verified"),
-        F.max("_Batch_run_id").alias("_Batch_run_id"),
-    ]
+
+def _final_meta(name: str) -> Column:
+    return F.col(f"{name}.text").alias(name) if name == "last_property_updated_at" else F.col(name)
 
 
 def group_meta(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(*_meta_columns())
+    meta = _meta_columns()
+    grouped = df.groupBy(key).agg(*[c.alias(n) for n, c in meta.items()])
+    return grouped.select(key, *[_final_meta(n) for n in meta])
 
 
 def attach_meta(pivoted: DataFrame, meta: DataFrame, key: str) -> DataFrame:
@@ -87,6 +89,20 @@ def attach_meta(pivoted: DataFrame, meta: DataFrame, key: str) -> DataFrame:
 def pivot_with_meta(
     df: DataFrame, key: str, field: str, value: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """The pivot and its per-key metadata from one aggregation instead of two and a join."""
-    fields = field_names(df, field) if fields is None else fields
-    return df.groupBy(key).agg(*_field_columns(fields, field, value), *_meta_columns())
+    """The pivot and its per-key metadata from one pass over the properties.
+
+    They are first folded to one row per key and field, combined before the shuffle, so a key with a
+    third of all properties is small by the time its row is put together, and the per-field
+    comparisons run over those few rows only.
+    """
+    fields = field_names(df, field) if fields is None else list(fields)
+    meta = _meta_columns()
+    cells = df.groupBy(key, field).agg(
+        F.max(value).alias("_value"), *[c.alias(n) for n, c in meta.items()]
+    )
+    columns = [
+        F.max(F.when(F.col(field) == f, F.col("_value"))).alias(n)
+        for f, n in zip(fields, _clean_fields(fields))
+    ]
+    wide = cells.groupBy(key).agg(*columns, *[F.max(n).alias(n) for n in meta])
+    return wide.select(key, *_clean_fields(fields), *[_final_meta(n) for n in meta])

@@ -1,8 +1,8 @@
 """Silver tables of contracts: header slices, rates in force and child lists.
 
 Each function takes records, one contract document per row (``c``) with its batch id, as made by
-``contract_records``. Parse once, stage with ``stage_records`` and hand the staged frame to all of
-them: it is columnar, so every table reads only its own members.
+``contract_records``. Parse once, write with ``staged`` and hand that frame to all of them: it is
+columnar, so every table reads only its own members.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from tidemark.functions.dates import century_fix
 from tidemark.functions.json import strings
 from tidemark.operators.lookup import composite_lookup, resolve_id
 from tidemark.operators.nested import (
-    explode_parsed, explode_path, link_column, null_when, parse_object, parse_text_field, spread,
-    stamp, union_aligned,
+    explode_parsed, explode_path, link_column, null_when, parse_object, parse_text_field, stamp,
+    union_aligned,
 )
 from tidemark.operators.rates import RESULT, active_rate, attach_rate, expected_redelivery
 from tidemark.operators.select import BATCH, slice_by
@@ -32,12 +32,6 @@ def contract_records(pages: DataFrame, parts: tuple[str, ...] = ALL_PARTS) -> Da
     return explode_parsed(parsed, ["_parsed.contracts"], [BATCH], into="c")
 
 
-def stage_records(records: DataFrame, path: str) -> DataFrame:
-    """Write records to a shared folder in evenly sized files and read them back, without lineage."""
-    spread(records).write.mode("overwrite").parquet(path)
-    return records.sparkSession.read.parquet(path)
-
-
 def contract_projection(records: DataFrame, load_ts: Column | None = None) -> DataFrame:
     """The header columns, the same for all three contract types."""
     columns = [fields.column(kind, path).alias(name) for name, kind, path in fields.lines()]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.nested import spread_pages
 from tidemark.operators.select import BATCH, all_pending, is_empty, latest_batch, latest_row
 from tidemark.operators.sinks import Store, Written
+from tidemark.operators.staging import staged
 from tidemark.plans import accounts, contracts, employees, offhires, ships, vessels
-from tidemark.session import shared_folder
 
 CHOICES: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "latest_batch": latest_batch, "latest_row": latest_row, "all": lambda df: df,
@@ -32,11 +31,6 @@ def _done(store: Store, table: str, pages: DataFrame) -> None:
     store.mark_processed(table, pages.select(BATCH))
 
 
-def _stage(store: Store, records: DataFrame) -> DataFrame:
-    folder = f"{shared_folder(store.spark)}/tidemark-staged/{uuid4().hex}"
-    return contracts.stage_records(records, folder)
-
-
 def normalise_contracts(
     store: Store, table: str, documents: DataFrame, vessel_dim: DataFrame,
     as_of: Column | None = None, choose: str = "latest_batch", load_ts: Column | None = None, **how,
@@ -46,7 +40,7 @@ def normalise_contracts(
     if pages is None:
         return {}
     now = F.current_timestamp() if as_of is None else as_of
-    records = _stage(store, contracts.contract_records(pages))
+    records = staged(contracts.contract_records(pages))
     rate_rows = contracts.rates(records, load_ts)
     extension_rows = contracts.extensions(records, load_ts)
     done = {
@@ -85,7 +79,7 @@ def normalise_offhires(
     pages = pages_to_do(store, table, choose)
     if pages is None:
         return {}
-    records = _stage(store, offhires.offhire_records(pages))
+    records = staged(offhires.offhire_records(pages))
     makers = {
         "offhires": offhires.offhires, "offhires_atCost": offhires.at_cost,
         "offhire_lumpSums": offhires.lump_sums, "offhire_rates": offhires.rates,

@@ -12,6 +12,7 @@ from tidemark.functions.json import strings, struct_of
 from tidemark.operators.nested import explode_parsed, parse_object, parse_record, stamp
 from tidemark.operators.pivot import map_properties, pivot_with_meta
 from tidemark.operators.select import BATCH
+from tidemark.operators.staging import staged
 
 # Members of a ship and of a property list.
 SHIP = [
@@ -62,7 +63,10 @@ def ship_properties(
     """One row per ship, one column per mapped field.
 
     ``mapping`` (property_id, crm_field) names the columns; those that occur become columns unless
-    ``fields`` fixes the list.
+    ``fields`` fixes the list. Without it the list has to be looked up first, so the parsed
+    properties are staged rather than parsed twice.
     """
     base = map_properties(ship_properties_long(pages), mapping)
+    if fields is None:
+        base = staged(base)
     return stamp(pivot_with_meta(base, "shipImoNr", "crm_field", "value", fields), load_ts)
