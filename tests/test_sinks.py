@@ -67,6 +67,31 @@ def test_publish_modes(spark, store):
         store.publish("t", frame(spark, []), mode="sideways")
 
 
+def test_skipping_an_empty_result_runs_it_once(spark, store):
+    seen = spark.sparkContext.accumulator(0)
+    counted = frame(spark, [(1, "a")]).rdd.map(lambda r: (seen.add(1), r)[1]).toDF("k int, v string")
+    store.replace("t", counted, skip_if_empty=True)
+    assert seen.value == 1
+
+
+def test_slots_rewrite_only_what_changed(spark, store):
+    import pathlib
+
+    data = [(k, f"v{k}") for k in range(200)]
+    store.merge_slots("t", frame(spark, data), ["k"], slots=16)
+    root = pathlib.Path(store.path("t"))
+    before = {f: f.stat().st_mtime_ns for f in root.glob("_slot_of_16=*/*.parquet")}
+    change = frame(spark, [(3, "new"), (1000, "added"), (None, "lost")])
+    store.merge_slots("t", change, ["k"], slots=16)
+    assert rows(store.read("t"), "k", "v") == rows(sinks.upsert(frame(spark, data), change, ["k"]))
+    kept = {f.parent.name for f, t in before.items() if f.exists() and f.stat().st_mtime_ns == t}
+    assert len(kept) >= 14
+    store.merge_slots("t", change, ["k"], slots=16)
+    assert store.read("t").count() == 201
+    with pytest.raises(ValueError, match="slots"):
+        store.merge_slots("t", change, ["k"], slots=8)
+
+
 def test_upsert_rules(spark):
     target = frame(spark, [(1, "a"), (2, "b"), (2, "b2"), (None, "n")])
     source = frame(spark, [(2, None), (4, "d"), (None, "lost")])

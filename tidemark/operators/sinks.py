@@ -20,9 +20,12 @@ from pyspark.sql import types as T
 
 from tidemark.operators.nested import union_aligned
 from tidemark.operators.select import BATCH, exclude
-from tidemark.sources.tables import list_folder
+from tidemark.operators.staging import staged
+from tidemark.sources.tables import list_folder, put_marker
 
 LEDGER = "_processed_batches"
+MARKER = "_SUCCESS"
+NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 @dataclass(frozen=True)
@@ -46,7 +49,7 @@ class Store:
         runs = [e for e in entries if e.startswith("run=")]
         for run in reversed(runs):
             folder = f"{self.path(name)}/{run}"
-            if "_SUCCESS" in list_folder(self.spark, folder):
+            if MARKER in list_folder(self.spark, folder):
                 return folder
         return self.path(name) if entries and not runs else None
 
@@ -72,12 +75,43 @@ class Store:
     def replace(
         self, name: str, df: DataFrame, skip_if_empty: bool = False, partition_by: Sequence[str] = ()
     ) -> Written:
-        """Publish a new version; with ``skip_if_empty`` a result without rows keeps the old one."""
-        if skip_if_empty and df.isEmpty():
-            return Written(self._current(name) or self.path(name), False, 0)
+        """Publish a new version; with ``skip_if_empty`` a result without rows keeps the old one.
+
+        Whether there are rows is known from the write itself: the version is written without its
+        marker and only gets it if it is wanted.
+        """
         now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         folder = f"{self.path(name)}/run={now}-{uuid4().hex[:8]}"
-        return self._write(df, folder, "errorifexists", partition_by)
+        done = self._write(df, folder, "errorifexists", partition_by, **{NO_MARKER: "false"})
+        if skip_if_empty and not done.rows:
+            return Written(self._current(name) or self.path(name), False, 0)
+        put_marker(self.spark, f"{folder}/{MARKER}")
+        return done
+
+    def merge_slots(
+        self, name: str, df: DataFrame, keys: Sequence[str], slots: int = 1024,
+        on_duplicate: str = "error", newest_by: Sequence[str] = (),
+    ) -> Written:
+        """Upsert into a table kept in ``slots`` hash slots of the key, rewriting only those touched.
+
+        The changed slots are at most ``slots`` small numbers. Both sides are staged before the slots
+        are replaced, so a repeat after a failure gives the same table.
+        """
+        slot = f"_slot_of_{slots}"
+        number = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(slots))
+        known = df.dropna(subset=list(keys))
+        rows = one_per_key(known, keys, on_duplicate, newest_by).withColumn(slot, number.cast("int"))
+        if self.exists(name):
+            table = self.read(name)
+            if slot not in table.columns:
+                raise ValueError(f"{name} is not kept in {slots} slots")
+            rows = staged(rows)
+            touched = [r[0] for r in rows.select(slot).distinct().collect()]
+            rows = staged(upsert(table.where(F.col(slot).isin(touched)), rows, keys))
+        return self._write(
+            rows.hint("rebalance", slot), self.path(name), "overwrite", [slot],
+            partitionOverwriteMode="dynamic",
+        )
 
     def publish(
         self, name: str, df: DataFrame, mode: str = "overwrite", keys: Sequence[str] = (),
@@ -93,11 +127,13 @@ class Store:
             raise ValueError(f"unknown mode {mode!r}")
         return self.replace(name, df, skip_if_empty)
 
-    def _write(self, df: DataFrame, folder: str, mode: str, by: Sequence[str]) -> Written:
+    def _write(
+        self, df: DataFrame, folder: str, mode: str, by: Sequence[str], **options: str
+    ) -> Written:
         """One job: the row count rides along with the write."""
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        writer = counted.write.mode(mode)
+        writer = counted.write.mode(mode).options(**options)
         (writer.partitionBy(*by) if by else writer).parquet(folder)
         return Written(folder, True, seen.get["rows"])
 

@@ -16,15 +16,25 @@ def table_exists(spark: SparkSession, ref: str) -> bool:
     return bool(list_folder(spark, ref)) if "/" in ref else spark.catalog.tableExists(ref)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of whatever file system the path belongs to; empty if there is none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder, fs = _folder(spark, path)
     if not fs.exists(folder):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(folder))
 
 
+def put_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    file, fs = _folder(spark, path)
+    fs.create(file).close()
+
+
 def rows_to_df(spark: SparkSession, rows: Sequence, schema: str | T.StructType) -> DataFrame:
     """A small driver-side list as a frame: request seeds and test rows, never fetched pages."""
     return spark.createDataFrame(list(rows), schema=schema)
