@@ -8,10 +8,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.checks.registry import Tables, pages, query
+from tidemark.checks.registry import Tables, as_of, pages, query
 from tidemark.functions import scalars
-from tidemark.functions.json import page_meta
-from tidemark.operators import audit, lookup, pivot, select, sinks
+from tidemark.functions.json import page_meta, to_json_text
+from tidemark.operators import audit, lookup, pivot, select, sinks, skew
 from tidemark.operators.nested import spread_pages
 from tidemark.plans import ships
 from tidemark.sources import fetch
@@ -85,6 +85,49 @@ def composite_lookup(t: Tables) -> DataFrame:
     ).drop("l_shipdate")
 
 
+@query(
+    "lookup_first",
+    """SELECT s_suppkey, first_name FROM supplier LEFT JOIN
+         (SELECT c_nationkey, min(c_name) AS first_name FROM customer GROUP BY c_nationkey)
+       ON c_nationkey = s_nationkey""",
+)
+def lookup_first(t: Tables) -> DataFrame:
+    """A lookup with many rows per key, of which the smallest counts."""
+    side = lookup.unique_side(t.customer, ["c_nationkey"], ["c_name"], "first")
+    found = lookup.composite_lookup(
+        t.supplier.select("s_suppkey", "s_nationkey"), side,
+        [(F.col("s_nationkey"), F.col("c_nationkey"))], {"first_name": "c_name"},
+    )
+    return found.drop("s_nationkey")
+
+
+@query(
+    "lookup_multiplies",
+    """SELECT n_name, c_custkey FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey
+         AND c_acctbal > 0""",
+)
+def lookup_multiplies(t: Tables) -> DataFrame:
+    """Duplicate lookup keys multiply rows where no other policy is asked for."""
+    side = lookup.unique_side(t.customer.where("c_acctbal > 0"), ["c_nationkey"], ["c_custkey"])
+    return lookup.composite_lookup(
+        t.nation.select("n_name", "n_nationkey"), side,
+        [(F.col("n_nationkey"), F.col("c_nationkey"))], {"c_custkey": "c_custkey"},
+    ).drop("n_nationkey")
+
+
+@query(
+    "hot_key_join",
+    """SELECT event_id, c_name FROM events LEFT JOIN customer
+         ON c_custkey = CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 3 = 1 THEN user_id END""",
+)
+def hot_key_join(t: Tables) -> DataFrame:
+    """A third of all events under one key and a third under none, joined with salt."""
+    key = F.expr("CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 3 = 1 THEN user_id END")
+    left = t.events.select("event_id", key.alias("c_custkey"))
+    right = t.customer.select("c_custkey", "c_name")
+    return skew.left_join_unique(left, right, "c_custkey", hot_rows=200).select("event_id", "c_name")
+
+
 # -- property lists ------------------------------------------------------------------------------
 
 
@@ -239,6 +282,43 @@ def fan_out_keys(t: Tables) -> DataFrame:
     return fetch.fan_out_keys(known)
 
 
+@query(
+    "in_force",
+    """SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O'
+         OR o_orderdate <= TIMESTAMP '1998-06-01'""",
+)
+def in_force(t: Tables) -> DataFrame:
+    period = F.expr("CASE o_orderstatus WHEN 'F' THEN 'past' WHEN 'O' THEN 'ongoing' ELSE 'upcoming' END")
+    kept = select.in_force(t.orders, period, F.col("o_orderdate").cast("timestamp"), as_of())
+    return kept.select("o_orderkey")
+
+
+@query(
+    "latest_per_key",
+    """SELECT user_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type FROM events GROUP BY user_id""",
+)
+def latest_per_key(t: Tables) -> DataFrame:
+    return sinks.one_per_key(t.events.select("user_id", "ts", "event_type"), ["user_id"], "latest", ["ts"])
+
+
+@query("max_where", "SELECT max(ts) AS ts FROM events WHERE event_type = 'purchase'")
+def max_where(t: Tables) -> DataFrame:
+    return select.max_where(t.events, "ts", F.col("event_type") == "purchase")
+
+
+@query(
+    "json_text",
+    """SELECT o_orderkey, CAST(json_object('key', o_orderkey, 'status', o_orderstatus, 'note',
+         CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END) AS VARCHAR) AS doc FROM orders""",
+)
+def json_text(t: Tables) -> DataFrame:
+    note = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority"))
+    doc = to_json_text(
+        F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"), note.alias("note")
+    )
+    return t.orders.select("o_orderkey", doc.alias("doc"))
+
+
 # -- fetch planning --------------------------------------------------------------------------------
 
 TOTALS = "SELECT o_custkey, count(*) AS total FROM orders GROUP BY o_custkey"
@@ -257,6 +337,19 @@ def page_plan(t: Tables) -> DataFrame:
     return plan.select("o_custkey", "page_no", "total_pages", "modified_since")
 
 
+@query(
+    "fan_out_requests",
+    """SELECT DISTINCT 'props:' || o_custkey AS source, CAST(1 AS INTEGER) AS page_no, 'GET' AS http_method,
+         'https://x.test/ships/' || o_custkey || '/properties' AS api_url,
+         CAST(o_custkey AS VARCHAR) AS input_value, CAST(NULL AS VARCHAR) AS request_body
+       FROM orders WHERE o_custkey <> 0""",
+)
+def fan_out_requests(t: Tables) -> DataFrame:
+    """One request per customer with an order."""
+    known = t.orders.select(F.col("o_custkey").alias("imoNr"), F.lit(None).cast("string").alias("provisionalId"))
+    return fetch.fan_out(fetch.fan_out_keys(known), "https://x.test/ships/{}/properties", "props")
+
+
 @query(
     "page_label",
     """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '' ELSE page_id || '-' END
