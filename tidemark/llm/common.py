@@ -89,3 +89,16 @@ def gram_hashes(h: np.ndarray, n: int, base: int = 0x9E3779B97F4A7C15) -> np.nda
     sums = np.zeros(size, np.uint64)
     sums[1:] = np.cumsum(h * power[:-1])
     return mixed((sums[n:] - sums[:-n]) * inverse[: len(h) - n + 1])
+
+
+#: ASCII other than letters and digits becomes a space, A-Z lower case, all other bytes stay.
+ALNUM = bytes((c + 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def alnum_only(text: pa.Array) -> pa.Array:
+    """Text in which only ASCII letters in lower case, digits, spaces and non-ASCII characters are left."""
+    text = pc.fill_null(text.cast(pa.string()), "")
+    valid, offsets, data = text.buffers()
+    if data is None:
+        return text
+    return pa.Array.from_buffers(pa.string(), len(text), [valid, offsets, pa.py_buffer(data.to_pybytes().translate(ALNUM))], offset=text.offset)
