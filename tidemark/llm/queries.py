@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, licenses, mixing, simhash, suffixes
+from tidemark.llm import chat, decontaminate, langid, licenses, mixing, simhash, suffixes, vectors
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ SELECT conv_id, count(*) AS n_turns,
   END) AND bool_or(after IS NULL AND role = 'assistant') AS valid
 FROM steps GROUP BY conv_id
 """
+
+
+@query
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
