@@ -41,9 +41,10 @@ def sliced(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         yield batch.slice(a, b - a)
 
 
-def word_tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def word_tokens(text: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Words between ASCII white space, A-Z in lower case: (row offsets, codes, distinct words)."""
-    low = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(text.cast(pa.string()), "")))
+    low = pc.ascii_trim_whitespace(pc.fill_null(text.cast(pa.string()), ""))
+    low = pc.ascii_lower(low) if lower else low
     lists = pc.ascii_split_whitespace(low)
     flat = lists.flatten()
     lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, licenses, mixing, simhash, suffixes, vectors
+from tidemark.llm import chat, decontaminate, langid, licenses, mixing, quality, simhash, suffixes, vectors
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,16 @@ FROM steps GROUP BY conv_id
 @query
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+#: A document is predicted to be of label 1 from this score on.
+QUALITY_CUT = 0.3
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", held_out("doc_id", 5))
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out("doc_id", 5))
+    model = quality.fit(docs.select("doc_id", "text"), labels)
+    scored = docs.select("doc_id", "held_out", quality.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
