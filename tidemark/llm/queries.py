@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, licenses, mixing, quality, simhash, suffixes, vectors
+from tidemark.llm import chat, decontaminate, langid, licenses, mixing, ngrams, quality, simhash, suffixes, vectors
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,9 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs.select("doc_id", "text"), labels)
     scored = docs.select("doc_id", "held_out", quality.score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
+@query
+def op7_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return ngrams.score_documents(docs, held_out("doc_id", 10))
