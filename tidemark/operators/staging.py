@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 
 from tidemark.session import shared_folder
+from tidemark.sources.tables import remove_folder
 
 
 def staged(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -20,3 +21,11 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or f"{shared_folder(df.sparkSession)}/tidemark-staged/{uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the folder a staged frame reads, once everything made from it is written elsewhere."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/tidemark-staged/" in file:
+            remove_folder(spark, file)

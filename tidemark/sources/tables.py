@@ -35,6 +35,12 @@ def put_marker(spark: SparkSession, path: str) -> None:
     fs.create(file).close()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; nothing happens if there is none."""
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def rows_to_df(spark: SparkSession, rows: Sequence, schema: str | T.StructType) -> DataFrame:
     """A small driver-side list as a frame: request seeds and test rows, never fetched pages."""
     return spark.createDataFrame(list(rows), schema=schema)
