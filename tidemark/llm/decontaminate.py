@@ -242,7 +242,7 @@ def with_matches(docs: DataFrame, items: DataFrame, text: str = "text", item_tex
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
     """One row per document and test item found in it: ``doc_id``, ``item_id``, the best ``score``, its
     ``first_word`` and ``n_words``, and the number of ``places``; ties go to the first place."""
-    found = with_matches(docs, items, column="_m", **how).select(F.col(doc_id).alias("doc_id"), F.inline("_m"))
+    found = with_matches(docs, items, column="_found_here", **how).select(F.col(doc_id).alias("doc_id"), F.inline("_found_here"))
     best = F.struct("score", (-F.col("first_word")).alias("first"), "n_words")
     rows = found.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"), F.count("*").alias("places"))
     return rows.select("doc_id", "item_id", F.col("b.score").alias("score"), (-F.col("b.first")).alias("first_word"), F.col("b.n_words").alias("n_words"), "places")

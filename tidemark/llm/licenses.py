@@ -174,5 +174,5 @@ def scan_documents(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     of the same names are replaced.
     """
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_notices", "expressions"]
-    marked = docs.withColumn("_scan", scan(F.col(text), **how))
-    return marked.withColumns({n: F.col("_scan")[n] for n in names}).drop("_scan")
+    marked = docs.withColumn("_scanned_here", scan(F.col(text), **how))
+    return marked.withColumns({n: F.col("_scanned_here")[n] for n in names}).drop("_scanned_here")

@@ -183,7 +183,8 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``target``; documents of no copies are left out. Columns of these names are replaced."""
     found = mix(docs, doc_id, text, source, **how).where("copies > 0")
     found = found.groupBy("doc_id", "source", "key").agg(*[F.first(c).alias(c) for c in ("size", "copies", "taken", "target")])
-    found = found.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("key").alias("_k"), F.struct("size", "copies", "taken", "target").alias("_mix"))
-    match = docs[doc_id].cast("long").eqNullSafe(F.col("_d")) & docs[source].eqNullSafe(F.col("_s")) & (F.xxhash64(docs[text]) == F.col("_k"))
-    plain = [c for c in docs.columns if c not in ("size", "copies", "taken", "target")]
-    return docs.join(found, match).select(*plain, "_mix.*")
+    found = found.select("doc_id", "source", "key", F.struct("size", "copies", "taken", "target").alias("_mix"))
+    packed = docs.select(F.col(doc_id).cast("long").alias("_d"), F.col(source).alias("_s"), F.xxhash64(text).alias("_k"), F.struct(*docs.columns).alias("_row"))
+    match = F.col("_d").eqNullSafe(F.col("doc_id")) & F.col("_s").eqNullSafe(F.col("source")) & (F.col("_k") == F.col("key"))
+    plain = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("size", "copies", "taken", "target")]
+    return packed.join(found, match).select(*plain, "_mix.*")

@@ -97,7 +97,7 @@ def train(x: np.ndarray, row: np.ndarray, y: np.ndarray, epochs: int = 60, rate:
     scale = x.std(0) + 1e-3 if len(x) else np.ones(width)
     share = (y.sum() + 1) / (len(y) + 2)
     shapes = {"enc": (width, HIDDEN), "enc0": (HIDDEN,), "v": (HIDDEN, GATES), "u": (HIDDEN, GATES), "a": (GATES,), "out": (HIDDEN,), "out0": ()}
-    weights = {k: random.normal(size=s) / np.sqrt(max(s[0] if s else 1, 1)) * (not k.endswith("0")) for k, s in shapes.items()}
+    weights = {k: random.normal(size=s) / np.sqrt(max(s[0] if s else 1, 1)) * (not k.endswith("0") and k != "out") for k, s in shapes.items()}
     weights["out0"] = np.array(np.log(share / (1 - share)))
     model = Model(mean.astype(np.float64), scale.astype(np.float64), weights)
     first = np.searchsorted(row, np.arange(len(y) + 1))
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     marked = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("double").alias("y"))
     total = marked.count()
     chosen = marked.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < F.lit(1_000_003.0 * most_docs / max(total, 1)))
-    rows = docs.join(chosen, docs[doc_id] == chosen["_id"]).select("_id", F.col(text).cast("string").alias("text"), "y")
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("text")).join(chosen, "_id").select("_id", "text", "y")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
