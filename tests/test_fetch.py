@@ -227,3 +227,43 @@ def test_each_request_is_sent_once(spark, store, tmp_path):
     catalogue = spark.createDataFrame([("a", "https://x/a")], "source string, api_url string")
     ingest.ingest_endpoints(store, catalogue, transport, {"a": "bronze_a"}, "b1", POLICY)
     assert len(list(seen.iterdir())) == 1
+
+
+class Relapsing:
+    """Busy twice, then an error in disguise, then a good page."""
+
+    def __init__(self):
+        self.n = 0
+
+    def __call__(self, request):
+        self.n += 1
+        if self.n <= 2:
+            return Response(503, "busy")
+        return Response(200, '{"totalCount": -1}' if self.n == 3 else '{"totalCount": 1, "results": [1]}')
+
+
+def test_attempts_are_numbered_on_over_all_turns(spark, store):
+    rows = ingest.ingest_paged(store, seeds(spark, "v"), Relapsing(), {"v": "vessels"}, 200, "b1", POLICY)
+    assert rows["vessels"] == 1
+    tries = store.read("audit").select("attempt_number", "status").orderBy("attempt_number").collect()
+    assert [r.attempt_number for r in tries] == [1, 2, 3, 4] and tries[-1].status == "SUCCESS"
+
+
+def test_the_mark_reaches_page_one_beside_the_seeds_own_parameters(spark, store):
+    own = seeds(spark, "v").withColumn("request_body", F.lit('{"fleet": {"id": 7}}'))
+    ingest.ingest_paged(store, own, Paged(), {"v": "vessels"}, 200, "b1", POLICY, modified_since="2024-01-01")
+    bodies = [json.loads(r.request_body) for r in store.read("audit").collect()]
+    assert len(bodies) > 1 and all(b["modifiedDate"] == "2024-01-01" and b["fleet"] == {"id": 7} for b in bodies)
+    assert {b["page"] for b in bodies} >= {1, 2}
+
+
+def test_a_source_without_a_table_is_refused_before_fetching(spark, store):
+    with pytest.raises(ValueError, match="'w'"):
+        ingest.ingest_paged(store, seeds(spark, "v").union(seeds(spark, "w")), Paged(), {"v": "vessels"}, 200, "b1", POLICY)
+    assert not store.exists("audit")
+
+
+def test_a_chain_that_comes_back_ends(spark):
+    link = lambda request: Response(200, '{"value": [1], "nextLink": "https://x.test/v"}')
+    tries = fetch.follow_cursor(seeds(spark, "v").withColumn("api_url", F.lit("https://x.test/v")), link, POLICY).collect()
+    assert [t.status for t in tries] == ["SUCCESS", "FAILED"]

@@ -204,15 +204,18 @@ def test_contracts_end_to_end(spark, store, lookups):
     assert normalise.normalise_contracts(store, "cp", *lookups) == {}
 
 
-def test_both_pages_of_a_batch_are_read_and_older_batches_stay_pending(spark, store):
+def test_both_pages_of_a_batch_are_read_and_older_batches_are_superseded(spark, store):
     store.append("oh", pages(spark, [{"offhire_uuid": "old"}], batch="b0", ts=datetime(2024, 4, 1)))
     store.append("oh", pages(spark, [{"offhire_uuid": "a"}], [{"offhire_uuid": "b"}]))
     store.append("oh", pages(spark, [{"offhire_uuid": "failed"}], batch="b9", done=True, ts=datetime(2024, 7, 1)))
     normalise.normalise_offhires(store, "oh")
     assert {r.offhire_uuid for r in store.read("offhires").collect()} == {"a", "b"}
-    normalise.normalise_offhires(store, "oh")
-    assert {r.offhire_uuid for r in store.read("offhires").collect()} == {"old"}
     assert normalise.normalise_offhires(store, "oh") == {}
+    assert {r.offhire_uuid for r in store.read("offhires").collect()} == {"a", "b"}
+    states = {r._Batch_run_id: r.state for r in store.read("_processed_batches").collect()}
+    assert states == {"b1": "processed", "b0": "superseded"}
+    with pytest.raises(ValueError, match="latest_row"):
+        normalise.normalise_offhires(store, "oh", choose="latest_row")
     assert normalise.normalise_offhires(store, "missing") == {}
 
 
@@ -227,7 +230,7 @@ def test_vessel_register_is_kept_by_upsert(spark, store):
     normalise.normalise_vessels(store, "v", country)
     land("b2", 2, vessel(2, vesselTeu=2), vessel(3, vesselTeu=2), vessel(None))
     normalise.normalise_vessels(store, "v", country)
-    assert {r.imo: r.teu for r in store.read("vessel_register").collect()} == {1: 1, 2: 2, 3: 2}
+    assert {r.imo: r.teu for r in store.read("vessel_register").collect()} == {1: 1, 2: 2, 3: 2, None: 5}
     land("b3", 3, vessel(9, vesselTeu=9))
     normalise.normalise_vessels(store, "v", country, full_refresh=True)
     assert store.read("vessel_register").count() == 1
@@ -267,3 +270,25 @@ def test_bronze_stream_picks_up_new_pages_only(spark, store, tmp_path):
     store.append("oh", pages(spark, [{"offhire_uuid": "b"}]))
     store.append("oh", pages(spark, [{"offhire_uuid": "c"}], done=True))
     assert run() == ["a", "b"]
+
+
+def test_one_large_page_is_parsed_in_all_tasks(spark):
+    """A service may answer with one page: its records spread before the wide parse."""
+    doc = {"contracts": [{"contractId": str(i), "shipName": "a \"q\" 1.50 é"} for i in range(5000)]}
+    landed = spark.createDataFrame([(json.dumps(doc), "b1")], "Raw_data string, _Batch_run_id string")
+    records = contracts.contract_records(landed, ("header",))
+    parts = records.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(r["count"] for r in parts) == 5000
+    assert records.select("c.shipName").distinct().first()[0] == 'a "q" 1.50 é'
+
+
+def test_children_of_an_older_batch_do_not_stay(spark, store):
+    """A batch whose contracts have no rates empties the table of rates."""
+    docs = spark.createDataFrame([], "fixture_ID string, extension_date string, crmd_name string")
+    ships_dim = spark.createDataFrame([], "Hull_no string, imo long")
+    for batch, day, rates in (("b1", 1, [{"rate": 5}]), ("b2", 2, [])):
+        doc = {"contracts": [{"contractId": day, "contractType": "charterparty", "period": "past", "rates": rates}]}
+        store.append("cp", pages(spark, doc, batch=batch, ts=datetime(2024, 5, day)))
+        normalise.normalise_contracts(store, "cp", docs, ships_dim)
+    assert [r.contractId for r in store.read("charterparties").collect()] == [2]
+    assert store.read("charterparties_rates").count() == 0

@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import sys
+from uuid import uuid4
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.checks.registry import Tables, as_of, pages, query
+from tidemark.checks.registry import Tables, as_of, dealt, pages, query
 from tidemark.functions import scalars
 from tidemark.functions.json import page_meta, to_json_text
-from tidemark.operators import audit, lookup, pivot, select, sinks, skew
-from tidemark.operators.nested import spread_pages
-from tidemark.plans import ships
+from tidemark.operators import audit, lookup, nested, pivot, select, sinks, skew
+from tidemark.plans import normalise, ships
+from tidemark.session import shared_folder
 from tidemark.sources import fetch
-from tidemark.sources.fetch import Response
-
-# The caller may run from any folder, so what the tasks of the two fetch queries need goes with them.
-for module in (fetch, sys.modules[__name__]):
-    cloudpickle.register_pickle_by_value(module)
 
 # -- lookups -------------------------------------------------------------------------------------
 
@@ -103,12 +97,11 @@ def lookup_first(t: Tables) -> DataFrame:
 
 @query(
     "lookup_multiplies",
-    """SELECT n_name, c_custkey FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey
-         AND c_acctbal > 0""",
+    "SELECT n_name, c_custkey FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey",
 )
 def lookup_multiplies(t: Tables) -> DataFrame:
     """Duplicate lookup keys multiply rows where no other policy is asked for."""
-    side = lookup.unique_side(t.customer.where("c_acctbal > 0"), ["c_nationkey"], ["c_custkey"])
+    side = lookup.unique_side(t.customer, ["c_nationkey"], ["c_custkey"])
     return lookup.composite_lookup(
         t.nation.select("n_name", "n_nationkey"), side,
         [(F.col("n_nationkey"), F.col("c_nationkey"))], {"c_custkey": "c_custkey"},
@@ -377,7 +370,7 @@ LINES = "list_filter(string_split(text, chr(10)), lambda x: length(x) > 60)"
 def line_pages(t: Tables) -> DataFrame:
     """Documents as pages whose records are their longer lines."""
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 60)
-    return spread_pages(t.documents).select(
+    return dealt(t.documents).select(
         "doc_id", F.to_json(F.struct(F.size(lines).alias("totalCount"), lines.alias("results")))
         .alias("Raw_data"),
     )
@@ -393,104 +386,6 @@ def page_record_counts(t: Tables) -> DataFrame:
     return audit.page_record_counts(line_pages(t), "$.results", ["doc_id"])
 
 
-def no_pause(seconds: float) -> None:
-    """Recorded services need no waiting."""
-
-
-POLICY = fetch.RetryPolicy(sleep=no_pause)
-
-
-def _parts(request: dict) -> tuple[int, int]:
-    """(key, page) from the end of a url."""
-    key, page = request["api_url"].split("/")[-2:]
-    return int(key), int(page)
-
-
-class LinkedPages:
-    """A service with key % 4 + 1 pages per key, each linking to the next; every ninth breaks off."""
-
-    def __call__(self, request: dict) -> Response:
-        key, page = _parts(request)
-        if key % 9 == 8 and page == 2:
-            return Response(500, "broken")
-        link = f', "@odata.nextLink": "https://x.test/{key}/{page + 1}"' if page <= key % 4 else ""
-        return Response(200, f'{{"value": [{key}]{link}}}')
-
-
-class Unsteady:
-    """A service whose first answers, by key % 6, are good, failing, refusing or rate limited."""
-
-    def __init__(self):
-        self.seen: dict[str, int] = {}
-
-    def __call__(self, request: dict) -> Response:
-        url = request["api_url"]
-        self.seen[url] = self.seen.get(url, 0) + 1
-        n, kind = self.seen[url], _parts(request)[0] % 6
-        if kind == 1 and n == 1:
-            return Response(503, "busy")
-        if kind == 2:
-            return Response(404, "gone")
-        if kind == 3 and n <= 4:
-            return Response(429, "slow down", {"Retry-After": "soon"})
-        if kind == 4 and n <= 2:
-            raise TimeoutError("no answer")
-        if kind == 5:
-            return Response(429, "slow down")
-        return Response(200, f"[{kind}]")
-
-
-def requests(t: Tables) -> DataFrame:
-    """One request per customer."""
-    url = F.concat(F.lit("https://x.test/"), F.col("c_custkey"), F.lit("/1"))
-    return fetch.seed(t.customer, F.col("c_custkey").cast("string"), url)
-
-
-CHAIN_SQL = """
-SELECT c_custkey, page, try, CASE WHEN c_custkey % 9 = 8 AND page = 2
-    THEN CASE WHEN try = 3 THEN 'FAILED' ELSE 'RETRY' END ELSE 'SUCCESS' END AS status
-FROM customer, range(1, 5) AS p(page), range(1, 4) AS a(try)
-WHERE page <= c_custkey % 4 + 1 AND (try = 1 OR c_custkey % 9 = 8 AND page = 2)
-  AND NOT (c_custkey % 9 = 8 AND page > 2)
-"""
-
-
-@query(
-    "cursor_chain",
-    f"""SELECT CAST(c_custkey AS VARCHAR) AS source, CAST(page AS INTEGER) AS page_no,
-          CAST(try AS INTEGER) AS attempt_number, status,
-          CASE WHEN status = 'SUCCESS' THEN 200 ELSE 500 END AS response_code FROM ({CHAIN_SQL})""",
-)
-def cursor_chain(t: Tables) -> DataFrame:
-    """Chains of linked pages, one per customer, followed to their end or first failure."""
-    got = fetch.follow_cursor(requests(t), LinkedPages(), POLICY, in_flight=8)
-    return got.select("source", "page_no", "attempt_number", "status", "response_code")
-
-
-RETRY_SQL = """
-SELECT CAST(c_custkey AS VARCHAR) AS source, CAST(try AS INTEGER) AS attempt_number,
-  CASE WHEN k = 2 AND try = 3 OR k = 5 THEN 'FAILED'
-       WHEN k = 2 OR k = 1 AND try = 1 OR k = 4 AND try <= 2 THEN 'RETRY' ELSE 'SUCCESS' END AS status,
-  CASE WHEN k = 1 AND try = 1 THEN 503 WHEN k = 2 THEN 404 WHEN k = 5 THEN 429
-       WHEN k = 4 AND try <= 2 THEN NULL ELSE 200 END AS response_code,
-  CASE WHEN k = 1 AND try = 1 THEN 'HTTP 503' WHEN k = 2 THEN 'HTTP 404'
-       WHEN k = 4 AND try <= 2 THEN 'no answer' WHEN k = 5 THEN 'gave up after 10 rate-limit responses'
-       END AS error_message
-FROM (SELECT c_custkey, c_custkey % 6 AS k FROM customer), range(1, 4) AS a(try)
-WHERE try <= CASE k WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 4 THEN 3 ELSE 1 END
-"""
-
-
-@query("fetch_retries", RETRY_SQL)
-def fetch_retries(t: Tables) -> DataFrame:
-    """One request per customer against a service that fails in every way the policy knows."""
-    got = fetch.fetch_pages(requests(t), Unsteady(), POLICY, in_flight=8)
-    return got.select("source", "attempt_number", "status", "response_code", "error_message")
-
-
-# -- audit: events are attempts, a user and a day one request ---------------------------------------
-
-
 def attempts(t: Tables) -> DataFrame:
     """Events as attempts of the request (user, day), numbered by their id."""
     return t.events.select(
@@ -663,25 +558,104 @@ def _bronze(t: Tables, keep_failures: bool) -> DataFrame:
 # -- sinks ---------------------------------------------------------------------------------------
 
 
-@query(
-    "upsert_merge",
-    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
-       FROM customer WHERE c_custkey % 5 <> 0
-       UNION ALL SELECT c_custkey, c_name, c_acctbal + 1 FROM customer
-         WHERE c_custkey % 5 = 0 AND c_custkey % 3 = 0""",
-)
-def upsert_merge(t: Tables) -> DataFrame:
-    """Four fifths of the customers are there; a third of all come in changed, each one twice."""
+def _changes(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Four fifths of the customers in a table; the rest, and a third of all, come in, each one twice."""
     rows = t.customer.select("c_custkey", "c_name", "c_acctbal")
-    target = rows.where("c_custkey % 5 <> 0")
-    change = rows.where("c_custkey % 3 = 0")
-    older = change.withColumn("version", F.lit(1))
+    change = rows.where("c_custkey % 3 = 0 OR c_custkey % 5 = 0")
     newer = change.withColumns({"c_acctbal": F.col("c_acctbal") + 1, "version": F.lit(2)})
-    nobody = newer.where("c_custkey = 0").withColumn("c_custkey", F.lit(None).cast("bigint"))
-    source = older.union(newer).union(nobody)
+    return rows.where("c_custkey % 5 <> 0"), change.withColumn("version", F.lit(1)).union(newer)
+
+
+UPSERT_SQL = """SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 OR c_custkey % 5 = 0
+  THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer"""
+
+
+@query("upsert_merge", UPSERT_SQL)
+def upsert_merge(t: Tables) -> DataFrame:
+    target, source = _changes(t)
     return sinks.upsert(target, source, ["c_custkey"], "latest", ["version"]).drop("version")
 
 
+def _store(t: Tables) -> sinks.Store:
+    return sinks.Store(t.spark, f"{shared_folder(t.spark)}/tidemark-staged/checks-{uuid4().hex}")
+
+
+@query("upsert_slots", UPSERT_SQL)
+def upsert_slots(t: Tables) -> DataFrame:
+    """The same merge into a stored table kept in hash slots of the key."""
+    target, source = _changes(t)
+    store = _store(t)
+    store.merge_slots("customers", target, ["c_custkey"], slots=16)
+    store.merge_slots("customers", source, ["c_custkey"], 16, "latest", ["version"])
+    return store.read("customers").select("c_custkey", "c_name", "c_acctbal")
+
+
+@query(
+    "upsert_null_keys",
+    """SELECT CASE WHEN c_custkey % 4 <> 0 THEN c_custkey END AS k, c_name FROM customer
+       UNION ALL SELECT c_custkey, 'kept' FROM customer WHERE c_custkey % 4 = 0""",
+)
+def upsert_null_keys(t: Tables) -> DataFrame:
+    """A fourth of the rows that come in have no key: they match nothing and are added."""
+    key = F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey"))
+    source = t.customer.select(key.alias("k"), "c_name")
+    target = t.customer.select(F.col("c_custkey").alias("k"), F.lit("kept").alias("c_name"))
+    return sinks.upsert(target, source, ["k"])
+
+
+@query("publish_refresh", "SELECT c_custkey, c_name FROM customer")
+def publish_refresh(t: Tables) -> DataFrame:
+    """A table written twice in full: the second version replaces the first, whatever it held."""
+    store = _store(t)
+    rows = t.customer.select("c_custkey", "c_name")
+    store.publish("customers", rows.withColumn("c_name", F.lit("before")))
+    done = store.publish("customers", rows)
+    count = F.lit(done.rows)
+    return store.read("customers").where(count == rows.count())
+
+
+@query("publish_guarded", "SELECT c_custkey, c_name FROM customer")
+def publish_guarded(t: Tables) -> DataFrame:
+    """An empty result leaves a guarded table as it was."""
+    store = _store(t)
+    rows = t.customer.select("c_custkey", "c_name")
+    store.publish("customers", rows)
+    done = store.publish("customers", rows.where("c_custkey < 0"), skip_if_empty=True)
+    return store.read("customers").where(F.lit(not done.wrote))
+
+
+@query("publish_auto", UPSERT_SQL)
+def publish_auto(t: Tables) -> DataFrame:
+    """The first run overwrites, the next one merges."""
+    target, source = _changes(t)
+    store, how = _store(t), {"mode": "auto", "keys": ["c_custkey"]}
+    store.publish("customers", target, **how)
+    store.publish("customers", source, on_duplicate="latest", newest_by=["version"], **how)
+    return store.read("customers").select("c_custkey", "c_name", "c_acctbal")
+
+
+@query(
+    "superseded_batches",
+    """SELECT 'b' || n_regionkey AS batch, CASE WHEN n_regionkey = 4 THEN 'processed' ELSE 'superseded' END AS state,
+         count(*) AS pages, 'b4' AS in_silver FROM nation GROUP BY n_regionkey""",
+)
+def superseded_batches(t: Tables) -> DataFrame:
+    """Five batches wait, of which the newest goes to silver; a second run finds nothing to do."""
+    store = _store(t)
+    landed = t.nation.select(
+        F.to_json(F.array(F.struct(F.col("n_name").alias("id")))).alias("Raw_data"), F.lit(False).alias("_is_normalized"),
+        F.concat(F.lit("b"), "n_regionkey").alias("_Batch_run_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("n_regionkey")).alias("_ingestion_ts"),
+    )
+    store.append("pages", landed, partition_by=["_Batch_run_id"])
+    normalise.normalise_reviews(store, "pages")
+    assert normalise.normalise_reviews(store, "pages") == {}
+    silver = store.read("reviews").agg(F.concat_ws(",", F.sort_array(F.collect_set("_Batch_run_id"))).alias("b"))
+    states = store.read(sinks.LEDGER).select(F.col("_Batch_run_id").alias("batch"), "state")
+    pages = landed.groupBy(F.col("_Batch_run_id").alias("batch")).agg(F.count("*").alias("pages"))
+    return pages.join(states, "batch").withColumn("in_silver", silver.select("b").scalar())
+
+
 @query(
     "evolve_append",
     """SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS segment FROM customer WHERE c_custkey % 2 = 0
@@ -692,4 +666,4 @@ def evolve_append(t: Tables) -> DataFrame:
     new = t.customer.where("c_custkey % 2 = 1").select(
         F.col("c_mktsegment").alias("segment"), "c_name", "c_custkey"
     )
-    return sinks.evolve_append(old, new)
+    return nested.union_aligned(old, new)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.nested import spread_pages
 from tidemark.session import use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,9 +59,14 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows of a small test table over all cores, so that building documents from them is too."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def pages(df: DataFrame, doc: Column, *, batch: Column | None = None, ts: Column | None = None):
     """Bronze pages from rows: one JSON document per row, built row by row."""
-    return spread_pages(df).select(
+    return dealt(df).select(
         F.to_json(doc).alias("Raw_data"),
         (F.lit("batch-1") if batch is None else batch).alias("_Batch_run_id"),
         F.lit(False).alias("_is_normalized"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.checks.registry import Tables, query
+from tidemark.checks.registry import Tables, dealt, query
 from tidemark.functions import dates, scalars
 from tidemark.functions.json import is_json, json_decimal
 from tidemark.operators import nested
@@ -323,7 +323,7 @@ def filter_first(t: Tables) -> DataFrame:
 )
 def explode_array_root(t: Tables) -> DataFrame:
     """Whole texts as a JSON array of lines per document."""
-    doc = nested.spread_pages(t.documents).select(
+    doc = dealt(t.documents).select(
         F.to_json(
             F.transform(F.split("text", "\n"), lambda x: F.struct(F.col("doc_id"), x.alias("line")))
         ).alias("Raw_data")
@@ -374,7 +374,7 @@ def body_kind(t: Tables) -> DataFrame:
          WHERE l_linenumber <> 3""",
 )
 def explode_map_bunker(t: Tables) -> DataFrame:
-    doc = nested.spread_pages(t.lineitem).select(
+    doc = dealt(t.lineitem).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.expr(
             """to_json(map_filter(map(

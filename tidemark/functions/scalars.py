@@ -101,10 +101,6 @@ def typed_null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
-def first_non_null(*cs: Column | str) -> Column:
-    return F.coalesce(*[_col(c) for c in cs])
-
-
 def key_or_fallback(key: Column | str, fallback: Column | str) -> Column:
     """The key as text, or the fallback where the key is 0."""
     key = _col(key)

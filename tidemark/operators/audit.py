@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ def truncate_body(df: DataFrame, n: int | None, col: str = "response_body") -> D
 
 def attempts_to_audit(
     attempts: DataFrame, batch_id: str | Column, api_type: str | Column = "REST",
-    context: str | Column | None = None, body_chars: int | None = 65_535,
+    context: str | Column | None = None, body_chars: int | None = None,
 ) -> DataFrame:
     """One audit row per request sent, secrets masked before the body is cut."""
 
@@ -133,12 +133,12 @@ def failed_requests(
 
 def raise_on_failed(
     attempts: DataFrame, by: Sequence[str] = ("source", "page_no"), tolerate: int = 0,
-    client_errors: range = range(400, 429),
+    client_errors: range = range(400, 429), report: Callable[[DataFrame], str] | None = None,
 ) -> int:
     """Stop the run if more than ``tolerate`` requests failed; returns how many did.
 
-    Called after the audit rows are written. The driver gets a count and the first few requests in
-    order for the message, not the whole list.
+    Called after the audit rows are written. ``report`` writes the list of failed requests to a table
+    and returns its name for the message; without it the message itself lists them all.
     """
     failed = failed_requests(attempts, by)
     refused = F.col("response_code").between(client_errors.start, client_errors.stop - 1)
@@ -146,10 +146,11 @@ def raise_on_failed(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(refused.cast("int")), F.lit(0)).alias("c")
     ).first()
     if row["n"] > tolerate:
-        shown = [tuple(r[c] for c in by) for r in failed.orderBy(*by).limit(20).select(*by).collect()]
-        raise RuntimeError(
-            f"{row['n']} request(s) failed, {row['c']} of them refused by the service; first: {shown}"
-        )
+        if report:
+            where = f"listed in {report(failed)}"
+        else:
+            where = str([tuple(r[c] for c in by) for r in failed.select(*by).orderBy(*by).toLocalIterator()])
+        raise RuntimeError(f"{row['n']} request(s) failed, {row['c']} of them refused by the service: {where}")
     return row["n"]
 
 

@@ -18,10 +18,6 @@ def parse_array(df: DataFrame, col: str, element: str, into: str = "_parsed") ->
     return df.withColumn(into, F.from_json(F.col(col), f"array<{element}>"))
 
 
-def parse_record(df: DataFrame, col: str, schema: str, into: str = "_record") -> DataFrame:
-    return parse_object(df, col, schema, into)
-
-
 def parse_text_field(df: DataFrame, path: str, ddl: str, into: str) -> DataFrame:
     """Parse a field which the first parse kept as JSON text."""
     return df.withColumn(into, F.from_json(F.col(path), ddl))
@@ -66,6 +62,27 @@ def _as_expression(col: str | Column) -> Column:
     return F.when(F.size(c) > 0, c)
 
 
+def page_records(
+    pages: DataFrame, carry: Sequence[str | Column] = (), path: str | None = None,
+    col: str = "Raw_data", into: str = "_text",
+) -> DataFrame:
+    """The records of each page as JSON text, one per row, dealt out over all tasks.
+
+    ``path`` names the member that holds the array of records; without it the root is the array, and an
+    object root is one record. A service may answer with one very large page: its text is only cut
+    into records where it was read, and the wide parse that follows runs on rows that are spread
+    evenly. Numbers, escapes and nested members keep their text.
+    """
+    text = F.col(col)
+    if path:
+        listed = F.from_json(text, f"{path} array<string>")[path]
+    else:
+        is_object = F.ltrim(text).startswith("{")
+        listed = F.when(is_object, F.array(text)).otherwise(F.from_json(text, "array<string>"))
+    records = pages.select(*carry, F.explode(_as_expression(listed)).alias(into))
+    return records.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def explode_map(
     df: DataFrame, col: str | Column, carry: Sequence[str | Column] = (),
     key: str = "key", value: str = "value",
@@ -84,11 +101,6 @@ def flatten(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
     )
 
 
-def keep_left_plus(df: DataFrame, left_alias: str, extra: Mapping[str, str | Column]) -> DataFrame:
-    more = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in extra.items()]
-    return df.select(f"{left_alias}.*", *more)
-
-
 def null_when(df: DataFrame, cond: Column, columns: Sequence[str]) -> DataFrame:
     """Set the columns to NULL where the condition holds, keeping their types."""
     return df.withColumns({c: F.when(cond, F.lit(None)).otherwise(F.col(c)) for c in columns})
@@ -101,14 +113,3 @@ def union_aligned(a: DataFrame, b: DataFrame) -> DataFrame:
 def stamp(df: DataFrame, load_ts: Column | None = None, name: str = "_ingestion_ts") -> DataFrame:
     """Add the load time: a given literal for repeatable output, else the query's start time."""
     return df.withColumn(name, F.current_timestamp() if load_ts is None else load_ts)
-
-
-def spread_pages(df: DataFrame) -> DataFrame:
-    """Deal pages out over all cores when the input comes in fewer splits than that.
-
-    Parsing is the costly step and a page is its smallest unit, so a handful of files would keep most
-    executors idle. An input with enough splits, which any large one has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import iso_ts
 
-MAX_FIELDS = 5_000
-
 
 def clean_name(name: str) -> str:
     return re.sub(r"[^a-zA-Z0-9_]", "_", name).strip("_")
@@ -39,11 +37,10 @@ def map_properties(
     return titled.join(mapping.select(key, field), key)
 
 
-def field_names(df: DataFrame, field: str = "crm_field", most: int = MAX_FIELDS) -> list[str]:
-    """The distinct field names, sorted. They become columns, so too many is an error, not a cut."""
-    found = df.select(field).distinct().where(F.col(field).isNotNull()).take(most + 1)
-    if len(found) > most:
-        raise ValueError(f"more than {most} distinct values in {field}")
+def field_names(df: DataFrame, field: str = "crm_field") -> list[str]:
+    """The distinct field names, sorted: they become columns, so there are as many as the property map
+    names and all of them are kept."""
+    found = df.select(field).distinct().where(F.col(field).isNotNull()).collect()
     return sorted(row[0] for row in found)
 
 

@@ -45,10 +45,6 @@ def slice_by(df: DataFrame, column: str, *values: str) -> DataFrame:
     return df.where(F.col(column).isin(*values))
 
 
-def require_not_null(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
-
-
 def in_force(df: DataFrame, period: Column, start: Column, as_of: Column) -> DataFrame:
     """Keep all past and upcoming rows, and ongoing rows that have started by ``as_of``."""
     return df.where(period.isin("past", "upcoming") | ((period == "ongoing") & (start <= as_of)))

@@ -99,8 +99,7 @@ class Store:
         """
         slot = f"_slot_of_{slots}"
         number = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(slots))
-        known = df.dropna(subset=list(keys))
-        rows = one_per_key(known, keys, on_duplicate, newest_by).withColumn(slot, number.cast("int"))
+        rows = distinct_keys(df, keys, on_duplicate, newest_by).withColumn(slot, number.cast("int"))
         if self.exists(name):
             table = self.read(name)
             if slot not in table.columns:
@@ -145,10 +144,17 @@ class Store:
             return self.spark.createDataFrame([], f"{BATCH} string")
         return self.read(LEDGER).where(F.col("table") == table).select(BATCH)
 
-    def mark_processed(self, table: str, batches: DataFrame, batch: str = BATCH) -> Written:
-        """Write down exactly the batches given; bronze itself is never rewritten."""
-        rows = batches.select(F.lit(table).alias("table"), F.col(batch).alias(BATCH)).distinct()
-        return self.append(LEDGER, rows.withColumn("processed_at", F.current_timestamp()))
+    def mark_processed(
+        self, table: str, batches: DataFrame, batch: str = BATCH, state: str | Column = "processed"
+    ) -> Written:
+        """Write down exactly the batches given; bronze itself is never rewritten.
+
+        ``state`` is ``superseded`` for a batch that was passed over because a newer one is in silver.
+        """
+        how = F.lit(state) if isinstance(state, str) else state
+        rows = batches.select(F.lit(table).alias("table"), F.col(batch).alias(BATCH), how.alias("state"))
+        stamped = rows.distinct().withColumn("processed_at", F.current_timestamp())
+        return self.append(LEDGER, stamped, evolve=True)
 
 
 def one_per_key(
@@ -172,22 +178,30 @@ def one_per_key(
     )
 
 
-def quarantined(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows an upsert leaves out because a key is NULL."""
+def without_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a NULL key: they match nothing, so a merge adds each of them."""
     return df.where(" OR ".join(f"`{k}` IS NULL" for k in keys))
 
 
+def distinct_keys(
+    df: DataFrame, keys: Sequence[str], on_duplicate: str = "error", newest_by: Sequence[str] = ()
+) -> DataFrame:
+    """At most one row per key, and all rows without one."""
+    known = one_per_key(df.dropna(subset=list(keys)), keys, on_duplicate, newest_by)
+    return known.unionByName(without_key(df, keys))
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error",
     newest_by: Sequence[str] = (),
 ) -> DataFrame:
     """Merge: rows of the target that match take all source values, new keys are added.
 
-    Written as an update (left join) and an insert (anti join); both let adaptive execution split a
-    hot target key. Columns known to one side only are kept and filled with NULL.
+    Rows whose key is NULL match nothing and are added. Written as an update (left join) and an insert
+    (anti join); both let adaptive execution split a hot target key. Columns known to one side only are kept and filled with NULL.
     """
     keys = list(keys)
-    fresh = one_per_key(source.dropna(subset=keys), keys, on_duplicate, newest_by)
+    fresh = distinct_keys(source, keys, on_duplicate, newest_by)
     values = [c for c in source.columns if c not in keys]
     packed = fresh.select(*keys, F.struct(F.lit(1).alias("_"), *values).alias("_new"))
     matched = F.col("_new").isNotNull()
@@ -212,8 +226,3 @@ def conform(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     """Select and cast to a declared schema, in its order; values that do not fit become NULL."""
     fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
-
-
-def evolve_append(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Append where either side may have columns the other lacks."""
-    return union_aligned(old, new)

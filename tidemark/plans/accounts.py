@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import date_or_default, zone_minus_minute
 from tidemark.functions.json import struct_of, strings
 from tidemark.functions.scalars import first_of, strip_ws
-from tidemark.operators.nested import explode_parsed, parse_array, parse_object, stamp
+from tidemark.operators.nested import explode_parsed, page_records, parse_object, stamp
 from tidemark.operators.select import distinct_rows
 
 # Members of both account documents.
@@ -37,7 +37,7 @@ CLOUD_PAGE = struct_of([("value", f"array<{CLOUD_ACCOUNT}>")])
 
 def directory_accounts(pages: DataFrame, load_ts: Column | None = None) -> DataFrame:
     """Distinct accounts of all pages given."""
-    rows = explode_parsed(parse_array(pages, "Raw_data", ACCOUNT), ["_parsed"], into="u")
+    rows = parse_object(page_records(pages), "_text", ACCOUNT, "u")
 
     def first(name: str) -> Column:
         return first_of(f"u.properties.{name}")

@@ -178,11 +178,11 @@ def header_schema() -> list[tuple[str, str]]:
 
 
 def document_schema(parts: tuple[str, ...] = ("header", *CHILDREN)) -> str:
-    """Schema of a page holding only the parts asked for, so that nothing else is materialised."""
+    """Schema of a contract holding only the parts asked for, so that nothing else is materialised."""
     fields = [("contractId", "string"), ("rate_review_period", "string")]
     for part in parts:
         fields += header_schema() if part == "header" else [(part, CHILDREN[part])]
-    return struct_of([("contracts", f"array<{struct_of(fields)}>")])
+    return struct_of(fields)
 
 
 def column(kind: str, path: str, doc: str = "c") -> Column:

@@ -15,8 +15,8 @@ from tidemark.functions.dates import century_fix
 from tidemark.functions.json import strings
 from tidemark.operators.lookup import composite_lookup, resolve_id
 from tidemark.operators.nested import (
-    explode_parsed, explode_path, link_column, null_when, parse_object, parse_text_field, stamp,
-    union_aligned,
+    explode_parsed, explode_path, link_column, null_when, page_records, parse_object,
+    parse_text_field, stamp, union_aligned,
 )
 from tidemark.operators.rates import RESULT, active_rate, attach_rate, expected_redelivery
 from tidemark.operators.select import BATCH, slice_by
@@ -28,8 +28,8 @@ ALL_PARTS = ("header", *fields.CHILDREN)
 
 
 def contract_records(pages: DataFrame, parts: tuple[str, ...] = ALL_PARTS) -> DataFrame:
-    parsed = parse_object(pages, "Raw_data", fields.document_schema(parts))
-    return explode_parsed(parsed, ["_parsed.contracts"], [BATCH], into="c")
+    texts = page_records(pages, [BATCH], "contracts")
+    return parse_object(texts, "_text", fields.document_schema(parts), "c").select(BATCH, "c")
 
 
 def contract_projection(records: DataFrame, load_ts: Column | None = None) -> DataFrame:

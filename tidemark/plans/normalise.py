@@ -2,33 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.nested import spread_pages
-from tidemark.operators.select import BATCH, all_pending, is_empty, latest_batch, latest_row
+from tidemark.operators.select import (
+    BATCH, STAMP, all_pending, exclude, is_empty, latest_batch, pending,
+)
 from tidemark.operators.sinks import Store, Written
 from tidemark.operators.staging import staged
 from tidemark.plans import accounts, contracts, employees, offhires, ships, vessels
 
-CHOICES: Mapping[str, Callable[[DataFrame], DataFrame]] = {
-    "latest_batch": latest_batch, "latest_row": latest_row, "all": lambda df: df,
-}
+CHOICES = ("latest_batch", "all")
+# Tables that keep their rows when a batch has none for them. All others become empty.
+GUARDED = (
+    "charterparties_option charterparty_brokerageCommission charterparty_deliveryNotices "
+    "charterparty_premiums charterparty_redeliveryNotices offhires offhires_atCost offhire_lumpSums "
+    "offhire_rates offhire_bunker reviews"
+).split()
 
 
 def pages_to_do(store: Store, table: str, choose: str = "latest_batch") -> DataFrame | None:
-    """Pending pages of a bronze table, or None where there are none."""
+    """Pending pages of a bronze table, whole batches only, or None where there are none.
+
+    ``latest_batch`` is the newest batch that landed, processed or not: once it is in silver nothing is
+    left to do, and an older batch that was never processed cannot replace it.
+    """
+    if choose not in CHOICES:
+        raise ValueError(f"unknown choice {choose!r}, not one of {CHOICES}")
     if not store.exists(table):
         return None
-    waiting = all_pending(store.read(table), store.ledger(table))
-    pages = CHOICES[choose](waiting)
-    return None if is_empty(pages) else spread_pages(pages)
-
-
-def _done(store: Store, table: str, pages: DataFrame) -> None:
-    store.mark_processed(table, pages.select(BATCH))
+    landed, done = store.read(table), store.ledger(table)
+    if choose == "all":
+        pages = all_pending(landed, done)
+    else:
+        pages = exclude(latest_batch(pending(landed)), done, [BATCH])
+    return None if is_empty(pages) else pages
+
+
+def _marks(store: Store, table: str, pages: DataFrame, choose: str) -> DataFrame:
+    """What the ledger will say: the batches taken are processed, and older ones that the newest batch
+    passes over are superseded. Written down before silver is, so that it tells what was read."""
+    taken = pages.groupBy(BATCH).agg(F.max(STAMP).alias("at")).withColumn("state", F.lit("processed"))
+    if choose == "latest_batch":
+        waiting = all_pending(store.read(table), store.ledger(table))
+        newest = pages.agg(F.max(STAMP).alias("at")).select("at").scalar()
+        older = exclude(waiting, pages, [BATCH]).where(F.col(STAMP) <= newest)
+        passed = older.groupBy(BATCH).agg(F.max(STAMP).alias("at")).withColumn("state", F.lit("superseded"))
+        taken = taken.unionByName(passed)
+    return staged(taken.select(BATCH, "state"))
 
 
 def normalise_contracts(
@@ -39,13 +62,14 @@ def normalise_contracts(
     pages = pages_to_do(store, table, choose)
     if pages is None:
         return {}
-    now = F.current_timestamp() if as_of is None else as_of
+    marks = _marks(store, table, pages, choose)
+    now = F.lit(store.spark.range(1).select(F.current_timestamp()).first()[0]) if as_of is None else as_of
     records = staged(contracts.contract_records(pages))
     rate_rows = contracts.rates(records, load_ts)
     extension_rows = contracts.extensions(records, load_ts)
     done = {
-        "charterparties_rates": store.replace("charterparties_rates", rate_rows, True),
-        "charterparties_extension": store.replace("charterparties_extension", extension_rows, True),
+        "charterparties_rates": store.replace("charterparties_rates", rate_rows),
+        "charterparties_extension": store.replace("charterparties_extension", extension_rows),
     }
     for name, make in {
         "charterparties_lump_sums": contracts.lump_sums,
@@ -55,21 +79,20 @@ def normalise_contracts(
         "charterparty_premiums": contracts.premiums,
         "charterparty_redeliveryNotices": contracts.redelivery_notices,
     }.items():
-        done[name] = store.replace(name, make(records, load_ts), skip_if_empty=True)
+        done[name] = store.replace(name, make(records, load_ts), skip_if_empty=name in GUARDED)
     combined = contracts.charterparties(
         records, rate_rows, documents, vessel_dim, now, load_ts, **how
     )
     option_rows = contracts.options(records, rate_rows, now, load_ts, **how)
-    done["charterparties"] = store.replace("charterparties", combined, True)
-    done["charterparties_option"] = store.replace("charterparties_option", option_rows, True)
-    if done["charterparties"].wrote:
-        combined = store.read("charterparties")
-    if done["charterparties_option"].wrote:
+    done["charterparties"] = store.replace("charterparties", combined)
+    done["charterparties_option"] = store.replace("charterparties_option", option_rows, "charterparties_option" in GUARDED)
+    combined = store.read("charterparties")
+    if store.exists("charterparties_option"):
         option_rows = store.read("charterparties_option")
     done["charterparties_all"] = store.replace(
-        "charterparties_all", contracts.contracts_all(combined, option_rows, vessel_dim), True
+        "charterparties_all", contracts.contracts_all(combined, option_rows, vessel_dim)
     )
-    _done(store, table, pages)
+    store.mark_processed(table, marks, state=F.col("state"))
     return done
 
 
@@ -79,14 +102,15 @@ def normalise_offhires(
     pages = pages_to_do(store, table, choose)
     if pages is None:
         return {}
+    marks = _marks(store, table, pages, choose)
     records = staged(offhires.offhire_records(pages))
     makers = {
         "offhires": offhires.offhires, "offhires_atCost": offhires.at_cost,
         "offhire_lumpSums": offhires.lump_sums, "offhire_rates": offhires.rates,
         "offhire_bunker": offhires.bunker,
     }
-    done = {n: store.replace(n, make(records, load_ts), True) for n, make in makers.items()}
-    _done(store, table, pages)
+    done = {n: store.replace(n, make(records, load_ts), n in GUARDED) for n, make in makers.items()}
+    store.mark_processed(table, marks, state=F.col("state"))
     return done
 
 
@@ -96,8 +120,9 @@ def _one(
     pages = pages_to_do(store, table, choose)
     if pages is None:
         return {}
-    done = {name: store.publish(name, make(pages), skip_if_empty=True, **how)}
-    _done(store, table, pages)
+    marks = _marks(store, table, pages, choose)
+    done = {name: store.publish(name, make(pages), skip_if_empty=name in GUARDED, **how)}
+    store.mark_processed(table, marks, state=F.col("state"))
     return done
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import iso_ts
 from tidemark.functions.json import strings, struct_of
-from tidemark.operators.nested import explode_parsed, parse_object, parse_record, stamp
+from tidemark.operators.nested import explode_parsed, page_records, parse_object, stamp
 from tidemark.operators.pivot import map_properties, pivot_with_meta
 from tidemark.operators.select import BATCH
 from tidemark.operators.staging import staged
@@ -22,7 +22,6 @@ SHIP = [
 ]
 PROPERTY = "id title value isVerified lastUpdated"
 
-SHIPS_PAGE = struct_of([("count", "int"), ("ships", f"array<{struct_of(SHIP)}>")])
 PROPERTY_LIST = struct_of(
     [
         ("uuid", "string"), ("lastUpdated", "string"), ("shipImoNr", "string"),
@@ -32,9 +31,7 @@ PROPERTY_LIST = struct_of(
 
 
 def ships(pages: DataFrame, load_ts: Column | None = None) -> DataFrame:
-    rows = explode_parsed(
-        parse_object(pages, "Raw_data", SHIPS_PAGE), ["_parsed.ships"], [BATCH], into="s"
-    )
+    rows = parse_object(page_records(pages, [BATCH], "ships"), "_text", struct_of(SHIP), "s")
     columns = [
         iso_ts(f"s.{name}").alias(name) if name == "lastUpdated" else F.col(f"s.{name}")
         for name, _ in SHIP
@@ -44,7 +41,7 @@ def ships(pages: DataFrame, load_ts: Column | None = None) -> DataFrame:
 
 def ship_properties_long(pages: DataFrame) -> DataFrame:
     """One row per ship and property."""
-    parsed = parse_record(pages, "Raw_data", PROPERTY_LIST, "_record")
+    parsed = parse_object(pages, "Raw_data", PROPERTY_LIST, "_record")
     rows = explode_parsed(
         parsed, ["_record.properties"],
         ["_record.uuid", iso_ts("_record.lastUpdated").alias("lastUpdated"), "_record.shipImoNr", BATCH],

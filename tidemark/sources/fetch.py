@@ -148,9 +148,6 @@ def fetch_pages(
     return _on_executors(requests, lambda r: send(r, transport, policy), in_flight)
 
 
-fetch_once = fetch_pages
-
-
 def fetch_first_pages(
     requests: DataFrame, transport: Transport, policy: RetryPolicy = RetryPolicy(),
     in_flight: int = 5, total_key: str = "totalCount", short: int = 200,
@@ -158,19 +155,20 @@ def fetch_first_pages(
     """Page 1 of each source, asked again while it answers with the error-in-disguise page."""
 
     def work(request: dict) -> Iterator[dict]:
+        sent = 0  # attempts are numbered on over all turns of a request
         for turn in range(1, policy.max_tries + 1):
             last = None
             for attempt in send(request, transport, policy):
                 if last:
                     yield last
-                last = attempt
+                sent += 1
+                last = {**attempt, "attempt_number": sent}
             if last["status"] != "SUCCESS" or not _is_sentinel(last["response_body"], total_key, short):
                 yield last
                 return
             more = turn < policy.max_tries
             yield {
-                **last, "status": policy.label(turn),
-                "attempt_number": turn, "error_message": f"{total_key} is -1 in a short body",
+                **last, "status": policy.label(turn), "error_message": f"{total_key} is -1 in a short body",
             }
             if more:
                 policy.sleep(policy.base**turn)
@@ -217,9 +215,13 @@ def follow_cursor(
     """
 
     def work(seed: dict) -> Iterator[dict]:
-        request, page = dict(seed), 1
+        request, page, seen = dict(seed), 1, set()
         while request["api_url"]:
             request["page_no"] = page
+            if request["api_url"] in seen:
+                yield _crash(request, ValueError("the chain of links comes back to a page it has had"))
+                return
+            seen.add(request["api_url"])
             last = None
             for last in send(request, transport, policy):
                 yield last
@@ -238,7 +240,7 @@ def plan_pages(
     """The pages still to ask for, one row each.
 
     Pages are ceil(total / step), or 1 where the total is not positive. ``request`` names a JSON
-    parameter column into which page, step and the mark are written.
+    parameter column into which page, step and the mark are written; other parameters stay.
     """
     total = F.col(total) if isinstance(total, str) else total
     pages = F.when(total > 0, page_count(total, step)).otherwise(F.lit(1)).cast("int")
@@ -248,13 +250,25 @@ def plan_pages(
         mark = F.lit(modified_since) if isinstance(modified_since, str) else modified_since
         planned = planned.withColumn("modified_since", mark)
     if request:
-        parts = [F.lit(step).alias("step"), F.col("page_no").alias("page")]
-        if modified_since is not None:
-            parts.append(F.col("modified_since").alias("modifiedDate"))
-        planned = planned.withColumn(request, F.to_json(F.struct(*parts)))
+        mark = None if modified_since is None else F.col("modified_since")
+        planned = with_parameters(planned, request, step, F.col("page_no"), mark)
     return planned
 
 
+def with_parameters(
+    df: DataFrame, request: str, step: int, page: Column, modified_since: str | Column | None = None
+) -> DataFrame:
+    """Write step, page and the mark into a JSON parameter column, beside what it holds."""
+    mark = F.lit(modified_since) if isinstance(modified_since, str) else modified_since
+    own = {"step": F.lit(step), "page": page, **({} if mark is None else {"modifiedDate": mark})}
+    kind = "map<string,variant>"
+    held = F.col(request) if request in df.columns else F.lit("{}")
+    before = F.coalesce(F.from_json(held, kind), F.from_json(F.lit("{}"), kind))
+    kept = F.map_filter(before, lambda name, _: ~name.isin(*own))
+    fresh = F.from_json(F.to_json(F.struct(*[c.alias(n) for n, c in own.items()])), kind)
+    return df.withColumn(request, F.to_json(F.map_concat(fresh, kept)))
+
+
 def fan_out_keys(
     df: DataFrame, key: str = "imoNr", fallback: str = "provisionalId", into: str = "input_value"
 ) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +15,10 @@ from tidemark.operators.select import BATCH
 from tidemark.operators.sinks import Store
 from tidemark.sources.fetch import (
     NEXT_LINKS, RetryPolicy, Transport, fan_out, fetch_first_pages, fetch_pages, follow_cursor,
-    plan_pages, seed,
+    plan_pages, seed, with_parameters,
 )
 
-FETCHED_TABLE, AUDIT_TABLE = "_fetched", "audit"
+FETCHED_TABLE, AUDIT_TABLE, FAILED_TABLE = "_fetched", "audit", "failed_requests"
 
 
 def new_batch_id() -> str:
@@ -37,7 +39,7 @@ def landed(store: Store, batch_id: str) -> DataFrame:
 def flush(
     store: Store, attempts: DataFrame, batch_id: str, bronze: Mapping[str, str],
     records_path: str | None = None, keep_failures: bool = False, key: str | None = None,
-    context: str | None = None, body_chars: int | None = 65_535, tolerate: int = 0,
+    context: str | None = None, body_chars: int | None = None, tolerate: int = 0,
     ingestion_ts: Column | None = None, gate: bool = True,
 ) -> dict[str, int]:
     """Audit first, then bronze, then the failure gate; one write per table.
@@ -48,14 +50,30 @@ def flush(
     rows = {AUDIT_TABLE: store.append(AUDIT_TABLE, audit, evolve=True).rows}
     now = F.current_timestamp() if ingestion_ts is None else ingestion_ts
     for source, table in bronze.items():
-        one = attempts.where(F.split_part(F.col("source"), F.lit(":"), F.lit(1)) == source)
+        one = attempts.where(belongs_to(source))
         pages = to_bronze(one, batch_id, now, keep_failures, records_path, key)
         rows[table] = store.append(table, pages, partition_by=[BATCH], evolve=True).rows
     if gate:
-        raise_on_failed(attempts, tolerate=tolerate)
+        def listed(failed: DataFrame) -> str:
+            return store.append(FAILED_TABLE, failed.withColumn(BATCH, F.lit(batch_id)), evolve=True).path
+
+        raise_on_failed(attempts, tolerate=tolerate, report=listed)
     return rows
 
 
+def belongs_to(source: str) -> Column:
+    """Rows of a source, or of one of its keys (written ``source:key``)."""
+    return (F.col("source") == source) | F.col("source").startswith(f"{source}:")
+
+
+def require_tables(requests: DataFrame, bronze: Mapping[str, str]) -> None:
+    """Refuse to fetch what has no table to land in."""
+    known = reduce(or_, [belongs_to(source) for source in bronze], F.lit(False))
+    lost = [r["source"] for r in requests.where(~known | F.col("source").isNull()).select("source").distinct().collect()]
+    if lost:
+        raise ValueError(f"no bronze table for source(s) {sorted(map(str, lost))}")
+
+
 def ingest_endpoints(
     store: Store, catalogue: DataFrame, transport: Transport, bronze: Mapping[str, str],
     batch_id: str, policy: RetryPolicy = RetryPolicy(base=1.5),
@@ -63,6 +81,7 @@ def ingest_endpoints(
 ) -> dict[str, int]:
     """Run every endpoint of a catalogue (``source``, ``api_url``), each into its bronze table."""
     seeds = seed(catalogue, F.col("source"), F.col("api_url"))
+    require_tables(seeds, bronze)
     fetched = follow_cursor(seeds, transport, policy, next_paths, in_flight)
     attempts = land(store, fetched, batch_id, "endpoints")
     return flush(store, attempts, batch_id, bronze, **{"keep_failures": True, **how})
@@ -74,7 +93,13 @@ def ingest_paged(
     modified_since: str | None = None, total_path: str = "$.totalCount",
     records_path: str = "$.results", **how,
 ) -> dict[str, int]:
-    """Page 1 of each source tells how many pages there are; the rest are then sent side by side."""
+    """Page 1 of each source tells how many pages there are; the rest are then sent side by side.
+
+    Page, step and the mark are written into the parameters of every request, page 1 included, beside
+    those the seed brings; so the number of pages is that of the changes asked for.
+    """
+    require_tables(seeds, bronze)
+    seeds = with_parameters(seeds, "request_body", step, F.col("page_no"), modified_since)
     fetched = fetch_first_pages(seeds, transport, policy, in_flight)
     first = land(store, fetched, batch_id, "first")
     good = first.where(F.col("status") == "SUCCESS")
