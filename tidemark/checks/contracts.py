@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.checks.registry import Tables, as_of, pages, query
+from tidemark.checks.registry import few_pages, Tables, as_of, pages, query
 from tidemark.operators import nested, rates as rate_ops
 from tidemark.operators.select import slice_by
 from tidemark.operators.staging import staged
@@ -655,3 +655,18 @@ def null_when_type(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("priority"),
     )
     return nested.null_when(rows, F.col("kind") == "extension", ["price", "priority"])
+
+
+# -- a few very large pages ----------------------------------------------------------------------
+
+
+@query("silver_charterparties_extension_few_pages", header_sql("o_orderkey % 3 = 1"))
+def silver_extension_few_pages(t: Tables) -> DataFrame:
+    landed = few_pages(contract_pages(t), "contracts")
+    return bare(contracts.extensions(contracts.contract_records(landed, ("header",))))
+
+
+@query("silver_charterparties_rates_few_pages", RATE_LIST_SQL)
+def silver_rates_few_pages(t: Tables) -> DataFrame:
+    landed = few_pages(rate_pages(t), "contracts")
+    return bare(contracts.rates(contracts.contract_records(landed, ("rates",))))

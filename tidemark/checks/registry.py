@@ -64,6 +64,16 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def few_pages(landed: DataFrame, member: str | None = None, count: int = 3) -> DataFrame:
+    """The records of many one-record pages on ``count`` large pages, joined as text."""
+    head, tail = (f'{{"{member}":[', "]}") if member else ("[", "]")
+    inner = F.substring("Raw_data", F.lit(len(head) + 1), F.length("Raw_data") - len(head) - len(tail))
+    others = [F.first(c).alias(c) for c in landed.columns if c != "Raw_data"]
+    page = F.concat(F.lit(head), F.concat_ws(",", F.collect_list(inner)), F.lit(tail))
+    number = F.pmod(F.xxhash64("Raw_data"), F.lit(count))
+    return landed.groupBy(number.alias("_page")).agg(page.alias("Raw_data"), *others).drop("_page")
+
+
 def pages(df: DataFrame, doc: Column, *, batch: Column | None = None, ts: Column | None = None):
     """Bronze pages from rows: one JSON document per row, built row by row."""
     return dealt(df).select(
