@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mixed, sliced, staged, word_hashes, word_tokens
 
 #: Text in a block (scored together) and text per shard of the model, in bytes.
-BLOCK_BYTES, SHARD_BYTES, LEAST_SHARDS = 16 << 20, 16 << 20, 8
+BLOCK_BYTES, SHARD_BYTES, LEAST_SHARDS = 8 << 20, 4 << 20, 8
 #: Bits of an n-gram's key, and of the word before it relative to that n-gram.
 KEY_BITS, LEFT_BITS = 48, 24
 #: Words of a prior sample that the next shorter context is worth.
