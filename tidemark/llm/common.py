@@ -11,12 +11,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.staging import staged
+from tidemark.operators.staging import drop_staged, staged
 
-__all__ = ["table", "staged", "held_out", "word_tokens", "sliced", "gram_hashes", "mixed"]
+__all__ = ["table", "staged", "drop_staged", "held_out", "word_tokens", "sliced", "gram_hashes", "mixed"]
 
 #: Text handled at once inside a task; an Arrow batch is cut into pieces of about this size.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import gram_hashes, sliced, staged, word_hashes, word_tokens
+from tidemark.llm.common import drop_staged, gram_hashes, sliced, staged, word_hashes, word_tokens
 
 SECOND_BASE = 0xD1342543DE82EF95
 
@@ -41,7 +41,7 @@ def _geometry(min_words: int, gram: int, window: int) -> int:
 def suffixes(docs: DataFrame, min_words: int, gram: int, window: int) -> DataFrame:
     """Sparse suffix array entries (suffix: binary, rank, x, at) of rows (rank, x, text).
 
-    A suffix is kept at each minimiser that has enough words behind it, as the sequence of 32-bit
+    A suffix is kept at each minimiser that has enough words behind it, as the sequence of 16-bit
     hashes of its next words, big-endian, so that bytes sort like sequences.
     """
     depth = _geometry(min_words, gram, window)
@@ -58,13 +58,13 @@ def suffixes(docs: DataFrame, min_words: int, gram: int, window: int) -> DataFra
                         continue
                     at = minimisers(gram_hashes(own, gram)[: len(own) - gram + 1], window)
                     at = at[at + depth <= len(own)]
-                    short = (own >> np.uint64(32)).astype(">u4")
+                    short = (own >> np.uint64(48)).astype(">u2")
                     keys.append(short[at[:, None] + np.arange(depth)])
                     rows.append(np.full(len(at), i))
                     ats.append(at)
                 if keys:
                     flat = np.concatenate(keys)
-                    start = np.arange(len(flat) + 1, dtype=np.int32) * (4 * depth)
+                    start = np.arange(len(flat) + 1, dtype=np.int32) * (2 * depth)
                     binary = pa.Array.from_buffers(pa.binary(), len(flat), [None, pa.py_buffer(start), pa.py_buffer(np.ascontiguousarray(flat))])
                     which = np.concatenate(rows)
                     yield pa.RecordBatch.from_arrays([binary, batch.column("rank").take(which), batch.column("x").take(which), pa.array(np.concatenate(ats).astype(np.int32))], ["suffix", "rank", "x", "at"])
@@ -128,6 +128,95 @@ def windows(anchored: DataFrame, min_words: int, window: int) -> DataFrame:
     return anchored.select("rank", "x", "text", "anchors").mapInArrow(extend, "a bigint, b int, rank bigint, x bigint, start int")
 
 
+PLACE = ["rank", "x", "start"]
+MARKED = "a bigint, b int, rank bigint, x bigint, start int, first struct<rank: bigint, x: bigint, start: int>, more boolean, opens boolean"
+
+
+def first_places(passages: DataFrame) -> DataFrame:
+    """(rank, x, start, source, removed) for every passage that stands in more than one place: the
+    first place stays, the others are removed.
+
+    Passages are dealt by range of hash and place and sorted, so one passage with very many places
+    spreads over tasks and its first place comes first. Only the passage a task opens with may have
+    begun in an earlier task: every task also tells the first place it saw of the passages it opens
+    and closes with, two rows a task, and these settle the opening ones.
+    """
+    order = ["a", "b", *PLACE]
+    kind = pa.struct([("rank", pa.int64()), ("x", pa.int64()), ("start", pa.int32())])
+    names = [*order, "first", "more", "opens"]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = lead = head = None  # last row so far, first row of its passage, first row of all
+        in_opening = earlier = False
+
+        def rows(b: pa.Table, first: pa.Table, more: np.ndarray, opens: np.ndarray) -> pa.RecordBatch:
+            place = pa.StructArray.from_arrays([first[n].combine_chunks().cast(kind.field(n).type) for n in PLACE], PLACE)
+            return pa.RecordBatch.from_arrays([*[b[n].combine_chunks() for n in order], place, pa.array(more, pa.bool_()), pa.array(opens, pa.bool_())], names)
+
+        for batch in batches:
+            t = pa.Table.from_batches(([tail] if tail is not None else []) + [batch.select(order)])
+            columns = [t[n].to_numpy() for n in order]
+            same = np.zeros(t.num_rows, bool)
+            same[1:] = (columns[0][1:] == columns[0][:-1]) & (columns[1][1:] == columns[1][:-1])
+            again = same.copy()
+            for c in columns[2:]:
+                again[1:] &= c[1:] == c[:-1]
+            if again.any():
+                keep = ~again
+                t, same = t.filter(pa.array(keep)), same[keep]
+            if not t.num_rows:
+                continue
+            if head is None:
+                head, lead, in_opening = t.slice(0, 1), t.slice(0, 1), True
+            heads = np.where(same, 0, np.arange(t.num_rows))
+            heads[0] = 0
+            heads = np.maximum.accumulate(heads)
+            group_zero = heads == 0
+            whole = pa.concat_tables([lead, t])  # row 0 is the carried first place
+            first = whole.take(np.where(group_zero, 0, heads + 1))
+            opens = group_zero & in_opening
+            more = np.append(same[1:], False) | same
+            more[0] |= earlier
+            n = t.num_rows - 1
+            if n:
+                yield rows(t.slice(0, n), first.slice(0, n), more[:n], opens[:n])
+            lead, in_opening, earlier = first.slice(n), bool(opens[n]), bool(same[n] or (n == 0 and earlier))
+            tail = t.slice(n).combine_chunks().to_batches()[0]
+        if tail is not None:
+            last = pa.Table.from_batches([tail])
+            yield rows(last, lead, np.array([earlier]), np.array([True]))
+            # What this task knows of the passages it opens and closes with, under a null start.
+            ends = pa.concat_tables([head, last])
+            told = rows(ends, pa.concat_tables([head, lead]), np.zeros(2, bool), np.ones(2, bool)).to_pylist()
+            yield pa.RecordBatch.from_pylist([{**r, "start": None} for r in told], tail_schema)
+
+    tail_schema = pa.schema([("a", pa.int64()), ("b", pa.int32()), ("rank", pa.int64()), ("x", pa.int64()), ("start", pa.int32()), ("first", kind), ("more", pa.bool_()), ("opens", pa.bool_())])
+    ordered = passages.repartitionByRange(*order).sortWithinPartitions(*order)
+    marked = ordered.mapInArrow(mark, MARKED)
+    marked = staged(marked.where("more or opens"))
+    told = marked.where("start is null").groupBy("a", "b").agg(F.min("first").alias("least"), F.max("first").alias("most"))
+    # At most two rows a task of the sort, whatever the tables hold.
+    ends = {(r["a"], r["b"]): (tuple(r["least"]), r["least"] != r["most"]) for r in told.toLocalIterator()}
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            b = batch.filter(batch.column("start").is_valid())
+            rank, x, start = (b.column(n).to_numpy() for n in PLACE)
+            first = [b.column("first").field(i).to_numpy().copy() for i in range(3)]
+            keep = b.column("more").to_numpy(zero_copy_only=False).copy()
+            opening = np.flatnonzero(b.column("opens").to_numpy(zero_copy_only=False))
+            for i, key in zip(opening.tolist(), zip(b.column("a").take(pa.array(opening)).to_pylist(), b.column("b").take(pa.array(opening)).to_pylist())):
+                least, several = ends[key]
+                first[0][i], first[1][i], first[2][i] = least
+                keep[i] |= several
+            removed = (rank != first[0]) | (x != first[1]) | (start != first[2])
+            keep |= removed
+            columns = [rank, x, start, first[0], removed]
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], [*PLACE, "source", "removed"])
+
+    return marked.mapInArrow(settle, "rank bigint, x bigint, start int, source bigint, removed boolean")
+
+
 def count_words(text: Column) -> Column:
     @F.arrow_udf("bigint")
     def count(texts: pa.Array) -> pa.Array:
@@ -184,13 +273,12 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     groups = copies.groupBy("x", "y").agg(F.min("rank").alias("lead"), F.count("*").alias("n"), F.max("n_words").alias("words"))
     leads = staged(groups.where(F.col("words") >= min_words).drop("words"))
 
-    anchors = neighbours(staged(suffixes(rows, min_words, gram, window)))
+    array = staged(suffixes(rows, min_words, gram, window))
+    anchors = neighbours(array)
     by_row = anchors.groupBy("rank", "x").agg(F.collect_list("at").alias("anchors"))
     wanted = staged(by_row.join(leads.select(F.col("lead").alias("rank"), "x"), ["rank", "x"], "left_semi"))
-    passages = staged(windows(rows.join(wanted, ["rank", "x"]), min_words, window).distinct())
-    place = F.struct("rank", "x", "start")
-    firsts = passages.groupBy("a", "b").agg(F.min(place).alias("kept"), F.count("*").alias("places")).where("places > 1").drop("places")
-    hits = passages.join(firsts, ["a", "b"]).select("rank", "x", "start", F.col("kept.rank").alias("source"), (place != F.col("kept")).alias("removed"))
+    drop_staged(array)
+    hits = first_places(windows(rows.join(wanted, ["rank", "x"]), min_words, window))
     listed = hits.groupBy("rank", "x", "removed").agg(F.collect_list(F.struct("start", "source")).alias("hits"))
     parts = listed.select("rank", "x", "removed", F.inline(merged(min_words)("hits")))
 
@@ -212,14 +300,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
         return pa.array([cut_words(t, s) if s else t for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
 
-    here = docs.withColumns({"_rank": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), "_x": F.xxhash64(F.col(text).cast("string"))})
-    joined = here.join(cuts, ["_rank", "_x"], "left")
-    cut = joined.withColumn("_text", without(F.col(text).cast("string"), "_cuts"))
+    here = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("_rank"), F.xxhash64(F.col(text).cast("string")).alias("_x"), F.struct(*docs.columns).alias("_row"))
+    cut = here.join(cuts, ["_rank", "_x"], "left").withColumn("_text", without.asNondeterministic()(F.col("_row")[text].cast("string"), "_cuts"))
     left = cut.where(F.col("_cuts").isNull() | F.regexp_like("_text", F.lit(r"[^ \t-\r]")))
-    new = {text: F.col("_text")}
-    if n_chars in docs.columns:
-        new[n_chars] = F.when(F.col("_cuts").isNull(), F.col(n_chars)).otherwise(F.length("_text")).cast(docs.schema[n_chars].dataType)
-    return left.withColumns(new).select(*docs.columns)
+    columns = {c: F.col("_row")[c] for c in docs.columns}
+    columns[text] = F.col("_text")
+    if n_chars in columns:
+        columns[n_chars] = F.when(F.col("_cuts").isNull(), columns[n_chars]).otherwise(F.length("_text")).cast(docs.schema[n_chars].dataType)
+    return left.select(*[value.alias(name) for name, value in columns.items()])
 
 
 def cut_words(text: str, spans: list[dict]) -> str:
