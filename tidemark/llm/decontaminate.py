@@ -215,7 +215,8 @@ def match_column(text: Column, block: Block, least: float) -> Column:
         rows = [[{"item_id": str(block.ids[i]), "score": s, "first_word": a, "n_words": n} for i, s, a, n in row] for row in out]
         return pa.array(rows, pa.list_(kind))
 
-    return matches(text.cast("string"))
+    # Not repeated below filters on its result, as the optimiser may do with a pure function.
+    return matches.asNondeterministic()(text.cast("string"))
 
 
 def with_matches(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", least: float = 0.6, column: str = "matches", block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -252,5 +252,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             scores += np.where(ok, share, 0.0).tolist()
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    found = docs.withColumn("_identified_here", best(F.col(text).cast("string")))
+    # Not repeated below filters on its result, as the optimiser may do with a pure function.
+    found = docs.withColumn("_identified_here", best.asNondeterministic()(F.col(text).cast("string")))
     return found.withColumns({"lang_pred": F.col("_identified_here.lang_pred"), "score": F.col("_identified_here.score")}).drop("_identified_here")

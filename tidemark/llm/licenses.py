@@ -159,7 +159,8 @@ def scan(text: Column, notices: Mapping[str, str] | None = None) -> Column:
             rows += [scan_text(t, machine) for t in part.column("text").to_pylist()]
         return pa.array(rows, pa.struct(kinds))
 
-    return found(text.cast("string"))
+    # Not repeated below filters on its result, as the optimiser may do with a pure function.
+    return found.asNondeterministic()(text.cast("string"))
 
 
 def scan_documents(docs: DataFrame, text: str = "text", **how) -> DataFrame:
