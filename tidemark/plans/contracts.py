@@ -7,6 +7,9 @@ columnar, so every table reads only its own members.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ from tidemark.plans import contract_fields as fields
 
 # What the resolution of rates reads of a contract.
 RESOLUTION = ("contractId", "period", "deliveryDate", "extensionDate")
+# What the lookups of names, vessel numbers and rates read of it.
+ASKED = ("contractId", "period", "contractType", "crmd_name", "extensionDate", "Vessel_IMO")
 ALL_PARTS = ("header", *fields.CHILDREN)
 
 
@@ -132,20 +137,34 @@ def charterparties(
     both = contract_projection(
         slice_by(records, "c.contractType", "charterparty", "extension"), load_ts
     ).withColumnRenamed("shipImoNr", "Vessel_IMO")
-    named = composite_lookup(
-        both, documents,
+    # Every lookup works on the few columns it needs, one row per combination; the hundred others move
+    # once, when the answers are joined to them.
+    asked = both.select(*ASKED).distinct()
+    own, extended = asked.where(~F.coalesce(is_extension, F.lit(False))), asked.where(is_extension)
+    fixtures = composite_lookup(
+        extended.withColumn("_name", F.col("crmd_name")), documents,
         [
-            (F.when(is_extension, F.col("crmd_name")), F.col("fixture_ID")),
+            (F.col("_name"), F.col("fixture_ID")),
             (F.col("extensionDate").try_cast("date"), century_fix("extension_date")),
         ],
         {"_fixture_name": "crmd_name"},
+    ).drop("_name")
+    named = own.withColumn("_fixture_name", F.col("crmd_name")).unionByName(fixtures)
+    numbered = resolve_id(
+        named.withColumn("_number", F.col("Vessel_IMO").cast("string")), vessels, "_number", "Hull_no", "imo"
     )
-    name = F.when(is_extension, F.col("_fixture_name")).otherwise(F.col("crmd_name"))
-    named = named.withColumn("crmd_name", name).drop("_fixture_name")
-    named = null_when(named, is_extension, fields.EXTERNAL)
-    numbered = resolve_id(named, vessels, "Vessel_IMO", "Hull_no", "imo")
     active = active_rate(rate_rows, both.select(*RESOLUTION), as_of, **how)
-    return with_redelivery(attach_rate(numbered, active).select(*numbered.columns, *RESULT))
+    answers = attach_rate(numbered, active).select(
+        *[F.col(c).alias(f"_a_{c}") for c in ASKED], "_fixture_name", "_number", *RESULT
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_a_{c}")) for c in ASKED])
+    told = both.join(answers, same).select(
+        *[
+            F.col("_fixture_name").alias(c) if c == "crmd_name" else F.col("_number").alias(c) if c == "Vessel_IMO" else F.col(c)
+            for c in both.columns
+        ], *RESULT,
+    )
+    return with_redelivery(null_when(told, is_extension, fields.EXTERNAL))
 
 
 def with_redelivery(contracts: DataFrame) -> DataFrame:
