@@ -148,9 +148,9 @@ def test_hot_keys_join_equals_plain_join(spark):
     ).repartition(8)
     right = spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     plain = skew.left_join_unique(left, right, "k")
-    salted = skew.left_join_unique(left, right, "k", hot_rows=100, salts=4)
+    salted = skew.left_join_unique(left, right, "k", hot_rows=100)
     assert rows(plain, "k", "id", "v") == rows(salted, "k", "id", "v")
-    assert rows(skew.hot_keys(left, ["k"], 100)) == [(1,)]
+    assert rows(skew.hot_keys(left, ["k"], 100)) == [(1, 4)]
 
 
 # -- pivot ---------------------------------------------------------------------------------------

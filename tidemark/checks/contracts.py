@@ -280,10 +280,15 @@ def attach_rate(t: Tables) -> DataFrame:
     )
 
 
-@query("contracts_with_rate_hot_keys", WITH_RATE_SQL)
+@query(
+    "contracts_with_rate_hot_keys",
+    f"""SELECT x.* FROM ({WITH_RATE_SQL}) x, range(1, 41) AS r(i) WHERE i = 1 OR "contractId" % 100 = 0""",
+)
 def contracts_with_rate_hot_keys(t: Tables) -> DataFrame:
-    """The same with hot contract ids salted; every id counts as hot from two copies on."""
-    rated = rate_ops.contracts_with_rate(plain_contracts(t), rate_rows(t), as_of(), hot_rows=1)
+    """The same where some ids have forty copies: those are hot and joined in slots."""
+    copies = F.when(F.col("contractId") % 100 == 0, 40).otherwise(1)
+    own = plain_contracts(t).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    rated = rate_ops.contracts_with_rate(own, rate_rows(t), as_of(), hot_rows=10)
     return contracts.with_redelivery(rated).select(
         "contractId", "period", *rate_ops.RESULT, "expectedRedeliveryDate"
     )

@@ -11,36 +11,30 @@ HOT_ROWS = 5_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most rows / hot_rows of them."""
-    return (
-        df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows).select(*keys)
-    )
+    """Keys with more than ``hot_rows`` rows, at most rows / hot_rows of them, and the ``slots`` that
+    leave each about ``hot_rows`` rows."""
+    counted = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") > hot_rows).select(*keys, F.ceil(F.col("_n") / hot_rows).alias("slots"))
 
 
 def left_join_unique(
-    left: DataFrame, right: DataFrame, key: str,
-    hot_rows: int | None = None, salts: int = 64,
+    left: DataFrame, right: DataFrame, key: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Left join to a side with one row per key.
 
-    Plain by default. With ``hot_rows`` the left rows of hot and of NULL keys are spread over
-    ``salts`` shuffle slots, by the input split they come from, and only the right rows of hot
-    keys are repeated per slot. There are at most rows / hot_rows hot keys, which bounds the
-    broadcast list.
+    Plain by default. With ``hot_rows`` the left rows of a hot key are spread over as many shuffle slots
+    as its count asks for, by the input split they come from, and only the right rows of hot keys are
+    repeated per slot; rows of NULL keys, which match nothing, are spread by split too. There are at
+    most rows / hot_rows hot keys, which bounds the broadcast list.
     """
     if hot_rows is None:
         return left.join(right, key, "left")
-    hot = F.broadcast(hot_keys(left.select(key), [key], hot_rows).withColumn("_hot", F.lit(True)))
-    slot = F.pmod(F.spark_partition_id(), F.lit(salts))
-    spread = F.col(key).isNull() | F.col("_hot")
+    hot = F.broadcast(hot_keys(left.select(key), [key], hot_rows).withColumnRenamed("slots", "_slots"))
+    slot = F.when(F.col(key).isNull(), F.col("_split")).otherwise(F.coalesce(F.pmod("_split", "_slots"), F.lit(0)))
     salted = (
-        left.withColumn("_split", slot).join(hot, key, "left")
-        .withColumn("_slot", F.when(spread, F.col("_split")).otherwise(F.lit(0)))
-        .drop("_hot", "_split")
-    )
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        left.withColumn("_split", F.spark_partition_id().cast("long")).join(hot, key, "left")
+        .withColumn("_slot", slot).drop("_slots", "_split")
     )
-    repeated = right.join(hot, key, "left").withColumn("_slot", F.explode(slots)).drop("_hot")
+    slots = F.sequence(F.lit(0).cast("long"), F.coalesce("_slots", F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn("_slot", F.explode(slots)).drop("_slots")
     return salted.join(repeated, [key, "_slot"], "left").drop("_slot")
