@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mixed, sliced, staged, word_hashes, word_tokens
 
 #: Text in a block (scored together) and text per shard of the model, in bytes.
-BLOCK_BYTES, SHARD_BYTES, LEAST_SHARDS = 8 << 20, 4 << 20, 8
+BLOCK_BYTES, SHARD_BYTES, LEAST_SHARDS = 6 << 20, 4 << 20, 8
 #: Bits of an n-gram's key, and of the word before it relative to that n-gram.
 KEY_BITS, LEFT_BITS = 48, 24
 #: Words of a prior sample that the next shorter context is worth.
@@ -234,10 +234,13 @@ def key_rows(blocks: DataFrame, shards: int) -> DataFrame:
                     kinds.append(WORDS)
                     shard.append(s)
                     out.append(pack(words[a:e], narrow(counts[a:e])))
+                del words, at, counts
                 keys, at, pairs, pair_at = gram_keys(word, before, earlier)
+                del word, before, earlier
                 counts, cut = np.bincount(at, train, len(keys)), shard_cuts(keys, KEY_BITS, shards)
                 pair_counts, node = np.bincount(pair_at, train, len(pairs)), (pairs >> np.uint64(LEFT_BITS)).astype(np.int64)
                 children = np.bincount(node, minlength=len(keys))
+                del at, pair_at, node
                 child_cut = np.concatenate(([0], np.cumsum(children)))[cut]
                 left = pairs[:, None].view(np.uint8).reshape(-1, 8)[:, : LEFT_BITS // 8]
                 for s in np.flatnonzero(np.diff(cut)):
