@@ -187,4 +187,5 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     packed = docs.select(F.col(doc_id).cast("long").alias("_d"), F.col(source).alias("_s"), F.xxhash64(text).alias("_k"), F.struct(*docs.columns).alias("_row"))
     match = F.col("_d").eqNullSafe(F.col("doc_id")) & F.col("_s").eqNullSafe(F.col("source")) & (F.col("_k") == F.col("key"))
     plain = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("size", "copies", "taken", "target")]
-    return packed.join(found, match).select(*plain, "_mix.*")
+    # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
+    return packed.join(found.hint("merge"), match).select(*plain, "_mix.*")

@@ -116,7 +116,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
     found = near_duplicates(docs, doc_id, text, **how).where("doc_id = component_id")
     winners = staged(found.groupBy("doc_id").agg(F.count("*").alias("_n")).select(F.col("doc_id").alias("_kept_id"), F.col("_n").alias("_kept_n")))
     packed = docs.select(F.col(doc_id).alias("_id"), F.struct(*docs.columns).alias("_row"))
-    kept = packed.join(winners, packed["_id"] == winners["_kept_id"])
+    # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
+    kept = packed.join(winners.hint("merge"), packed["_id"] == winners["_kept_id"])
     once = kept.where("_kept_n = 1").select("_row")
     more = kept.where("_kept_n > 1").dropDuplicates(["_id"]).select("_row")
     nameless = packed.where("_id is null").select("_row")

@@ -278,7 +278,8 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     by_row = anchors.groupBy("rank", "x").agg(F.collect_list("at").alias("anchors"))
     wanted = staged(by_row.join(leads.select(F.col("lead").alias("rank"), "x"), ["rank", "x"], "left_semi"))
     drop_staged(array)
-    hits = first_places(windows(rows.join(wanted, ["rank", "x"]), min_words, window))
+    # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
+    hits = first_places(windows(rows.join(wanted.hint("merge"), ["rank", "x"]), min_words, window))
     listed = hits.groupBy("rank", "x", "removed").agg(F.collect_list(F.struct("start", "source")).alias("hits"))
     parts = listed.select("rank", "x", "removed", F.inline(merged(min_words)("hits")))
 
@@ -301,7 +302,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return pa.array([cut_words(t, s) if s else t for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
 
     here = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("_rank"), F.xxhash64(F.col(text).cast("string")).alias("_x"), F.struct(*docs.columns).alias("_row"))
-    cut = here.join(cuts, ["_rank", "_x"], "left").withColumn("_text", without.asNondeterministic()(F.col("_row")[text].cast("string"), "_cuts"))
+    # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
+    cut = here.join(cuts.hint("merge"), ["_rank", "_x"], "left").withColumn("_text", without.asNondeterministic()(F.col("_row")[text].cast("string"), "_cuts"))
     left = cut.where(F.col("_cuts").isNull() | F.regexp_like("_text", F.lit(r"[^ \t-\r]")))
     columns = {c: F.col("_row")[c] for c in docs.columns}
     columns[text] = F.col("_text")
