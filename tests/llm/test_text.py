@@ -172,6 +172,29 @@ def test_expectation_raises_likelihood_and_counts_every_character():
     assert n @ langid.log_probabilities(index, c / c.sum(), words)[:, 0] > before
 
 
+def test_long_words_are_counted_like_short_ones(monkeypatch):
+    index, rng = langid.PieceIndex(PIECES), random.Random(2)
+    words = ["".join(rng.choice("abcx") for _ in range(rng.randint(1, 38))) for _ in range(40)]
+    p = np.random.default_rng(0).dirichlet(np.ones(len(PIECES)), 2).T
+    tag, n = np.arange(40) % 2, np.arange(1.0, 41)
+    want = langid.expected_counts(index, p, words, tag, n)
+    monkeypatch.setattr(langid, "LONG_WORD_CHARS", 0)
+    assert np.allclose(langid.expected_counts(index, p, words, tag, n), want)
+    c = langid.expected_counts(index, p, ["abc" * 2000], np.zeros(1, int), np.ones(1))
+    assert sum(c[i, 0] * len(x) for i, x in enumerate(PIECES)) == pytest.approx(6001)
+
+
+@pytest.mark.parametrize("length", [60, 40_000])
+def test_languages_without_spaces_are_told(make, length):
+    rng, rows = random.Random(4), []
+    for i in range(40):
+        tag, parts = ("u", ["ab", "ab", "ca", "bc"]) if i % 2 else ("v", ["bc", "bc", "ca", "ab"])
+        rows.append((i, "".join(rng.choice(parts) for _ in range(length // 2)), tag))
+    model = langid.fit(make(rows), pieces=["▁", "a", "b", "c", "ab", "bc", "ca"])
+    told = langid.identify(make(rows), model)
+    assert told.where("lang_pred <> lang").count() <= 2
+
+
 def test_held_out_languages_are_told(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("h", held_out("doc_id", 5))
     model = langid.fit(docs.where("not h"))

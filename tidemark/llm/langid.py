@@ -21,8 +21,10 @@ TABLE_BITS = 22
 UNKNOWN = 1e-7
 #: Words handled at once, and cells (words x characters) at most.
 CHUNK_WORDS, CHUNK_CELLS = 16_384, 1 << 19
-#: Longer words are left out of the fit (never out of a score).
-FIT_WORD_CHARS = 40
+#: Expected uses in longer words are summed as logarithms, which cannot leave the range of doubles.
+LONG_WORD_CHARS = 40
+#: The fit counts longer words as runs of so many characters.
+FIT_RUN_CHARS = 16_384
 
 
 def read_pieces(path: str | None = None) -> list[str]:
@@ -137,6 +139,11 @@ def expected_counts(index: PieceIndex, p: np.ndarray, words: list[str], lang: np
     table, out = padded(p), np.zeros(p.size + 2 * p.shape[1])
     for some, chars, size in chunks(words):
         found, total, which = _edges(index, chars), chars.shape[1], lang[some]
+        if total > LONG_WORD_CHARS:
+            for f, use in _long_uses(table, found, size, which, weight[some]):
+                hit = use > 0
+                out += np.bincount((f * p.shape[1] + which[:, None])[hit], use[hit], len(out))
+            continue
         cost = [table[f, which[:, None]] for f in found]
         a = np.zeros((total + 1, len(some)))
         a[0] = 1
@@ -156,6 +163,35 @@ def expected_counts(index: PieceIndex, p: np.ndarray, words: list[str], lang: np
     return out[: p.size].reshape(p.shape)
 
 
+def _long_uses(table: np.ndarray, found: list[np.ndarray], size: np.ndarray, which: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Matches and their expected uses by word and start, for each length of a piece."""
+    total, keep, none = found[0].shape[1], len(found), -np.inf
+    with np.errstate(divide="ignore"):
+        logs = np.log(table)
+    cost = np.full((keep, total + keep, len(which)), none)  # by length, start + keep, word
+    for n, f in enumerate(found):
+        cost[n, keep - 1 : keep - 1 + f.shape[1]] = logs[f, which[:, None]].T
+    each = np.arange(keep)
+
+    def summed(terms: np.ndarray) -> np.ndarray:
+        top = terms.max(0)
+        top = np.where(top == none, 0, top)
+        with np.errstate(divide="ignore"):
+            return np.log(np.exp(terms - top).sum(0)) + top
+
+    a = np.full((total + keep, len(which)), none)  # from row keep - 1 on
+    a[keep - 1] = 0
+    for t in range(1, total + 1):
+        at = keep - 1 + t - 1 - each
+        a[keep - 1 + t] = summed(a[at] + cost[each, at])
+    b = np.full((total + keep + 1, len(which)), none)
+    for t in range(total, -1, -1):
+        b[t] = np.where(size == t, 0, summed(b[t + 1 + each] + cost[each, keep - 1 + t]))
+    for n, f in enumerate(found, 1):
+        stop = total - n + 1
+        yield f, (np.exp(a[keep - 1 : keep - 1 + stop] + cost[n - 1, keep - 1 : keep - 1 + stop] + b[n : n + stop] - b[0]) * weight).T
+
+
 @dataclass
 class Model:
     """Piece probabilities by language; its size is bounded by vocabulary times languages."""
@@ -173,7 +209,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """Learn piece probabilities by expectation maximisation from labelled rows.
 
     The fit reads at most about ``docs_per_language`` documents of each language, chosen by a hash of
-    ``key``; the bound is on this classifier's labelled rows only. Rows without a language or without
+    ``key``; the bound is on this classifier's labelled rows only. All words of these count; one of more
+    than ``FIT_RUN_CHARS`` characters counts as runs of that length. Rows without a language or without
     a letter are passed over. Languages are collected to the driver, so their number must be small.
     """
     index = PieceIndex(read_pieces() if pieces is None else pieces)
@@ -195,10 +232,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
                 both = np.repeat(tag, np.diff(offsets)) * len(words) + codes
                 key, n = np.unique(both, return_counts=True)
                 low = [words[i].decode("utf-8", "replace").lower() for i in (key % max(len(words), 1))]
-                yield pa.RecordBatch.from_arrays([pa.array(low, pa.string()), pa.array(key // max(len(words), 1), pa.int32()), pa.array(n, pa.int64())], ["word", "tag", "n"])
+                tags = key // max(len(words), 1)
+                runs = np.fromiter((max(1, -(-len(w) // FIT_RUN_CHARS)) for w in low), np.int64, len(low))
+                if (runs > 1).any():
+                    low = [w[i : i + FIT_RUN_CHARS] for w in low for i in range(0, max(len(w), 1), FIT_RUN_CHARS)]
+                    tags, n = np.repeat(tags, runs), np.repeat(n, runs)
+                yield pa.RecordBatch.from_arrays([pa.array(low, pa.string()), pa.array(tags, pa.int32()), pa.array(n, pa.int64())], ["word", "tag", "n"])
 
     counted = some.select("text", "lang").mapInArrow(count, "word string, tag int, n bigint")
-    words = staged(counted.where(F.length("word") <= FIT_WORD_CHARS).groupBy("word", "tag").agg(F.sum("n").alias("n")))
+    words = staged(counted.groupBy("word", "tag").agg(F.sum("n").alias("n")))
     for _ in range(rounds):
         def expect(batches: Iterator[pa.RecordBatch], p=p) -> Iterator[pa.RecordBatch]:
             total = np.zeros(p.shape)
