@@ -98,6 +98,13 @@ def test_repeated_kept_id_stays_once(make, prose):
     assert [r.doc_id for r in simhash.keep_one(make([(1, text), (1, text), (2, text)])).collect()] == [1]
 
 
+def test_texts_that_share_an_id_are_told_apart(make, prose):
+    a, b, c = prose(80), prose(80), prose(80)
+    stay = lambda rows: sorted((r.doc_id, r.text) for r in simhash.keep_one(make(rows)).collect())
+    assert stay([(1, b), (1, c)]) == sorted([(1, b), (1, c)])
+    assert stay([(0, a), (1, a), (1, b)]) == [(0, a), (1, b)]
+
+
 def test_no_documents(make):
     assert simhash.near_duplicates(make([])).count() == 0 and simhash.keep_one(make([])).count() == 0
 

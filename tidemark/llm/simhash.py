@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
 from tidemark.llm.components import components
+from tidemark.llm.shingles import hashed, kept_rows
 
 BITS = 64
 #: Buckets of up to this many fingerprints are compared pair by pair, larger ones through midpoints.
@@ -107,18 +108,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """The documents that stay: of each group the one with the smallest id, all columns kept.
 
-    Rows that share the kept id are copies of one another's id and only one of them stays. Rows without
-    an id cannot be named by a group and stay.
+    Rows that share id and text are one document; rows that share only the id are told apart by their
+    texts. Rows without an id cannot be named by a group and stay.
     """
-    found = near_duplicates(docs, doc_id, text, **how).where("doc_id = component_id")
-    winners = staged(found.groupBy("doc_id").agg(F.count("*").alias("_n")).select(F.col("doc_id").alias("_kept_id"), F.col("_n").alias("_kept_n")))
-    packed = docs.select(F.col(doc_id).alias("_id"), F.struct(*docs.columns).alias("_row"))
-    # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
-    kept = packed.join(winners.hint("merge"), packed["_id"] == winners["_kept_id"])
-    once = kept.where("_kept_n = 1").select("_row")
-    more = kept.where("_kept_n > 1").dropDuplicates(["_id"]).select("_row")
-    nameless = packed.where("_id is null").select("_row")
-    return once.unionByName(more).unionByName(nameless).select("_row.*")
+    marked = staged(hashed(docs, doc_id, text).select("doc_id", "x", fingerprint(F.col("text"), shingle).alias("node")))
+    roots = components(near_links(marked.select(F.col("node").alias("fp")).distinct(), radius))
+    least = marked.where("doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "x")).alias("least"))
+    return kept_rows(docs, least, roots, doc_id, text)
