@@ -169,6 +169,17 @@ def test_passages_edges(make, prose):
     assert suffixes.repeated_passages(make([])).count() == 0 and suffixes.remove_repeats(make([])).count() == 0
 
 
+def test_rows_equal_in_id_and_text_have_one_suffix_each(make, prose, monkeypatch):
+    """A hot text without ids gathers its anchors once, not once a copy."""
+    hot, seen = prose(90), []
+    rows = [(None, hot)] * 40 + [(3, hot), (3, hot), (4, "x " + hot + " y")]
+    plain = suffixes.suffixes
+    monkeypatch.setattr(suffixes, "suffixes", lambda docs, *how: seen.append(docs) or plain(docs, *how))
+    found = suffixes.repeated_passages(make(rows))
+    assert removed(found) == brute_repeats([(3, hot), (4, "x " + hot + " y")], 50) | {None: set(range(90))}
+    assert seen[0].count() == 3
+
+
 def test_cut_keeps_the_rest():
     text = "one  two\nthree four\tfive "
     assert suffixes.cut_words(text, [{"first_word": 1, "n_words": 2}]) == "one  four\tfive "

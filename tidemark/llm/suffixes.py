@@ -273,6 +273,10 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     groups = copies.groupBy("x", "y").agg(F.min("rank").alias("lead"), F.count("*").alias("n"), F.max("n_words").alias("words"))
     leads = staged(groups.where(F.col("words") >= min_words).drop("words"))
 
+    if not copies.groupBy("rank", "x", "y").count().where("count > 1").isEmpty():
+        # Rows equal in id and text count once: they are folded before anything is gathered from them.
+        rows = staged(rows.groupBy("rank", "x", F.xxhash64(F.lit(7), "text").alias("y")).agg(F.first("text").alias("text")).drop("y"))
+
     array = staged(suffixes(rows, min_words, gram, window))
     anchors = neighbours(array)
     by_row = anchors.groupBy("rank", "x").agg(F.collect_list("at").alias("anchors"))
