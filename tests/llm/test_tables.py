@@ -170,6 +170,12 @@ def test_every_operator_is_registered():
     assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
 
 
+def test_documents_stay_if_no_language_is_learnt(spark, make):
+    docs = make([(1, "some words", None), (2, None, None), (3, "12 ...", None), (None, "more", None)])
+    got = corpus_pipeline.language(spark, docs, SF)
+    assert got.columns == docs.columns and {(r.doc_id, r.text, r.lang) for r in got.collect()} == {(1, "some words", None), (None, "more", None)}
+
+
 def test_pipeline_takes_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     sizes = [docs.count()]
