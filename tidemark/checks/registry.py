@@ -64,8 +64,14 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+#: Records of a large page, about.
+PAGE_RECORDS = 10_000
+
+
 def few_pages(landed: DataFrame, member: str | None = None, count: int = 3) -> DataFrame:
-    """The records of many one-record pages on ``count`` large pages, joined as text."""
+    """The records of many one-record pages on few large pages, joined as text: ``count`` pages, or more
+    if these would hold more than ``PAGE_RECORDS`` each, so that a page does not grow with the table."""
+    count = max(count, -(-landed.count() // PAGE_RECORDS))
     head, tail = (f'{{"{member}":[', "]}") if member else ("[", "]")
     inner = F.substring("Raw_data", F.lit(len(head) + 1), F.length("Raw_data") - len(head) - len(tail))
     others = [F.first(c).alias(c) for c in landed.columns if c != "Raw_data"]
