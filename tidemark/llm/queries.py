@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, licenses, mixing, ngrams, quality, simhash, suffixes, vectors
+from tidemark.llm import (
+    chat, decontaminate, divergence, interactions, langid, licenses, mixing, ngrams, packing, quality, simhash, suffixes, vectors,
+)
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +123,102 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return ngrams.score_documents(docs, held_out("doc_id", 10))
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+ORACLES["op11_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT id, lang, source, term, count(*) AS n FROM (SELECT id, lang, source, unnest(found) AS term FROM d) GROUP BY ALL
+), kept AS MATERIALIZED (
+  SELECT lang, term, sum(n) AS n FROM w GROUP BY lang, term HAVING count(*) >= 10
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), cells AS (
+  SELECT w.lang, w.source, w.term, sum(w.n) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT g.lang, g.source, coalesce(t.total, 0) AS total, coalesce(l.v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs l USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM cells GROUP BY ALL) t USING (lang, source)
+), shares AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    CAST(1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (g.total + 2 * g.v) AS BIGINT) AS p,
+    CAST(1 + (1000000000 * (k.n + 2)) // (l.total + 2 * l.v) AS BIGINT) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), parts AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item,
+    CAST(coalesce((SELECT sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term
+      WHERE a.lang = x.lang AND a.source = x.source AND b.source = y.source), 0) AS BIGINT) AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return interactions.interactions(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+ORACLES["op13_interactions"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents
+), words AS (
+  SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY body) AS first FROM docs
+), marks AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(w) < 50 THEN 'A' ELSE '' END)
+    || (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 5 * length(body) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN doc_id > first THEN 'E' ELSE '' END) AS fails
+  FROM words LEFT JOIN marks USING (doc_id)
+), counted AS MATERIALIZED (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT '' AS filter_order UNION ALL
+  SELECT filter_order || f FROM orders JOIN letters ON NOT contains(filter_order, f)
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS filter, substr(filter_order, 1, step - 1) AS before
+  FROM orders, range(1, 6) r(step) WHERE length(filter_order) = 5
+), pairs AS (
+  SELECT c.*, s.*, contains(c.fails, s.filter) AS hit, c.fails <> translate(c.fails, s.before, '') AS gone FROM counted c, steps s
+), done AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter,
+    sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone AND hit THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = filter THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT gone AND hit THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT gone AND hit THEN toxic ELSE 0 END) AS toxic_lost
+  FROM pairs
+  GROUP BY ALL
+)
+SELECT part, filter_order, step, filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM done
+"""
