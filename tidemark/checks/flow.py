@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.checks.registry import Tables, as_of, dealt, pages, query
 from tidemark.functions import scalars
 from tidemark.functions.json import page_meta, to_json_text
-from tidemark.operators import audit, lookup, nested, pivot, select, sinks, skew
+from tidemark.operators import audit, batches, lookup, nested, pivot, select, sinks, skew
 from tidemark.plans import normalise, ships
 from tidemark.session import shared_folder
 from tidemark.sources import fetch
@@ -648,6 +648,7 @@ def superseded_batches(t: Tables) -> DataFrame:
         F.timestamp_seconds(F.lit(1_700_000_000) + F.col("n_regionkey")).alias("_ingestion_ts"),
     )
     store.append("pages", landed, partition_by=["_Batch_run_id"])
+    batches.recover(store, "pages")
     normalise.normalise_reviews(store, "pages")
     assert normalise.normalise_reviews(store, "pages") == {}
     silver = store.read("reviews").agg(F.concat_ws(",", F.sort_array(F.collect_set("_Batch_run_id"))).alias("b"))

@@ -62,6 +62,24 @@ def _as_expression(col: str | Column) -> Column:
     return F.when(F.size(c) > 0, c)
 
 
+def listed_records(text: Column, path: str | None = None) -> Column:
+    """The records of a page as an array of JSON texts, NULL if it has no such list.
+
+    ``path`` names the member that holds the array, with dots for members inside members; without it
+    the root is the array, and an object root is one record.
+    """
+    if path is None:
+        is_object = F.ltrim(text).startswith("{")
+        return F.when(is_object, F.array(text)).otherwise(F.from_json(text, "array<string>"))
+    kind = "array<string>"
+    for member in reversed(path.split(".")):
+        kind = f"struct<`{member}`:{kind}>"
+    found = F.from_json(text, kind)
+    for member in path.split("."):
+        found = found[member]
+    return found
+
+
 def page_records(
     pages: DataFrame, carry: Sequence[str | Column] = (), path: str | None = None,
     col: str = "Raw_data", into: str = "_text",
@@ -73,12 +91,7 @@ def page_records(
     into records where it was read, and the wide parse that follows runs on rows that are spread
     evenly. Numbers, escapes and nested members keep their text.
     """
-    text = F.col(col)
-    if path:
-        listed = F.from_json(text, f"{path} array<string>")[path]
-    else:
-        is_object = F.ltrim(text).startswith("{")
-        listed = F.when(is_object, F.array(text)).otherwise(F.from_json(text, "array<string>"))
+    listed = listed_records(F.col(col), path)
     records = pages.select(*carry, F.explode(_as_expression(listed)).alias(into))
     return records.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

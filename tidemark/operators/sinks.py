@@ -9,8 +9,8 @@ the last good version in place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import keyed
 from tidemark.operators.nested import union_aligned
-from tidemark.operators.select import BATCH, exclude
+from tidemark.operators.select import BATCH, exclude, is_empty
 from tidemark.operators.staging import staged
-from tidemark.sources.tables import list_folder, put_marker
+from tidemark.sources.tables import list_folder, put_marker, remove_folder
 
 LEDGER = "_processed_batches"
 MARKER = "_SUCCESS"
@@ -30,11 +31,13 @@ NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 @dataclass(frozen=True)
 class Written:
-    """What a write did: the path, whether a new version appeared, and its row count."""
+    """What a write did: the path, whether anything was written, its row count, and what else was
+    watched while it ran."""
 
     path: str
     wrote: bool
     rows: int
+    seen: Mapping[str, object] = field(default_factory=dict, compare=False)
 
 
 class Store:
@@ -60,22 +63,38 @@ class Store:
         folder = self._current(name)
         if folder is None:
             raise FileNotFoundError(self.path(name))
-        return self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(folder)
+        reader = self.spark.read.option("mergeSchema", str(merge_schema).lower())
+        found = keyed.parse(names := list_folder(self.spark, folder))
+        if not found:
+            return reader.parquet(folder)
+        stale = set(found) - set(keyed.live(found))
+        if not stale:
+            return reader.parquet(folder).drop(keyed.BUCKET)
+        hidden = {keyed.folder_of(b) for b in stale}
+        return self._buckets(folder, [n for n in names if n.startswith(f"{keyed.BUCKET}=") and n not in hidden])
 
     def append(
-        self, name: str, df: DataFrame, partition_by: Sequence[str] = (), evolve: bool = False
+        self, name: str, df: DataFrame, partition_by: Sequence[str] = (), evolve: bool = False,
+        watch: Mapping[str, Column] | None = None,
     ) -> Written:
-        """Add rows. Columns the table does not know yet need ``evolve`` and a merging read."""
+        """Add rows. Columns the table does not know yet need ``evolve`` and a merging read. ``watch``
+        names aggregates of the rows to come back in ``seen``."""
         if not evolve and self.exists(name):
             extra = set(df.columns) - set(self.read(name).columns)
             if extra:
                 raise ValueError(f"{name} has no column {sorted(extra)}; pass evolve=True")
-        return self._write(df, self.path(name), "append", partition_by)
+        return self._write(df, self.path(name), "append", partition_by, watch)
+
+    def replace_partitions(self, name: str, df: DataFrame, by: Sequence[str]) -> Written:
+        """Replace the partitions that ``df`` has rows of; a repeat gives the same table."""
+        return self._write(df, self.path(name), "overwrite", by, partitionOverwriteMode="dynamic")
 
     def replace(
-        self, name: str, df: DataFrame, skip_if_empty: bool = False, partition_by: Sequence[str] = ()
+        self, name: str, df: DataFrame, skip_if_empty: bool = False, partition_by: Sequence[str] = (),
+        folders: Sequence[str] = (),
     ) -> Written:
         """Publish a new version; with ``skip_if_empty`` a result without rows keeps the old one.
+        Partitions named in ``folders`` exist in it even without a row.
 
         Whether there are rows is known from the write itself: the version is written without its
         marker and only gets it if it is wanted.
@@ -85,6 +104,8 @@ class Store:
         done = self._write(df, folder, "errorifexists", partition_by, **{NO_MARKER: "false"})
         if skip_if_empty and not done.rows:
             return Written(self._current(name) or self.path(name), False, 0)
+        if folders:
+            self._fill(folder, folders, df)
         put_marker(self.spark, f"{folder}/{MARKER}")
         return done
 
@@ -112,29 +133,105 @@ class Store:
             partitionOverwriteMode="dynamic",
         )
 
+    def merge_keyed(
+        self, name: str, df: DataFrame, keys: Sequence[str], capacity: int = keyed.CAPACITY,
+        on_duplicate: str = "error", newest_by: Sequence[str] = (), full_refresh: bool = False,
+        skip_if_empty: bool = False,
+    ) -> Written:
+        """Upsert into a table kept in hash partitions of the key (``keyed``), made by the first call.
+
+        Reads and rewrites the buckets that changes fall into and no others; one that has more than
+        ``capacity`` rows afterwards is split. ``full_refresh`` publishes a new version instead. ``rows``
+        counts what was written. All is staged before a bucket is replaced, so a repeat after a failure
+        gives the same table but for rows without a key, which come again whenever they are merged.
+        """
+        folder = None if full_refresh else self._current(name)
+        fresh = staged(distinct_keys(df, keys, on_duplicate, newest_by))
+        if folder is None:
+            return self._first_keyed(name, fresh, keys, capacity, skip_if_empty)
+        names = list_folder(self.spark, folder)
+        buckets = keyed.live(keyed.parse(names))
+        if not buckets:
+            raise ValueError(f"{name} is not kept in partitions of its key; give full_refresh once")
+        for stale in set(keyed.parse(names)) - set(buckets):  # of a merge that did not come to its end
+            remove_folder(self.spark, f"{folder}/{keyed.folder_of(stale)}")
+        known, loose = fresh.dropna(subset=list(keys)), without_key(fresh, keys)
+        dealt = staged(keyed.with_bucket(known, keys, buckets))
+        touched = {r[0] for r in dealt.select(keyed.BUCKET).distinct().collect()}
+        stay = [b for b in buckets if keyed.name_of(b) in touched]
+        old = self._buckets(folder, [keyed.folder_of(b) for b in stay] or [keyed.folder_of(b) for b in buckets])
+        merged = upsert(old, dealt.drop(keyed.BUCKET), keys)
+        if _kinds(merged) != _kinds(old):  # a new column or type: one schema for all files
+            return self._first_keyed(name, staged(upsert(self.read(name), fresh, keys)), keys, capacity, skip_if_empty)
+        written = 0
+        if touched:
+            merged = staged(keyed.with_bucket(merged, keys, stay))
+            counts = {r[0]: r["count"] for r in merged.groupBy(keyed.BUCKET).count().collect()}
+            after, gone = keyed.split(stay, counts, capacity)
+            if gone:
+                merged = staged(keyed.with_bucket(merged.drop(keyed.BUCKET), keys, after))
+            written = self._write(
+                merged.hint("rebalance", keyed.BUCKET), folder, "overwrite", [keyed.BUCKET], partitionOverwriteMode="dynamic",
+            ).rows
+            self._fill(folder, [keyed.folder_of(b) for b in after], merged)
+            for bucket in gone:
+                remove_folder(self.spark, f"{folder}/{keyed.folder_of(bucket)}")
+        if not is_empty(loose):
+            rows = loose.select(*old.columns, F.lit(keyed.NO_KEY).alias(keyed.BUCKET))
+            written += self._write(rows, folder, "append", [keyed.BUCKET]).rows
+        return Written(folder, written > 0, written)
+
+    def _fill(self, folder: str, partitions: Sequence[str], rows: DataFrame) -> None:
+        """Partitions without a row have a folder too, so that the list of folders is complete. Where none
+        has any, the first one holds the schema."""
+        present = {f for f in list_folder(self.spark, folder) if "=" in f}
+        for partition in partitions:
+            if present:
+                if partition not in present:
+                    put_marker(self.spark, f"{folder}/{partition}/_EMPTY")
+            else:
+                rows.limit(0).drop(keyed.BUCKET).write.parquet(f"{folder}/{partition}")
+                present.add(partition)
+
+    def _first_keyed(self, name: str, fresh: DataFrame, keys: Sequence[str], capacity: int, skip_if_empty: bool) -> Written:
+        buckets = keyed.first_buckets(fresh.count(), capacity)
+        known = keyed.with_bucket(fresh.dropna(subset=list(keys)), keys, buckets)
+        loose = without_key(fresh, keys).withColumn(keyed.BUCKET, F.lit(keyed.NO_KEY))
+        rows = known.unionByName(loose).hint("rebalance", keyed.BUCKET)
+        return self.replace(name, rows, skip_if_empty, [keyed.BUCKET], folders=[keyed.folder_of(b) for b in buckets])
+
+    def _buckets(self, folder: str, names: Sequence[str]) -> DataFrame:
+        """The named partitions only. Some may hold no file; the schema is that of the first that does."""
+        reader = self.spark.read.option("basePath", folder)
+        full = next((n for n in names if any(f.endswith(".parquet") for f in list_folder(self.spark, f"{folder}/{n}"))), None)
+        schema = reader.parquet(f"{folder}/{full}" if full else folder).schema
+        return reader.schema(schema).parquet(*[f"{folder}/{n}" for n in names]).drop(keyed.BUCKET)
+
     def publish(
         self, name: str, df: DataFrame, mode: str = "overwrite", keys: Sequence[str] = (),
         full_refresh: bool = False, skip_if_empty: bool = False, on_duplicate: str = "error",
-        newest_by: Sequence[str] = (), evolve: bool = False,
+        newest_by: Sequence[str] = (), evolve: bool = False, capacity: int = keyed.CAPACITY,
     ) -> Written:
         """Full refresh, append, or ``auto``: merge on ``keys`` unless refreshing or first run."""
         if mode == "append":
             return self.append(name, df, evolve=evolve)
-        if mode == "auto" and not full_refresh and self.exists(name):
-            df = upsert(self.read(name), df, keys, on_duplicate, newest_by)
-        elif mode not in ("auto", "overwrite"):
+        if mode == "auto":
+            return self.merge_keyed(name, df, keys, capacity, on_duplicate, newest_by, full_refresh, skip_if_empty)
+        if mode != "overwrite":
             raise ValueError(f"unknown mode {mode!r}")
         return self.replace(name, df, skip_if_empty)
 
     def _write(
-        self, df: DataFrame, folder: str, mode: str, by: Sequence[str], **options: str
+        self, df: DataFrame, folder: str, mode: str, by: Sequence[str],
+        watch: Mapping[str, Column] | None = None, **options: str,
     ) -> Written:
-        """One job: the row count rides along with the write."""
+        """One job: the row count rides along with the write, and so does what is watched."""
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        asked = [c.alias(name) for name, c in (watch or {}).items()]
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *asked)
         writer = counted.write.mode(mode).options(**options)
         (writer.partitionBy(*by) if by else writer).parquet(folder)
-        return Written(folder, True, seen.get["rows"])
+        return Written(folder, True, seen.get["rows"], seen.get)
 
     # -- processed batches -----------------------------------------------------------------------
 
@@ -157,6 +254,10 @@ class Store:
         return self.append(LEDGER, stamped, evolve=True)
 
 
+def _kinds(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
 def one_per_key(
     df: DataFrame, keys: Sequence[str], on_duplicate: str = "error", newest_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -22,6 +22,7 @@ from tidemark.operators.nested import (
     parse_text_field, stamp, union_aligned,
 )
 from tidemark.operators.rates import RESULT, active_rate, attach_rate, expected_redelivery
+from tidemark.operators.rejects import checked_records
 from tidemark.operators.select import BATCH, slice_by
 from tidemark.plans import contract_fields as fields
 
@@ -37,6 +38,11 @@ def contract_records(pages: DataFrame, parts: tuple[str, ...] = ALL_PARTS) -> Da
     return parse_object(texts, "_text", fields.document_schema(parts), "c").select(BATCH, "c")
 
 
+def checked_contracts(pages: DataFrame, parts: tuple[str, ...] = ALL_PARTS, strict: bool = False) -> DataFrame:
+    """``contract_records`` together with the pages and records that do not parse: see ``rejects``."""
+    return checked_records(pages, fields.document_schema(parts), "contracts", into="c", strict=strict)
+
+
 def contract_projection(records: DataFrame, load_ts: Column | None = None) -> DataFrame:
     """The header columns, the same for all three contract types."""
     columns = [fields.column(kind, path).alias(name) for name, kind, path in fields.lines()]

@@ -10,6 +10,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import batches
 from tidemark.operators.audit import attempts_to_audit, raise_on_failed, to_bronze
 from tidemark.operators.select import BATCH
 from tidemark.operators.sinks import Store
@@ -52,7 +53,7 @@ def flush(
     for source, table in bronze.items():
         one = attempts.where(belongs_to(source))
         pages = to_bronze(one, batch_id, now, keep_failures, records_path, key)
-        rows[table] = store.append(table, pages, partition_by=[BATCH], evolve=True).rows
+        rows[table] = batches.land(store, table, pages, batch_id).rows
     if gate:
         def listed(failed: DataFrame) -> str:
             return store.append(FAILED_TABLE, failed.withColumn(BATCH, F.lit(batch_id)), evolve=True).path

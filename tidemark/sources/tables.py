@@ -29,6 +29,13 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(folder))
 
 
+def partition_folder(root: str, column: str, value: str) -> str:
+    """Path of a partition as Spark writes it: characters that a path cannot hold are escaped."""
+    spark = SparkSession.getActiveSession()
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return f"{root}/{escape(column, value)}"
+
+
 def put_marker(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     file, fs = _folder(spark, path)
