@@ -129,6 +129,54 @@ def removed(found):
     return dict(out)
 
 
+def brute_rows(rows, n):
+    """All rows of the result: windows of n words by their first place, merged where they touch."""
+    rows = sorted(set(rows))
+    places = defaultdict(list)
+    for i, text in rows:
+        w = (text or "").encode().lower().split()
+        for p in range(len(w) - n + 1):
+            places[tuple(w[p : p + n])].append((i, p))
+    spans = defaultdict(list)
+    for at in places.values():
+        for place in at if len(at) > 1 else []:
+            spans[place[0], place != at[0]].append((place[1], at[0][0]))
+    out = set()
+    for (i, gone), hits in spans.items():
+        run = []
+        for start, source in [*sorted(hits), (None, None)]:
+            if run and (start is None or start - run[-1][0] > n):
+                out.add((i, run[0][0], run[-1][0] + n - run[0][0], gone, min(s for _, s in run)))
+                run = []
+            run.append((start, source))
+    return out
+
+
+def all_rows(found):
+    rows = [(r.doc_id, r.first_word, r.n_words, r.removed, r.source_doc_id) for r in found.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_copies_agree_with_what_earlier_documents_hold(make, prose):
+    """Every column, where texts with copies stand inside of earlier ones, in part or as a whole."""
+    a, b, w, v, u = prose(40), prose(30), prose(70), prose(60), prose(130)
+    rows = [(1, f"{a} {w} {b}"), (5, w), (6, w), (7, v), (7, v), (8, f"{v[:5]} {u}"), (9, f"{u} {w}"), (10, f"{u} {w}"), (11, f"{w} {w}"), (12, f"{w} {w}"), (13, "same " * 120), (14, "same " * 120)]
+    assert all_rows(suffixes.repeated_passages(make(rows))) == brute_rows(rows, 50)
+    left = {r.doc_id: r.text for r in suffixes.remove_repeats(make(rows)).collect()}
+    assert set(left) == {1, 7, 8, 13} and left[13].split() == ["same"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_column_matches_brute_force(make, prose, seed):
+    rng, pool = random.Random(seed), [prose(n) for n in (30, 50, 53, 70, 120)]
+    rows = [(i, " ".join(rng.choice(pool) if rng.random() < 0.5 else prose(rng.randint(1, 60)) for _ in range(rng.randint(1, 6)))) for i in range(60)]
+    rows += [(rng.randrange(200), rng.choice(pool)) for _ in range(15)] + [(300 + i, rng.choice(rows)[1]) for i in range(20)]
+    rows = list({i: t for i, t in rows}.items())
+    rows += rng.sample(rows, 15)  # rows that occur twice
+    assert all_rows(suffixes.repeated_passages(make(rows))) == brute_rows(rows, 50)
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_passages_match_brute_force(spark, make, prose, parts):
     rng, pool = random.Random(parts), [prose(n) for n in (30, 50, 53, 70, 120)]

@@ -232,6 +232,9 @@ def merged(min_words: int):
     def spans(hits: pa.Array) -> pa.Array:
         out = []
         for row in hits.to_pylist():
+            if not row:
+                out.append([])
+                continue
             start = np.array([h["start"] for h in row], np.int64)
             source = np.array([h["source"] for h in row], np.int64)
             order = np.argsort(start, kind="stable")
@@ -245,6 +248,24 @@ def merged(min_words: int):
     return spans
 
 
+def others(min_words: int):
+    """The places of a text of so many words that are not among ``starts``, as hits of source ``rank``;
+    of places side by side the first and the last, and one in every ``min_words`` between them."""
+
+    @F.arrow_udf("array<struct<start: int, source: bigint>>")
+    def places(starts: pa.Array, n_words: pa.Array, rank: pa.Array) -> pa.Array:
+        out = []
+        for gone, n, source in zip(starts.to_pylist(), n_words.to_pylist(), rank.to_pylist()):
+            left = np.ones(n - min_words + 1, bool)
+            left[np.array(gone or [], np.int64)] = False
+            edge = np.flatnonzero(np.diff(np.concatenate(([False], left, [False]))))
+            runs = zip(edge[::2].tolist(), (edge[1::2] - 1).tolist())
+            out.append([{"start": s, "source": source} for a, b in runs for s in [*range(a, b, min_words), b]])
+        return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("source", pa.int64())])))
+
+    return places
+
+
 #: Rank of rows without an id: after all ids.
 NO_ID = (1 << 63) - 1
 
@@ -259,8 +280,10 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     the same one. Of all its places the one in the document with the smallest id (then the first place)
     stays; the others are removed, and passages that overlap are merged. ``source_doc_id`` is the
     smallest id that holds a kept place of the passage. Of documents with equal texts the one with the
-    smallest id stands for all; the others are one removed passage each. Rows that agree in id and text
-    count once. Rows without an id come after all ids and share the id null. Null, empty and short texts
+    smallest id stands for all: what an earlier document holds of it is removed, the rest is kept, also
+    where only its copies repeat it. The others are one removed passage each, and have the smallest id
+    that keeps a part of them as source. Rows that agree in id and text count once, so they are no
+    copies of one another. Rows without an id come after all ids and share the id null. Null, empty and short texts
     have no passage. An empty table gives no rows.
 
     Exact: a passage of ``min_words`` has a minimiser among its first ``window`` grams, so its equal
@@ -270,8 +293,8 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     ids, texts = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), F.col(text).cast("string")
     rows = docs.select(ids.alias("rank"), F.xxhash64(texts).alias("x"), texts.alias("text")).where(F.octet_length("text") >= 2 * min_words - 1)
     copies = staged(rows.select("rank", "x", F.xxhash64(F.lit(7), "text").alias("y"), count_words(F.col("text")).alias("n_words")))
-    groups = copies.groupBy("x", "y").agg(F.min("rank").alias("lead"), F.count("*").alias("n"), F.max("n_words").alias("words"))
-    leads = staged(groups.where(F.col("words") >= min_words).drop("words"))
+    groups = copies.groupBy("x", "y").agg(F.min("rank").alias("lead"), (F.min("rank") < F.max("rank")).alias("several"), F.max("n_words").alias("n_words"))
+    leads = staged(groups.where(F.col("n_words") >= min_words))
 
     if not copies.groupBy("rank", "x", "y").count().where("count > 1").isEmpty():
         # Rows equal in id and text count once: they are folded before anything is gathered from them.
@@ -284,10 +307,19 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     drop_staged(array)
     # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
     hits = first_places(windows(rows.join(wanted.hint("merge"), ["rank", "x"]), min_words, window))
-    listed = hits.groupBy("rank", "x", "removed").agg(F.collect_list(F.struct("start", "source")).alias("hits"))
-    parts = listed.select("rank", "x", "removed", F.inline(merged(min_words)("hits")))
-
-    whole = copies.join(leads.where("n > 1"), ["x", "y"]).select("rank", "x", (F.col("rank") != F.col("lead")).alias("removed"), F.lit(0).cast("long").alias("first_word"), "n_words", F.col("lead").alias("source")).distinct()
+    listed = staged(hits.groupBy("rank", "x", "removed").agg(F.collect_list(F.struct("start", "source")).alias("hits")))
+
+    # A text with copies keeps all its places but those an earlier document holds.
+    first = leads.where("several").select(F.col("lead").alias("rank"), "x", "y", "n_words")
+    held = listed.where("removed").select("rank", "x", F.col("hits.start").alias("starts"), F.array_min("hits.source").alias("source"))
+    first = staged(first.join(held, ["rank", "x"], "left"))
+    kept = first.select("rank", "x", F.lit(False).alias("removed"), others(min_words)("starts", "n_words", "rank").alias("hits"))
+    own = listed.join(first.select("rank", "x", F.lit(False).alias("removed")), ["rank", "x", "removed"], "left_anti")
+    parts = own.unionByName(kept).select("rank", "x", "removed", F.inline(merged(min_words)("hits")))
+
+    source = F.least(F.col("lead"), F.coalesce("source", "lead"))
+    copied = copies.join(first.select("x", "y", F.col("rank").alias("lead"), "source"), ["x", "y"]).where(F.col("rank") != F.col("lead"))
+    whole = copied.select("rank", "x", F.lit(True).alias("removed"), F.lit(0).cast("long").alias("first_word"), "n_words", source.alias("source")).distinct()
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return parts.unionByName(whole).select(named("rank").alias("doc_id"), "first_word", "n_words", "removed", named("source").alias("source_doc_id"), "x")
 
