@@ -106,8 +106,30 @@ def test_edited_passages_match_full_alignment(spark, make, prose):
             if s >= decontaminate.needed(len(a), 0.6):
                 want[d, i] = s
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
-    many = decontaminate.contaminated(docs, bench, block_words=60)
-    assert {(r.doc_id, r.item_id) for r in many.collect()} == want.keys()
+    whole = {tuple(r) for r in decontaminate.contaminated(docs, bench).collect()}
+    for block_words in (60, 150):  # several blocks, the last one with what is left
+        assert len(list(decontaminate.blocks(bench, "item_id", "text", block_words))) >= 2
+        assert {tuple(r) for r in decontaminate.contaminated(docs, bench, block_words=block_words).collect()} == whole
+        left = decontaminate.drop_contaminated(docs, bench, block_words=block_words)
+        assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i, _ in rows_of(texts)} - {d for d, _ in want}
+        lists = decontaminate.with_matches(docs, bench, block_words=block_words)
+        assert {(r.doc_id, m.item_id) for r in lists.collect() for m in r.matches} == want.keys()
+
+
+def rows_of(texts):
+    return list(enumerate(texts))
+
+
+def test_items_without_an_id_are_found_under_none(spark, make, prose):
+    a, b, c = prose(30), prose(40), prose(50)
+    for kind in ("long", "string"):
+        key = (lambda k: k) if kind == "long" else (lambda k: k and str(k))
+        bench = spark.createDataFrame([(None, a), (key(2), b), (None, c)], f"item_id {kind}, text string")
+        docs = make([(1, "x " + a), (2, b), (3, c + " " + a), (4, prose(60)), (None, a)])
+        for block_words in (35, 4_000_000):
+            got = {(r.doc_id, r.item_id): (r.score, r.places) for r in decontaminate.contaminated(docs, bench, block_words=block_words).collect()}
+            assert got == {(1, None): (1.0, 1), (2, key(2)): (1.0, 1), (3, None): (1.0, 2), (None, None): (1.0, 1)}
+            assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench, block_words=block_words).collect()] == [4]
 
 
 def test_seeds_dropped_are_never_needed():

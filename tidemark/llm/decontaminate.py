@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import alnum_only, gram_hashes, sliced, word_hashes, word_tokens
+from tidemark.llm.common import alnum_only, gram_hashes, sliced, staged, word_hashes, word_tokens
+from tidemark.session import shared_folder
+from tidemark.sources.tables import list_folder
 
 SEED_WORDS = 3
 #: Points of the alignment; a gap costs twice a mismatch.
@@ -204,6 +207,7 @@ def find_in(block: Block, h: np.ndarray, offsets: np.ndarray, least: float) -> l
 
 def match_column(text: Column, block: Block, least: float) -> Column:
     kind = pa.struct([("item_id", pa.string()), ("score", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())])
+    names = [None if i is None else str(i) for i in block.ids]
 
     @F.arrow_udf("array<struct<item_id: string, score: double, first_word: bigint, n_words: bigint>>")
     def matches(texts: pa.Array) -> pa.Array:
@@ -212,13 +216,23 @@ def match_column(text: Column, block: Block, least: float) -> Column:
             offsets, codes, words = word_tokens(alnum_only(part.column("text")))
             h = word_hashes(words)[codes] if len(codes) else np.zeros(0, np.uint64)
             out += find_in(block, h, offsets, least)
-        rows = [[{"item_id": str(block.ids[i]), "score": s, "first_word": a, "n_words": n} for i, s, a, n in row] for row in out]
+        rows = [[{"item_id": names[i], "score": s, "first_word": a, "n_words": n} for i, s, a, n in row] for row in out]
         return pa.array(rows, pa.list_(kind))
 
     # Not repeated below filters on its result, as the optimiser may do with a pure function.
     return matches.asNondeterministic()(text.cast("string"))
 
 
+def match_columns(docs: DataFrame, items: DataFrame, text: str, item_text: str, item_id: str, least: float, block_words: int) -> Iterator[Column]:
+    """The list of matches in a document, a column for each block of test items. A block is read, and its
+    seeds are counted over all documents, when the column before it has been used."""
+    id_type = items.schema[item_id].dataType.simpleString()
+    kind = f"array<struct<item_id: {id_type}, score: double, first_word: bigint, n_words: bigint>>"
+    for block in blocks(items, item_id, item_text, block_words):
+        rare = rare_seeds(block, count_seeds(docs, text, block), least)
+        yield match_column(F.col(text), rare, least).cast(kind)
+
+
 def with_matches(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", least: float = 0.6, column: str = "matches", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with a list of (item_id, score, first_word, n_words): test items found in the text.
 
@@ -226,29 +240,57 @@ def with_matches(docs: DataFrame, items: DataFrame, text: str = "text", item_tex
     Smith-Waterman score against the item over that of the item with itself; pairs of at least
     ``least`` are reported, best place first for each region of the text. Items of fewer than 8 words
     must occur unchanged. Exact: each item drops only so many of its most frequent seeds that any
-    passage of that score still holds one of the others. Test items are read in bounded blocks, each of
-    which makes two passes over the documents; documents are never shuffled. Null and empty texts have
-    an empty list, null and empty items match nothing, repeated rows are handled row by row, and
+    passage of that score still holds one of the others. Test items are read in blocks of about
+    ``block_words`` words, one after the other; each makes two passes over the documents, and between
+    two of them the documents found so far are written, so that the driver and a task hold one block.
+    Documents are never shuffled. Null and empty texts have an empty list, null and empty items match
+    nothing, an item without an id is found under a null id, repeated rows are handled row by row, and
     without items every list is empty.
     """
-    id_type = items.schema[item_id].dataType.simpleString()
-    kind = f"array<struct<item_id: {id_type}, score: double, first_word: bigint, n_words: bigint>>"
-    lists = [F.array().cast(kind)]
-    for block in blocks(items, item_id, item_text, block_words):
-        rare = rare_seeds(block, count_seeds(docs, text, block), least)
-        lists.append(match_column(F.col(text), rare, least).cast(kind))
-    return docs.withColumn(column, F.concat(*lists))
-
-
-def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
+    how = (text, item_text, item_id, least, block_words)
+    found, first = None, True
+    for matches in match_columns(docs, items, *how):
+        if first:
+            found, first = docs.withColumn(column, matches), False
+        else:
+            found = staged(found).withColumn(column, F.concat(column, matches))
+    if found is None:
+        id_type = items.schema[item_id].dataType.simpleString()
+        return docs.withColumn(column, F.array().cast(f"array<struct<item_id: {id_type}, score: double, first_word: bigint, n_words: bigint>>"))
+    return found
+
+
+def contaminated(
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_text: str = "text",
+    item_id: str = "item_id", least: float = 0.6, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
     """One row per document and test item found in it: ``doc_id``, ``item_id``, the best ``score``, its
-    ``first_word`` and ``n_words``, and the number of ``places``; ties go to the first place."""
-    found = with_matches(docs, items, column="_found_here", **how).select(F.col(doc_id).alias("doc_id"), F.inline("_found_here"))
+    ``first_word`` and ``n_words``, and the number of ``places``; ties go to the first place. Rows
+    that share a doc_id, and items that share an item_id, also null ones, are one here. What is found
+    by a block of items (see ``with_matches``) is written before the next block is read."""
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    parts, folder = [], f"{shared_folder(docs.sparkSession)}/tidemark-staged/{uuid4().hex}"
+    for matches in match_columns(narrow, items, "text", item_text, item_id, least, block_words):
+        for part in parts:  # a block came before: what it found is written
+            part.write.mode("append").parquet(folder)
+        parts = [narrow.select("doc_id", matches.alias("_found")).select("doc_id", F.inline("_found"))]
+    found = parts[0] if parts else with_matches(narrow, items, "text", item_text, item_id, column="_found").select("doc_id", F.inline("_found"))
+    if list_folder(docs.sparkSession, folder):
+        found.write.mode("append").parquet(folder)
+        found = docs.sparkSession.read.parquet(folder)
     best = F.struct("score", (-F.col("first_word")).alias("first"), "n_words")
     rows = found.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"), F.count("*").alias("places"))
     return rows.select("doc_id", "item_id", F.col("b.score").alias("score"), (-F.col("b.first")).alias("first_word"), F.col("b.n_words").alias("n_words"), "places")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The documents in which no test item was found, all columns kept."""
-    return with_matches(docs, items, column="_matches", **how).where("size(_matches) = 0").drop("_matches")
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id",
+    least: float = 0.6, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The documents in which no test item was found, all columns kept. Documents that a block of items
+    leaves are written before the next block is read."""
+    left, first = docs, True
+    for matches in match_columns(docs, items, text, item_text, item_id, least, block_words):
+        left = (left if first else staged(left)).withColumn("_matches", matches).where("size(_matches) = 0").drop("_matches")
+        first = False
+    return left
