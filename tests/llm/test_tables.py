@@ -51,6 +51,34 @@ def test_mix_meets_targets(make, prose):
     assert again == {(r.doc_id, r.copies) for r in got}
 
 
+def test_equal_rows_are_documents_each(make):
+    """A hot row without an id, equal to very many others, is dealt row by row."""
+    rows = [(None, "w " * 10, "en", "a")] * 4000 + [(k, "v " * 25, "en", "b") for k in range(40)] + [(7, "u", "en", None)] * 3
+    got = mixed(make, rows)
+    size = {"a": 40_000, "b": 1000, None: 3}
+    target = plain_targets(size)
+    assert len(got) == len(rows)
+    for s in size:
+        mine = [r for r in got if r.source == s]
+        assert len(mine) == sum(r[3] == s for r in rows) and all(r.target == pytest.approx(target[s]) for r in mine)
+        assert abs(sum(r.taken for r in mine) - target[s]) <= max(r.size for r in mine)
+        assert len({r.copies for r in mine}) <= 2 and all(r.taken == r.size * r.copies <= 3 * r.size for r in mine)
+    kept = mixing.mixed_documents(make(rows))
+    by = {(r.source, r.copies): r.n for r in kept.groupBy("source", "copies").agg(F.count("*").alias("n")).collect()}
+    want = defaultdict(int)
+    for r in got:
+        if r.copies:
+            want[r.source, r.copies] += 1
+    assert by == dict(want) and set(make(rows).columns) <= set(kept.columns)
+
+
+def test_the_example_of_repeated_rows(make):
+    rows = [(None, "w " * 10, "en", "a")] * 400 + [(k, "x " * 10, "en", "b") for k in range(400)]
+    got = mixed(make, rows)
+    for s, want in plain_targets({"a": 4000, "b": 4000}).items():
+        assert abs(sum(r.taken for r in got if r.source == s) - want) <= 10
+
+
 def test_each_document_is_drawn_by_its_share(make):
     rows = [(i, "w " * 10, "en", s) for i, s in enumerate(["a"] * 60 + ["b"] * 20)]
     f = 20 / 60  # weights 1 and 2: source a gets 800 / 3 of its 600 words

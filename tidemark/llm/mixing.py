@@ -149,16 +149,17 @@ def rounded(items: DataFrame, seed: int = 0, fan_in: int = FAN_IN, last: int = L
     return result.select("source", "id.doc_id", "id.key", "up")
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (1, 2, 3), share: float = 1.0, most: int = 3, seed: int = 0) -> DataFrame:
-    """One row per document: ``doc_id``, ``source``, ``size`` (words), ``source_size``, ``target``,
-    ``copies``, ``taken`` (size x copies) and ``key`` (hash of the text).
+#: Rows equal in id, source and text that one task unfolds.
+SLOT_ROWS = 1024
 
-    A source whose target is f times its size needs f copies of each of its documents: all take the
-    whole part, and the fraction is rounded up or down by pivotal dependent rounding of the words, so
-    that the words taken come to their sum but for the smallest documents. A document has at most ``most``
-    copies. Documents without words take none. Rows that agree in id, source and text are one item and
-    share its copies; each is returned. Null text has size 0, null ids and sources are kept, equal
-    sizes need no order. The same rows and seed give the same mix. An empty table gives no rows.
+
+def planned(docs: DataFrame, doc_id: str, text: str, source: str, weights: Sequence[float], share: float, most: int, seed: int) -> DataFrame:
+    """One row per item, the rows that agree in id, source and text: ``doc_id``, ``source``, ``size``,
+    ``key``, ``rows``, ``source_size``, ``target``, the ``base`` copies of each of its rows, and ``ups``,
+    the number of its rows that take one more.
+
+    Of ``n`` equal rows with a fraction f, floor(n f) go up for certain. What is left of n f is the
+    fraction of one row, which the tree decides like any other document.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("key"))
     items = staged(rows.groupBy("doc_id", "source", "size", "key").agg(F.count("*").alias("rows")))
@@ -166,26 +167,66 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     wanted = staged(targets(sums, weights, share, most))
     named = wanted.withColumnRenamed("source", "_source")
     factor = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    planned = items.join(named, items["source"].eqNullSafe(named["_source"])).drop("_source").withColumn("factor", factor)
-    part = F.col("factor") - F.floor("factor")
-    open_items = planned.where((F.col("size") > 0) & (part > 0)).select("source", "doc_id", "key", (F.col("size") * F.col("rows")).cast("double").alias("size"), (part * F.col("size") * F.col("rows")).alias("mass"))
+    plan = items.join(named, items["source"].eqNullSafe(named["_source"])).drop("_source").withColumn("factor", factor)
+    many = (F.col("factor") - F.floor("factor")) * F.col("rows")
+    plan = plan.withColumn("sure", F.when(F.col("size") > 0, F.floor(many)).otherwise(0).cast("long"))
+    plan = plan.withColumn("part", many - F.floor(many))
+    open_items = plan.where((F.col("size") > 0) & (F.col("part") > 0)).select("source", "doc_id", "key", F.col("size").cast("double").alias("size"), (F.col("part") * F.col("size")).alias("mass"))
     ups = rounded(staged(open_items), seed).where("up = 1").select(F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), "up")
-    met = planned.join(
-        ups, planned["doc_id"].eqNullSafe(ups["_doc_id"]) & (planned["key"] == ups["_key"]) & planned["source"].eqNullSafe(ups["_source"]), "left"
+    met = plan.join(
+        ups, plan["doc_id"].eqNullSafe(ups["_doc_id"]) & (plan["key"] == ups["_key"]) & plan["source"].eqNullSafe(ups["_source"]), "left"
+    )
+    base = F.when(F.col("size") > 0, F.floor("factor")).otherwise(0).cast("long")
+    return met.select(
+        "doc_id", "source", "size", "key", "rows", "source_size", "target", base.alias("base"),
+        (F.col("sure") + F.coalesce("up", F.lit(0))).alias("ups"),
     )
-    copies = F.when(F.col("size") > 0, F.floor("factor") + F.coalesce("up", F.lit(0))).otherwise(0).cast("long")
-    full = met.withColumn("copies", copies).withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    return full.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), "key")
 
 
-def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+def unfolded(items: DataFrame) -> DataFrame:
+    """``planned`` items as one row per document, with its ``copies``. Very many equal rows unfold in
+    slots that are dealt over all tasks."""
+    last = F.floor((F.col("rows") - 1) / SLOT_ROWS)
+    once = items.where("rows = 1").withColumn("_number", F.lit(0).cast("long"))
+    slots = items.where("rows > 1").withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    within = F.sequence(F.col("_slot") * SLOT_ROWS, F.least(F.col("_slot") * SLOT_ROWS + SLOT_ROWS, F.col("rows")) - 1)
+    often = slots.repartition("key", "doc_id", "_slot").withColumn("_number", F.explode(within)).drop("_slot")
+    copies = F.col("base") + (F.col("_number") < F.col("ups")).cast("long")
+    return once.unionByName(often).withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (1, 2, 3), share: float = 1.0, most: int = 3, seed: int = 0) -> DataFrame:
+    """One row per document: ``doc_id``, ``source``, ``size`` (words), ``source_size``, ``target``,
+    ``copies``, ``taken`` (size x copies) and ``key`` (hash of the text).
+
+    A source whose target is f times its size needs f copies of each of its documents: all take the
+    whole part, and the fraction is rounded up or down by pivotal dependent rounding of the words, so
+    that the words taken come to their sum but for the smallest documents. A document has at most ``most``
+    copies. Documents without words take none. Rows that agree in id, source and text are documents
+    each; which of them has a copy more is of no matter, as they are alike. Null text has size 0, null
+    ids and sources are kept, ids are whole numbers or text of such, equal sizes need no order. The
+    same rows and seed give the same mix. An empty table gives no rows.
+    """
+    found = unfolded(planned(docs, doc_id, text, source, weights, share, most, seed))
+    return found.select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "key")
+
+
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (1, 2, 3), share: float = 1.0, most: int = 3, seed: int = 0) -> DataFrame:
     """The documents the mix takes, with all their columns and ``size``, ``copies``, ``taken`` and
-    ``target``; documents of no copies are left out. Columns of these names are replaced."""
-    found = mix(docs, doc_id, text, source, **how).where("copies > 0")
-    found = found.groupBy("doc_id", "source", "key").agg(*[F.first(c).alias(c) for c in ("size", "copies", "taken", "target")])
-    found = found.select("doc_id", "source", "key", F.struct("size", "copies", "taken", "target").alias("_mix"))
+    ``target``; documents of no copies are left out. Columns of these names are replaced. Rows that
+    agree in id, source and text, of which some may have a copy more than others, all come with the
+    other columns of one of them."""
+    items = staged(planned(docs, doc_id, text, source, weights, share, most, seed))
     packed = docs.select(F.col(doc_id).cast("long").alias("_d"), F.col(source).alias("_s"), F.xxhash64(text).alias("_k"), F.struct(*docs.columns).alias("_row"))
-    match = F.col("_d").eqNullSafe(F.col("doc_id")) & F.col("_s").eqNullSafe(F.col("source")) & (F.col("_k") == F.col("key"))
     plain = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("size", "copies", "taken", "target")]
-    # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
-    return packed.join(found.hint("merge"), match).select(*plain, "_mix.*")
+
+    def met(rows: DataFrame, found: DataFrame) -> DataFrame:
+        chosen = found.where("copies > 0").select("doc_id", "source", "key", F.struct("size", "copies", "taken", "target").alias("_mix"))
+        match = F.col("_d").eqNullSafe(F.col("doc_id")) & F.col("_s").eqNullSafe(F.col("source")) & (F.col("_k") == F.col("key"))
+        # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
+        return rows.join(chosen.hint("merge"), match).select(*plain, "_mix.*")
+
+    alone = met(packed, unfolded(items.where("rows = 1")))
+    if items.where("rows > 1").isEmpty():
+        return alone
+    return alone.unionByName(met(packed.dropDuplicates(["_d", "_s", "_k"]), unfolded(items.where("rows > 1"))))
