@@ -626,12 +626,12 @@ def contract_slices(t: Tables) -> DataFrame:
     "union_contracts",
     f"""SELECT o_orderkey AS "contractId", o_totalprice AS price, CAST(NULL AS VARCHAR) AS status
         FROM orders WHERE o_orderkey % 3 = 0
-        UNION ALL SELECT o_orderkey, NULL, o_orderstatus FROM orders WHERE o_orderkey % 3 = 1""",
+        UNION ALL SELECT o_orderkey, NULL, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0""",
 )
 def union_contracts(t: Tables) -> DataFrame:
     key = F.col("o_orderkey").alias("contractId")
     a = t.orders.where("o_orderkey % 3 = 0").select(key, F.col("o_totalprice").alias("price"))
-    b = t.orders.where("o_orderkey % 3 = 1").select(F.col("o_orderstatus").alias("status"), key)
+    b = t.orders.where("o_orderkey % 3 <> 0").select(F.col("o_orderstatus").alias("status"), key)
     return nested.union_aligned(a, b)
 
 

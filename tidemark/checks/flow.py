@@ -364,21 +364,23 @@ def sentinel_pages(t: Tables) -> DataFrame:
     return t.documents.where(audit.is_sentinel(total, F.col("text"))).select("doc_id")
 
 
-LINES = "list_filter(string_split(text, chr(10)), lambda x: length(x) > 60)"
+LINES = "string_split(text, chr(10))"
+LONGER = f"list_filter({LINES}, lambda x: length(x) > 60)"
 
 
-def line_pages(t: Tables) -> DataFrame:
-    """Documents as pages whose records are their longer lines."""
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 60)
+def line_pages(t: Tables, longer_than: int = -1) -> DataFrame:
+    """Documents as pages whose records are their lines, or the longer ones of them."""
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > longer_than)
     return dealt(t.documents).select(
         "doc_id", F.to_json(F.struct(F.size(lines).alias("totalCount"), lines.alias("results")))
         .alias("Raw_data"),
     )
 
 
-@query("non_empty_pages", f"SELECT doc_id FROM documents WHERE len({LINES}) > 0")
+@query("non_empty_pages", f"SELECT doc_id FROM documents WHERE len({LONGER}) > 0")
 def non_empty_pages(t: Tables) -> DataFrame:
-    return audit.non_empty(line_pages(t), "Raw_data", "$.results").select("doc_id")
+    """Some documents have no longer line, so their pages are empty."""
+    return audit.non_empty(line_pages(t, 60), "Raw_data", "$.results").select("doc_id")
 
 
 @query("page_record_counts", f"SELECT doc_id, CAST(len({LINES}) AS BIGINT) AS records FROM documents")

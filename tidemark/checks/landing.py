@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.checks.flow import UPSERT_SQL, _changes, _store
+from tidemark.checks.flow import UPSERT_SQL, _changes, _store, attempts
 from tidemark.checks.registry import Tables, pages, query
 from tidemark.operators import batches, rejects
 from tidemark.operators.select import BATCH
 from tidemark.operators.sinks import LEDGER
 from tidemark.plans import contracts, normalise
+from tidemark.sources import incremental
 
 # -- rejects -------------------------------------------------------------------------------------
 
@@ -142,3 +143,20 @@ def register_states(t: Tables) -> DataFrame:
         normalise.normalise_vessels(store, "axs", country)
     assert store.read(LEDGER).count() == 2
     return store.read("vessel_register").select(F.col("imo").cast("bigint").alias("c_custkey"), "teu")
+
+
+# -- marks -----------------------------------------------------------------------------------------
+
+
+@query(
+    "source_marks",
+    """SELECT source, max(first) AS modified_since FROM (
+         SELECT CAST(user_id AS VARCHAR) AS source, event_id % 7 AS batch, min(ts) AS first FROM events GROUP BY ALL)
+       WHERE (source, batch) NOT IN (SELECT (CAST(user_id AS VARCHAR), event_id % 7) FROM events GROUP BY user_id, event_id % 7, day(ts)
+         HAVING arg_max(event_type, event_id) IN ('error', 'view'))
+       GROUP BY source""",
+)
+def source_marks(t: Tables) -> DataFrame:
+    """Events as attempts of seven batches: each user's newest mark from a batch without a failed request."""
+    tries = attempts(t).withColumn(BATCH, (F.col("attempt_number") % 7).cast("string"))
+    return incremental.latest_marks(incremental.batch_marks(tries))
