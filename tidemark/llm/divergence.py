@@ -16,6 +16,8 @@ from tidemark.llm.common import sliced, staged, word_tokens
 UNIT = 1_000_000_000
 #: Letters A-Z in lower case, bytes of non-ASCII characters as they are, all others a space.
 LETTERS = bytes((c + 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalpha() else 32 for c in range(256))
+#: Items of a path by which it is dealt to a task.
+HEAD_ITEMS = 4
 #: Node and ancestor pairs handled at once.
 PAIRS = 1 << 20
 
@@ -88,7 +90,10 @@ def corrections(paths: DataFrame) -> DataFrame:
                 a, b, value = found
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(a), pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(value, pa.int64())], ["lang", "a", "b", "value"])
 
-    ordered = paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    # The ranges are made from a sample of keys; the first items tell paths apart well enough, and what
+    # they do not tell apart is spread by a hash.
+    head = F.transform(F.slice("path", 1, HEAD_ITEMS), lambda x: F.struct(x["at"], x["n"]))
+    ordered = paths.repartitionByRange("lang", head, F.xxhash64("path")).sortWithinPartitions("lang", "path")
     sums = ordered.select("lang", "path", "m").mapInArrow(grow, "lang string, a bigint, b bigint, value bigint")
     return sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
