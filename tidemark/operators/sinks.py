@@ -4,14 +4,16 @@ A table is a folder below the store's root. Append-only tables are plain parquet
 attempts partitioned by batch id so that reading one batch touches one partition. A replaced table
 keeps each version in its own ``run=`` folder: readers take the newest one that carries the success
 marker, so a version can be read while the next one is written from it, and a failed write leaves
-the last good version in place.
+the last good version in place. Several tables are published as one by ``together``: their versions
+carry the number of a group and count from the moment its pointer is there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from itertools import islice
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -25,7 +27,9 @@ from tidemark.operators.staging import staged
 from tidemark.sources.tables import list_folder, put_marker, remove_folder
 
 LEDGER = "_processed_batches"
+VERSION = "%Y%m%dT%H%M%S%f"
 MARKER = "_SUCCESS"
+GROUPS, GROUP = "_groups", "-g"
 NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
@@ -50,11 +54,44 @@ class Store:
     def _current(self, name: str) -> str | None:
         entries = list_folder(self.spark, self.path(name))
         runs = [e for e in entries if e.startswith("run=")]
+        return next(self._good(name, runs), self.path(name) if entries and not runs else None)
+
+    def _good(self, name: str, runs: Sequence[str]) -> Iterator[str]:
+        """Folders of complete versions, newest first; one of a group needs the group's pointer too."""
+        pointers = None
         for run in reversed(runs):
-            folder = f"{self.path(name)}/{run}"
-            if MARKER in list_folder(self.spark, folder):
-                return folder
-        return self.path(name) if entries and not runs else None
+            folder, (_, _, group) = f"{self.path(name)}/{run}", run.partition(GROUP)
+            if MARKER not in list_folder(self.spark, folder):
+                continue
+            if group and pointers is None:
+                pointers = self._pointers()
+            if not group or group in pointers:
+                yield folder
+
+    def _pointers(self) -> Collection[str]:
+        return set(list_folder(self.spark, f"{self.root}/{GROUPS}"))
+
+    def snapshot(self) -> Snapshot:
+        """A view in which tables of one group are all of the same publication, whatever is published
+        while they are read."""
+        return Snapshot(self)
+
+    def together(self) -> Together:
+        """``with store.together() as group:`` publishes all that ``group.replace`` writes at one moment."""
+        return Together(self)
+
+    def expire(self, name: str, keep: int = 2, older_than: timedelta = timedelta(days=7)) -> int:
+        """Delete versions of a replaced table that began more than ``older_than`` ago, the newest ``keep``
+        complete ones excepted; versions of runs that never ended go too. Returns how many went."""
+        if keep < 1:
+            raise ValueError("the version in force is kept: keep is at least 1")
+        runs = [e for e in list_folder(self.spark, self.path(name)) if e.startswith("run=")]
+        stay = {folder.rsplit("/", 1)[1] for folder in islice(self._good(name, runs), keep)}
+        limit = f"run={(datetime.now(timezone.utc) - older_than).strftime(VERSION)}"
+        gone = [run for run in runs if run not in stay and run < limit]
+        for run in gone:
+            remove_folder(self.spark, f"{self.path(name)}/{run}")
+        return len(gone)
 
     def exists(self, name: str) -> bool:
         return self._current(name) is not None
@@ -99,8 +136,7 @@ class Store:
         Whether there are rows is known from the write itself: the version is written without its
         marker and only gets it if it is wanted.
         """
-        now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-        folder = f"{self.path(name)}/run={now}-{uuid4().hex[:8]}"
+        folder = f"{self.path(name)}/run={self._version()}"
         done = self._write(df, folder, "errorifexists", partition_by, **{NO_MARKER: "false"})
         if skip_if_empty and not done.rows:
             return Written(self._current(name) or self.path(name), False, 0)
@@ -109,6 +145,9 @@ class Store:
         put_marker(self.spark, f"{folder}/{MARKER}")
         return done
 
+    def _version(self) -> str:
+        return f"{datetime.now(timezone.utc).strftime(VERSION)}-{uuid4().hex[:8]}"
+
     def merge_slots(
         self, name: str, df: DataFrame, keys: Sequence[str], slots: int = 1024,
         on_duplicate: str = "error", newest_by: Sequence[str] = (),
@@ -254,6 +293,57 @@ class Store:
         return self.append(LEDGER, stamped, evolve=True)
 
 
+class Snapshot(Store):
+    """Reads as of its making: groups that are published later are not seen."""
+
+    def __init__(self, store: Store):
+        super().__init__(store.spark, store.root)
+        self._seen = store._pointers()
+        self._upto = f"run={store._version()}"
+
+    def _pointers(self) -> Collection[str]:
+        return self._seen
+
+    def _good(self, name: str, runs: Sequence[str]) -> Iterator[str]:
+        return super()._good(name, [run for run in runs if run < self._upto])
+
+    def _write(self, *args, **options) -> Written:
+        raise TypeError("a snapshot is read only")
+
+
+class Together(Store):
+    """Versions of several tables that come into force at one moment, or not at all.
+
+    Each is written with its success marker and the number of the group in its name. The pointer of the
+    group is one small file, made last, when the block ends without an error; until then readers find
+    the versions before, and afterwards all the new ones. Inside the block the group reads its own
+    versions. What is changed in place (appends, merges) cannot be held back and is refused; a merge
+    with ``full_refresh`` is a new version and goes along.
+    """
+
+    def __init__(self, store: Store):
+        super().__init__(store.spark, store.root)
+        self.number = uuid4().hex[:12]
+
+    def __enter__(self) -> Together:
+        return self
+
+    def __exit__(self, kind, problem, trace) -> None:
+        if kind is None:
+            put_marker(self.spark, f"{self.root}/{GROUPS}/{self.number}")
+
+    def _pointers(self) -> Collection[str]:
+        return {*super()._pointers(), self.number}
+
+    def _version(self) -> str:
+        return f"{super()._version()}{GROUP}{self.number}"
+
+    def _write(self, df: DataFrame, folder: str, mode: str, *args, **options) -> Written:
+        if mode != "errorifexists":
+            raise TypeError("tables that are changed in place cannot be published together")
+        return super()._write(df, folder, mode, *args, **options)
+
+
 def _kinds(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 

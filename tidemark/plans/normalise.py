@@ -98,7 +98,8 @@ def normalise_contracts(
     as_of: Column | None = None, choose: str = "latest_batch", load_ts: Column | None = None,
     on_reject: str = "keep", strict: bool = False, **how,
 ) -> dict[str, Written]:
-    """All contract tables from one parse of the pages. What does not parse goes to ``REJECTED``."""
+    """All contract tables from one parse of the pages, published together. What does not parse goes to
+    ``REJECTED``."""
     pages = pages_to_do(store, table, choose)
     if pages is None:
         return {}
@@ -109,31 +110,32 @@ def normalise_contracts(
     records = rejects.accepted(checked)
     rate_rows = contracts.rates(records, load_ts)
     extension_rows = contracts.extensions(records, load_ts)
-    done = {
-        "charterparties_rates": store.replace("charterparties_rates", rate_rows),
-        "charterparties_extension": store.replace("charterparties_extension", extension_rows),
-    }
-    for name, make in {
-        "charterparties_lump_sums": contracts.lump_sums,
-        "charterparties_atcost": contracts.at_cost,
-        "charterparty_brokerageCommission": contracts.brokerage_commission,
-        "charterparty_deliveryNotices": contracts.delivery_notices,
-        "charterparty_premiums": contracts.premiums,
-        "charterparty_redeliveryNotices": contracts.redelivery_notices,
-    }.items():
-        done[name] = store.replace(name, make(records, load_ts), skip_if_empty=name in GUARDED)
-    combined = contracts.charterparties(
-        records, rate_rows, documents, vessel_dim, now, load_ts, **how
-    )
-    option_rows = contracts.options(records, rate_rows, now, load_ts, **how)
-    done["charterparties"] = store.replace("charterparties", combined)
-    done["charterparties_option"] = store.replace("charterparties_option", option_rows, "charterparties_option" in GUARDED)
-    combined = store.read("charterparties")
-    if store.exists("charterparties_option"):
-        option_rows = store.read("charterparties_option")
-    done["charterparties_all"] = store.replace(
-        "charterparties_all", contracts.contracts_all(combined, option_rows, vessel_dim)
-    )
+    with store.together() as group:
+        done = {
+            "charterparties_rates": group.replace("charterparties_rates", rate_rows),
+            "charterparties_extension": group.replace("charterparties_extension", extension_rows),
+        }
+        for name, make in {
+            "charterparties_lump_sums": contracts.lump_sums,
+            "charterparties_atcost": contracts.at_cost,
+            "charterparty_brokerageCommission": contracts.brokerage_commission,
+            "charterparty_deliveryNotices": contracts.delivery_notices,
+            "charterparty_premiums": contracts.premiums,
+            "charterparty_redeliveryNotices": contracts.redelivery_notices,
+        }.items():
+            done[name] = group.replace(name, make(records, load_ts), skip_if_empty=name in GUARDED)
+        combined = contracts.charterparties(
+            records, rate_rows, documents, vessel_dim, now, load_ts, **how
+        )
+        option_rows = contracts.options(records, rate_rows, now, load_ts, **how)
+        done["charterparties"] = group.replace("charterparties", combined)
+        done["charterparties_option"] = group.replace("charterparties_option", option_rows, "charterparties_option" in GUARDED)
+        combined = group.read("charterparties")
+        if group.exists("charterparties_option"):
+            option_rows = group.read("charterparties_option")
+        done["charterparties_all"] = group.replace(
+            "charterparties_all", contracts.contracts_all(combined, option_rows, vessel_dim)
+        )
     _finish(store, table, marks, lost)
     return done if lost is None else {**done, REJECTED: lost}
 
@@ -154,7 +156,8 @@ def normalise_offhires(
         "offhire_lumpSums": offhires.lump_sums, "offhire_rates": offhires.rates,
         "offhire_bunker": offhires.bunker,
     }
-    done = {n: store.replace(n, make(records, load_ts), n in GUARDED) for n, make in makers.items()}
+    with store.together() as group:
+        done = {n: group.replace(n, make(records, load_ts), n in GUARDED) for n, make in makers.items()}
     _finish(store, table, marks, lost)
     return done if lost is None else {**done, REJECTED: lost}
 
