@@ -101,7 +101,7 @@ def send(request: dict, transport: Transport, policy: RetryPolicy) -> Iterator[d
         policy.sleep(policy.base**tries)
 
 
-def _crash(request: dict, problem: Exception) -> dict:
+def crash_row(request: dict, problem: Exception) -> dict:
     """A row for a request lost to an unexpected error, so that audit and gate still see it."""
     return {
         **{c: request.get(c) for c in COLUMNS},
@@ -110,7 +110,7 @@ def _crash(request: dict, problem: Exception) -> dict:
     }
 
 
-def _batches(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
+def record_batches(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
     """Attempts in small record batches: the task holds few pages at a time, however many it sends."""
     held, chars = [], 0
     for row in rows:
@@ -133,9 +133,9 @@ def _on_executors(requests: DataFrame, work: Callable[[dict], Iterator[dict]], i
                     try:
                         yield from work(request)
                     except Exception as problem:
-                        yield _crash(request, problem)
+                        yield crash_row(request, problem)
 
-        yield from _batches(rows())
+        yield from record_batches(rows())
 
     return requests.repartition(in_flight).mapInArrow(run, FETCHED)
 
@@ -154,26 +154,30 @@ def fetch_first_pages(
 ) -> DataFrame:
     """Page 1 of each source, asked again while it answers with the error-in-disguise page."""
 
-    def work(request: dict) -> Iterator[dict]:
-        sent = 0  # attempts are numbered on over all turns of a request
-        for turn in range(1, policy.max_tries + 1):
-            last = None
-            for attempt in send(request, transport, policy):
-                if last:
-                    yield last
-                sent += 1
-                last = {**attempt, "attempt_number": sent}
-            if last["status"] != "SUCCESS" or not _is_sentinel(last["response_body"], total_key, short):
-                yield last
-                return
-            more = turn < policy.max_tries
-            yield {
-                **last, "status": policy.label(turn), "error_message": f"{total_key} is -1 in a short body",
-            }
-            if more:
-                policy.sleep(policy.base**turn)
+    return _on_executors(requests, lambda r: first_page(r, transport, policy, total_key, short), in_flight)
+
 
-    return _on_executors(requests, work, in_flight)
+def first_page(
+    request: dict, transport: Transport, policy: RetryPolicy, total_key: str = "totalCount", short: int = 200,
+) -> Iterator[dict]:
+    """All attempts at a page 1 that may be an error in disguise."""
+    sent = 0  # attempts are numbered on over all turns of a request
+    for turn in range(1, policy.max_tries + 1):
+        last = None
+        for attempt in send(request, transport, policy):
+            if last:
+                yield last
+            sent += 1
+            last = {**attempt, "attempt_number": sent}
+        if last["status"] != "SUCCESS" or not _is_sentinel(last["response_body"], total_key, short):
+            yield last
+            return
+        more = turn < policy.max_tries
+        yield {
+            **last, "status": policy.label(turn), "error_message": f"{total_key} is -1 in a short body",
+        }
+        if more:
+            policy.sleep(policy.base**turn)
 
 
 def _is_sentinel(body: str | None, total_key: str, short: int) -> bool:
@@ -214,23 +218,25 @@ def follow_cursor(
     carry their own parameters.
     """
 
-    def work(seed: dict) -> Iterator[dict]:
-        request, page, seen = dict(seed), 1, set()
-        while request["api_url"]:
-            request["page_no"] = page
-            if request["api_url"] in seen:
-                yield _crash(request, ValueError("the chain of links comes back to a page it has had"))
-                return
-            seen.add(request["api_url"])
-            last = None
-            for last in send(request, transport, policy):
-                yield last
-            if last["status"] != "SUCCESS":
-                return
-            link = next_link(last["response_body"], next_paths)
-            request, page = {**request, "api_url": link, "request_body": None}, page + 1
+    return _on_executors(seeds, lambda s: chain(s, transport, policy, next_paths), in_flight)
+
 
-    return _on_executors(seeds, work, in_flight)
+def chain(seed: dict, transport: Transport, policy: RetryPolicy, next_paths: Sequence[str]) -> Iterator[dict]:
+    """All attempts at the pages of one chain, in order."""
+    request, page, seen = dict(seed), 1, set()
+    while request["api_url"]:
+        request["page_no"] = page
+        if request["api_url"] in seen:
+            yield crash_row(request, ValueError("the chain of links comes back to a page it has had"))
+            return
+        seen.add(request["api_url"])
+        last = None
+        for last in send(request, transport, policy):
+            yield last
+        if last["status"] != "SUCCESS":
+            return
+        link = next_link(last["response_body"], next_paths)
+        request, page = {**request, "api_url": link, "request_body": None}, page + 1
 
 
 def plan_pages(
