@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.checks.flow import UPSERT_SQL, _changes, _store, attempts
 from tidemark.checks.registry import Tables, pages, query
 from tidemark.operators import batches, rejects
+from tidemark.operators.catalog import Catalog, Layout
 from tidemark.operators.select import BATCH
 from tidemark.operators.sinks import LEDGER
 from tidemark.plans import contracts, normalise
@@ -160,3 +163,43 @@ def source_marks(t: Tables) -> DataFrame:
     """Events as attempts of seven batches: each user's newest mark from a batch without a failed request."""
     tries = attempts(t).withColumn(BATCH, (F.col("attempt_number") % 7).cast("string"))
     return incremental.latest_marks(incremental.batch_marks(tries))
+
+
+# -- tables by name --------------------------------------------------------------------------------
+
+
+def _catalog(t: Tables) -> Catalog:
+    return Catalog(t.spark, f"tidemark_{uuid4().hex}")
+
+
+@query(
+    "catalog_partitions",
+    """SELECT o_orderkey, o_orderstatus, CASE o_orderstatus WHEN 'F' THEN NULL ELSE o_totalprice END AS o_totalprice,
+         CASE o_orderstatus WHEN 'F' THEN o_orderpriority END AS o_orderpriority
+       FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0""",
+)
+def catalog_partitions(t: Tables) -> DataFrame:
+    """Orders by status, saved by name; then one status comes again, half as many and with other columns."""
+    catalog, layout = _catalog(t), Layout(partition_by=["o_orderstatus"])
+    catalog.append("orders", t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus").where("o_orderkey % 3 = 0"), layout)
+    catalog.append("orders", t.orders.select("o_orderstatus", "o_totalprice", "o_orderkey").where("o_orderkey % 3 <> 0"))
+    again = t.orders.where("o_orderstatus = 'F' AND o_orderkey % 2 = 0").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    catalog.replace_partitions("orders", again, layout, evolve=True)
+    return catalog.read("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+@query(
+    "catalog_bucketed_join",
+    """SELECT o_orderkey, count(l_orderkey) AS line_count, sum(l_quantity) AS quantity FROM orders
+       LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
+)
+def catalog_bucketed_join(t: Tables) -> DataFrame:
+    """Orders and lines, published by name in buckets of the order: joined and grouped without a shuffle."""
+    catalog, buckets = _catalog(t), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    layout = Layout(bucket_by=["o_orderkey"], buckets=buckets)
+    catalog.replace("orders", t.orders.select("o_orderkey", "o_totalprice"), layout)
+    catalog.replace("orders", catalog.read("orders").drop("o_totalprice"), layout)
+    catalog.replace("lines", t.lineitem.select("l_orderkey", "l_quantity"), Layout(bucket_by=["l_orderkey"], buckets=buckets))
+    orders, lines = catalog.read("orders"), catalog.read("lines").hint("merge")
+    joined = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return joined.groupBy("o_orderkey").agg(F.count("l_orderkey").alias("line_count"), F.sum("l_quantity").alias("quantity"))
