@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.checks.flow import UPSERT_SQL, _changes, _store, attempts
 from tidemark.checks.registry import Tables, pages, query
-from tidemark.operators import batches, rejects
+from tidemark.operators import batches, reconcile, rejects
 from tidemark.operators.catalog import Catalog, Layout
 from tidemark.operators.select import BATCH
 from tidemark.operators.sinks import LEDGER
+from tidemark.operators.staging import staged
 from tidemark.plans import contracts, normalise
 from tidemark.sources import incremental
 
@@ -203,3 +204,46 @@ def catalog_bucketed_join(t: Tables) -> DataFrame:
     orders, lines = catalog.read("orders"), catalog.read("lines").hint("merge")
     joined = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return joined.groupBy("o_orderkey").agg(F.count("l_orderkey").alias("line_count"), F.sum("l_quantity").alias("quantity"))
+
+
+# -- counts ----------------------------------------------------------------------------------------
+
+
+@query(
+    "batch_reconciliation",
+    """WITH p AS (SELECT c_nationkey AS n, c_custkey % 10 AS page, count(*) AS size FROM customer GROUP BY ALL),
+         b AS (SELECT n, CAST(sum(size) FILTER (page <> 3) AS BIGINT) AS landed, count(*) FILTER (page <> 3) AS pages,
+           CAST(sum(size) AS BIGINT) AS total, bool_or(page = 1) AS told, CAST(sum(CASE WHEN page = 7 AND n % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS odd
+           FROM p WHERE n % 3 <> 0 OR page <> 3 GROUP BY n)
+       SELECT 'n' || n AS batch, CASE WHEN told THEN total END AS announced, coalesce(landed, 0) + odd AS landed, pages, coalesce(landed, 0) AS parsed, odd AS rejected,
+         coalesce(landed, 0) AS published,
+         CASE WHEN told AND coalesce(landed, 0) + odd < total THEN 'pages lost' WHEN odd > 0 THEN 'rejects' ELSE 'whole' END AS verdict
+       FROM b WHERE pages > 0""",
+)
+def batch_reconciliation(t: Tables) -> DataFrame:
+    """A batch of up to ten pages per nation; in two of three page 3 is lost, every second one has a record
+    that is none. What was announced, landed, parsed, rejected and published, by batch."""
+    store, page = _store(t), F.col("c_custkey") % 10
+    key = F.col("c_nationkey")
+    # A page of each nation and last digit: its customers, one JSON text each.
+    sizes = t.customer.where((key % 3 != 0) | (page != 3)).groupBy(key.alias("n")).agg(F.count("*").alias("total"))
+    record = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("offhire_uuid")))
+    rows = t.customer.where(page != 3).groupBy(key.alias("n"), page.alias("page")).agg(F.concat_ws(",", F.collect_list(record)).alias("held"))
+    odd = F.when((F.col("page") == 7) & (F.col("n") % 2 == 0), ",5").otherwise("")
+    body = F.concat(F.lit('{"totalCount":'), "total", F.lit(',"results":['), "held", odd, F.lit("]}"))
+    landed = rows.join(sizes, "n").select(
+        body.alias("Raw_data"), F.to_json(F.struct(F.col("page").alias("page_no"))).alias("Api_metadata"),
+        F.lit(False).alias("_is_normalized"), F.concat(F.lit("n"), "n").alias(BATCH),
+        F.lit("2024-01-31 00:00:00").cast("timestamp").alias("_ingestion_ts"),
+    )
+    store.append("pages", landed, partition_by=[BATCH])
+    metrics = reconcile.page_metrics("$.results")
+    told = store.read("pages").groupBy(BATCH).agg(*[c.alias(n) for n, c in metrics.items()])
+    counts = told.unpivot([BATCH], list(metrics), "stage", "counted").withColumn("part", F.lit(""))
+    reconcile.record_all(store, "pages", counts)
+    reconcile.record_all(store, "pages", counts)  # what is written down twice counts once
+    checked = staged(rejects.checked_records(store.read("pages"), "offhire_uuid string", "results"))
+    silver = rejects.accepted(checked).select(BATCH, "c.offhire_uuid")
+    store.replace("silver", silver)
+    reconcile.record_all(store, "pages", reconcile.normalised(checked, {"silver": store.read("silver")}))
+    return reconcile.reconcile(store, "pages").withColumnRenamed(BATCH, "batch")

@@ -7,9 +7,9 @@ batch is listed or scanned, however long the history is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +31,16 @@ def summary(pages: DataFrame) -> DataFrame:
     return pages.groupBy(BATCH).agg(F.max(F.when(waits, F.col(STAMP))).alias("landed_at"), F.count_if(waits).alias("pages"))
 
 
-def land(store: Store, table: str, pages: DataFrame, batch: str, evolve: bool = True) -> Written:
-    """Append the pages of one batch and enter it. What the entry says comes with the write itself."""
+def land(
+    store: Store, table: str, pages: DataFrame, batch: str, evolve: bool = True,
+    watch: Mapping[str, Column] | None = None,
+) -> Written:
+    """Append the pages of one batch and enter it. What the entry says comes with the write itself, and so
+    does what ``watch`` asks for."""
     waits = ~F.col(FLAG)
-    watch = {"landed_at": F.max(F.when(waits, F.col(STAMP))), "pages": F.count_if(waits)}
+    watch = {**(watch or {}), "landed_at": F.max(F.when(waits, F.col(STAMP))), "waiting": F.count_if(waits)}
     done = store.append(table, pages, partition_by=[BATCH], evolve=evolve, watch=watch)
-    enter(store, table, store.spark.createDataFrame([(batch, done.seen["landed_at"], done.seen["pages"])], COLUMNS))
+    enter(store, table, store.spark.createDataFrame([(batch, done.seen["landed_at"], done.seen["waiting"])], COLUMNS))
     return done
 
 

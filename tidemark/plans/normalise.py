@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import batches, rejects
+from tidemark.operators import batches, reconcile, rejects
 from tidemark.operators.select import (
     BATCH, STAMP, all_pending, exclude, is_empty, latest_batch, pending,
 )
@@ -83,8 +83,10 @@ def keep_rejects(store: Store, table: str, found: DataFrame, on_reject: str) ->
     return done
 
 
-def _finish(store: Store, table: str, marks: DataFrame, lost: Written | None) -> None:
-    """Mark the batches. One of which something was rejected is ``partial``: done, but not in silence."""
+def _finish(store: Store, table: str, marks: DataFrame, lost: Written | None, counts: DataFrame) -> None:
+    """Write down what was counted and mark the batches. One of which something was rejected is ``partial``:
+    done, but not in silence."""
+    reconcile.record_all(store, table, counts)
     state = F.col("state")
     if lost:
         bad = store.read(REJECTED).where(F.col("table") == table).select(F.col(BATCH).cast("string").alias(BATCH)).distinct()
@@ -136,10 +138,15 @@ def normalise_contracts(
         done["charterparties_all"] = group.replace(
             "charterparties_all", contracts.contracts_all(combined, option_rows, vessel_dim)
         )
-    _finish(store, table, marks, lost)
+    _finish(store, table, marks, lost, _counted(store, checked, done, "charterparties", "charterparties_option"))
     return done if lost is None else {**done, REJECTED: lost}
 
 
+def _counted(store: Store, checked: DataFrame, done: Mapping[str, Written], *names: str) -> DataFrame:
+    """Counts of the batches; together the tables named hold one row for each record."""
+    return reconcile.normalised(checked, {n: store.read(n) if done[n].wrote else None for n in names})
+
+
 def normalise_offhires(
     store: Store, table: str, choose: str = "latest_batch", load_ts: Column | None = None,
     on_reject: str = "keep", strict: bool = False,
@@ -158,7 +165,7 @@ def normalise_offhires(
     }
     with store.together() as group:
         done = {n: group.replace(n, make(records, load_ts), n in GUARDED) for n, make in makers.items()}
-    _finish(store, table, marks, lost)
+    _finish(store, table, marks, lost, _counted(store, checked, done, "offhires"))
     return done if lost is None else {**done, REJECTED: lost}
 
 
@@ -173,10 +180,11 @@ def _one(
         return {}
     marks = _marks(store, table, pages, choose)
     lost = keep_rejects(store, table, staged(rejects.rejected_pages(pages, path)), on_reject)
+    counts = reconcile.listed(pages, path)
     if lost:
         pages = rejects.sound_pages(pages, path)
     done = {name: store.publish(name, make(pages), skip_if_empty=name in GUARDED, **how)}
-    _finish(store, table, marks, lost)
+    _finish(store, table, marks, lost, counts)
     return done if lost is None else {**done, REJECTED: lost}
 
 

@@ -10,7 +10,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import batches
+from tidemark.operators import batches, reconcile
 from tidemark.operators.audit import attempts_to_audit, raise_on_failed, to_bronze
 from tidemark.operators.select import BATCH
 from tidemark.operators.sinks import Store
@@ -41,11 +41,12 @@ def flush(
     store: Store, attempts: DataFrame, batch_id: str, bronze: Mapping[str, str],
     records_path: str | None = None, keep_failures: bool = False, key: str | None = None,
     context: str | None = None, body_chars: int | None = None, tolerate: int = 0,
-    ingestion_ts: Column | None = None, gate: bool = True,
+    ingestion_ts: Column | None = None, gate: bool = True, total_path: str = "$.totalCount",
 ) -> dict[str, int]:
     """Audit first, then bronze, then the failure gate; one write per table.
 
-    ``bronze`` maps each source to its bronze table. Returns rows written per table.
+    ``bronze`` maps each source to its bronze table. What the service announced and what landed is
+    counted by the write (``reconcile``). Returns rows written per table.
     """
     audit = attempts_to_audit(attempts, batch_id, F.col("source"), context, body_chars)
     rows = {AUDIT_TABLE: store.append(AUDIT_TABLE, audit, evolve=True).rows}
@@ -53,7 +54,9 @@ def flush(
     for source, table in bronze.items():
         one = attempts.where(belongs_to(source))
         pages = to_bronze(one, batch_id, now, keep_failures, records_path, key)
-        rows[table] = batches.land(store, table, pages, batch_id).rows
+        done = batches.land(store, table, pages, batch_id, watch=reconcile.page_metrics(records_path, total_path))
+        reconcile.record(store, table, batch_id, {s: done.seen[s] for s in reconcile.ON_LANDING}, source)
+        rows[table] = rows.get(table, 0) + done.rows
     if gate:
         def listed(failed: DataFrame) -> str:
             return store.append(FAILED_TABLE, failed.withColumn(BATCH, F.lit(batch_id)), evolve=True).path
@@ -111,7 +114,7 @@ def ingest_paged(
     ).select(*seeds.columns)
     land(store, fetch_pages(planned, transport, policy, in_flight), batch_id, "rest")
     attempts = landed(store, batch_id)
-    return flush(store, attempts, batch_id, bronze, records_path=records_path, **how)
+    return flush(store, attempts, batch_id, bronze, records_path=records_path, total_path=total_path, **how)
 
 
 def ingest_keys(
