@@ -173,6 +173,36 @@ def test_links_match_brute_force(spark, monkeypatch):
     assert all(got[i].kept == (got[i].component_id == i) for i in got)
 
 
+def test_leaves_stay_small_beyond_the_sample(spark, monkeypatch):
+    """Eleven levels of splits, of which the sample of all vectors can fit five."""
+    monkeypatch.setattr(vectors, "LEAF", 4)
+    monkeypatch.setattr(vectors, "FITTED", 4)
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(4_000, 16))
+    # Close pairs, and one tight cluster that no split can part.
+    rows = np.concatenate((base, base[:3_000] + 0.1 * rng.normal(size=(3_000, 16)), base[9] + 0.001 * rng.normal(size=(300, 16))))
+    data = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    sizes, grown = [], vectors.deepened
+
+    def watched(placed, *rest):
+        out = grown(placed, *rest)
+        for df in (placed, out):
+            each = df.select("node", F.explode("leaves").alias("leaf"))
+            sizes.append([r[0] for r in each.groupBy("leaf").agg(F.count("*")).select("count(1)").collect()])
+        return out
+
+    monkeypatch.setattr(vectors, "deepened", watched)
+    n, label = plain_links(rows / np.linalg.norm(rows, axis=1, keepdims=True))
+    got = {r.vec_id: r for r in vectors.near_duplicates(data, sample=150).collect()}
+    assert len(got) == len(rows)
+    assert 0.95 * n.sum() <= sum(r.n_links for r in got.values()) <= n.sum() and all(got[i].n_links <= n[i] for i in got)
+    assert np.mean([got[i].component_id == label[i] for i in got]) > 0.95
+    before, after = sizes
+    assert np.median(before) > 100 and np.median(after) <= 16
+    assert sum(after) < 4 * sum(before)  # spilling does not multiply the cluster
+    assert sum(x * x for x in after) < sum(x * x for x in before) / 2
+
+
 def test_pairs_count_once_in_the_first_shared_leaf():
     import pandas as pd
 
@@ -196,7 +226,7 @@ def test_vector_edges(spark):
 
 def test_every_operator_is_registered():
     names = driver.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
 
 
 def test_documents_stay_if_no_language_is_learnt(spark, make):

@@ -17,6 +17,8 @@ from tidemark.llm.components import components
 
 #: Vectors a leaf should hold, vectors compared with each other in one task at most, rows of one product.
 LEAF, BLOCK, ROWS = 256, 2_048, 512
+#: Vectors from which a split is fitted at least, and levels by which leaves that are still large deepen at once.
+FITTED, STEP = 16, 6
 
 
 @dataclass
@@ -46,8 +48,8 @@ class Forest:
 
 def grow(sample: np.ndarray, total: int, trees: int, spill: float, leaf: int = LEAF, seed: int = 0) -> Forest:
     """Splits at medians of a sample of unit vectors, as deep as ``total`` rows need for leaves of
-    about ``leaf`` rows and as the sample can tell medians (16 vectors)."""
-    depth = max(0, min(ceil(log2(max(total / leaf, 1))), int(log2(max(len(sample) / 16, 1)))))
+    about ``leaf`` rows and as the sample can tell medians (``FITTED`` vectors); ``deepened`` goes on."""
+    depth = max(0, min(ceil(log2(max(total / leaf, 1))), int(log2(max(len(sample) / FITTED, 1)))))
     random = np.random.default_rng(seed)
     width = sample.shape[1] if sample.size else 1
     directions = random.normal(size=(trees, (1 << depth) - 1, width))
@@ -64,6 +66,31 @@ def grow(sample: np.ndarray, total: int, trees: int, spill: float, leaf: int = L
     return Forest(directions, thresholds, spill, depth)
 
 
+def fit_cuts(units: np.ndarray, directions: np.ndarray, levels: int, spill: float, fewest: int) -> np.ndarray:
+    """Thresholds of a subtree of ``levels`` splits, infinite where a node stays whole: it has fewer
+    than ``fewest`` vectors, or most of them lie so close to the median that they would go down both sides."""
+    cuts, node = np.full((1 << levels) - 1, np.inf), np.zeros(len(units), np.int64)
+    for level in range(levels):
+        side = units @ directions[level]
+        for n in range((1 << level) - 1, (2 << level) - 1):
+            own = side[node == n]
+            if len(own) >= fewest and np.mean(np.abs(own - np.median(own)) <= spill) <= 0.5:
+                cuts[n] = np.median(own)
+        node = 2 * node + 1 + (side > cuts[node])
+    return cuts
+
+
+def sub_leaves(units: np.ndarray, directions: np.ndarray, cuts: np.ndarray, spill: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, subleaf) pairs; ``directions`` per row and level, ``cuts`` per row, infinite where a node is whole."""
+    sides = np.einsum("ij,ilj->il", units, directions)
+    row, node = np.arange(len(units)), np.zeros(len(units), np.int64)
+    for level in range(STEP):
+        side = sides[row, level] - cuts[row, node]
+        left, right = side <= spill, side >= -spill
+        row, node = np.concatenate((row[left], row[right])), np.concatenate((2 * node[left] + 1, 2 * node[right] + 2))
+    return row, node - ((1 << STEP) - 1)
+
+
 def units_of(vectors: pa.Array) -> np.ndarray:
     """Unit vectors in double precision of a list array whose lists have one length."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
@@ -131,7 +158,8 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     Vectors link where they share a leaf of the forest and their cosine in double precision is at least
     ``least``; each tree halves by random projections and sends vectors within ``spill`` of a threshold
     down both sides, so a close pair is missed only if every tree parts it (tests measure recall). The
-    splits are fitted on at most about ``sample`` vectors; every vector is indexed. Equal vectors are
+    first splits are fitted on at most about ``sample`` vectors, deeper ones on samples of their leaves;
+    every vector is indexed. Equal vectors are
     folded to one before. A leaf that stays large is compared in blocks, none of it left out, and
     nothing but counts and a spanning edge per vector leaves a task. Null and zero vectors and vectors
     with null or non-finite components link with nothing; vectors link only with those of their own
@@ -142,11 +170,12 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     good = F.coalesce((F.size(value) > 0) & F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(value, lambda x: x != 0), F.lit(False))
     marked = rows.select(F.col(vec_id).cast("long").alias("vec_id"), value.alias("v"), good.alias("good"))
     classes = marked.where("good").groupBy("v").agg(F.count("*").alias("times"), F.min("vec_id").alias("least"))
-    classes = staged(classes.select(F.xxhash64("v").alias("node"), "v", "times", "least", F.size("v").alias("width")))
+    numbered = F.monotonically_increasing_id()  # kept by the write; no two vectors share one, as hashes might
+    classes = staged(classes.select(numbered.alias("node"), F.xxhash64("v").alias("mark"), "v", "times", "least", F.size("v").alias("width")))
     widths = [(r["width"], r["n"]) for r in classes.groupBy("width").agg(F.count("*").alias("n")).collect()]
     links = []
     for width, total in widths:
-        own = classes.where(F.col("width") == width).select("node", "v", "times")
+        own = classes.where(F.col("width") == width).select("node", "mark", "v", "times")
         links.append(_links(own, total, least, trees, spill, sample, seed))
     found = None
     for part in links:
@@ -167,9 +196,64 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     return both.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def deepened(placed: DataFrame, classes: DataFrame, forest: Forest, total: int, width: int, seed: int) -> DataFrame:
+    """``placed`` (node, leaves) with leaves of about ``LEAF`` vectors however many vectors there are.
+
+    The splits of ``grow`` come from one bounded sample; where the table needs deeper trees, leaves that
+    are still large get subtrees of ``STEP`` levels, pass after pass. Each is fitted in a task of its own on
+    a sample of its leaf, some ``FITTED`` vectors for each split of the last level, so no model of all leaves
+    exists anywhere. Splits of a level share a direction per tree, which every task draws again.
+    """
+    missing, bits = ceil(log2(max(total / LEAF, 1))) - forest.depth, forest.depth
+    for number in range(ceil(max(missing, 0) / STEP)):
+        each = placed.select("node", F.explode("leaves").alias("leaf"))
+        large = staged(each.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > 2 * LEAF))
+        if large.isEmpty():
+            break
+        directions = np.random.default_rng((seed, number + 1)).normal(size=(len(forest.thresholds), STEP, width))
+        directions /= np.linalg.norm(directions, axis=2, keepdims=True)
+        placed = staged(_deeper(each, large, classes, directions, bits, forest.spill, seed + number))
+        bits += STEP
+    return placed
+
+
+def _deeper(each: DataFrame, large: DataFrame, classes: DataFrame, directions: np.ndarray, bits: int, spill: float, seed: int) -> DataFrame:
+    """One pass of ``deepened``: a leaf's subleaves are numbered from leaf x 2^STEP."""
+
+    def levels(n: float) -> int:
+        return min(STEP, max(1, ceil(log2(n / LEAF))))
+
+    def fit(batch: pa.Table) -> pa.Table:
+        leaf, n = batch["leaf"][0].as_py(), batch["n"][0].as_py()
+        units = units_of(batch["v"].combine_chunks())
+        cuts = np.full((1 << STEP) - 1, np.inf)
+        own = fit_cuts(units[np.lexsort(units.T[:4])], directions[leaf >> bits], levels(n), spill, FITTED)
+        cuts[: len(own)] = own
+        return pa.table({"leaf": pa.array([leaf], pa.int64()), "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64()))})
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):
+                b = whole.slice(at, 2_000)
+                leaf, node = b.column("leaf").to_numpy(), b.column("node").to_numpy()
+                cuts = b.column("cuts").flatten().to_numpy().reshape(b.num_rows, -1)
+                row, sub = sub_leaves(units_of(b.column("v")), directions[leaf >> bits], cuts, spill)
+                yield pa.RecordBatch.from_arrays([pa.array(node[row]), pa.array((leaf[row] << STEP) + sub)], ["node", "leaf"])
+
+    rows = each.join(large, "leaf").join(classes.select("node", "mark", "v"), "node")
+    share = F.lit(1.0 * FITTED * (1 << STEP)) / F.col("n")
+    some = rows.where(F.pmod(F.xxhash64(F.lit(seed), "mark"), F.lit(1_000_003)) < F.lit(1_000_003) * share)
+    models = some.select("leaf", "n", "v").groupBy("leaf").applyInArrow(fit, "leaf bigint, cuts array<double>")
+    none = F.array_repeat(F.lit(float("inf")), (1 << STEP) - 1)
+    asked = rows.join(models, "leaf", "left").select("node", "leaf", "v", F.coalesce("cuts", none).alias("cuts"))
+    fresh = asked.mapInArrow(descend, "node bigint, leaf bigint")
+    stay = each.join(large, "leaf", "left_anti").select("node", (F.col("leaf") * (1 << STEP)).alias("leaf"))
+    return fresh.unionByName(stay).groupBy("node").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
+
+
 def _links(classes: DataFrame, total: int, least: float, trees: int, spill: float, sample: int, seed: int) -> DataFrame:
     """(node, n, other): linked vectors per node and edges, for vectors of one length."""
-    some = classes.where(F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(1_000_003)) < F.lit(1_000_003.0 * sample / max(total, 1))).select("v")
+    some = classes.where(F.pmod(F.xxhash64(F.lit(seed), "mark"), F.lit(1_000_003)) < F.lit(1_000_003.0 * sample / max(total, 1))).select("v")
     fitted = units_of(some.toArrow()["v"].combine_chunks())
     forest = grow(fitted[np.lexsort(fitted.T[:4])] if len(fitted) else fitted, total, trees, spill, seed=seed)
 
@@ -181,9 +265,10 @@ def _links(classes: DataFrame, total: int, least: float, trees: int, spill: floa
                 order = np.lexsort((leaf, row))
                 row, leaf = row[order], leaf[order]
                 cut = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column("node"), pa.ListArray.from_arrays(cut, pa.array(leaf, pa.int32()))], ["node", "leaves"])
+                yield pa.RecordBatch.from_arrays([b.column("node"), pa.ListArray.from_arrays(cut, pa.array(leaf, pa.int64()))], ["node", "leaves"])
 
-    placed = staged(classes.select("node", "v").mapInArrow(assign, "node bigint, leaves array<int>"))
+    placed = staged(classes.select("node", "v").mapInArrow(assign, "node bigint, leaves array<bigint>"))
+    placed = deepened(placed, classes, forest, total, fitted.shape[1], seed)
     sizes = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")
     spread = placed.select("node", "leaves", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
     # A leaf of n vectors is cut into parts of BLOCK; every pair of parts is one group of work.
@@ -191,7 +276,7 @@ def _links(classes: DataFrame, total: int, least: float, trees: int, spill: floa
     own = F.pmod(F.xxhash64(F.lit(seed + 1), "node"), parts)
     work = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda o: F.struct(F.least(own, o).alias("p"), F.greatest(own, o).alias("q")))
     dealt = spread.select("node", "leaves", "leaf", own.alias("part"), F.explode(work).alias("w"))
-    rows = dealt.join(classes, "node").select("node", "leaves", "leaf", "part", "w.p", "w.q", "times", F.col("v").cast("array<double>").alias("v"))
+    rows = dealt.join(classes.drop("mark"), "node").select("node", "leaves", "leaf", "part", "w.p", "w.q", "times", F.col("v").cast("array<double>").alias("v"))
 
     def compare(key: tuple, batch: pa.Table) -> pa.Table:
         leaf, p, q = (x.as_py() for x in key)
