@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -237,19 +238,111 @@ def test_language_edges(make, spark):
 # -- quality -------------------------------------------------------------------------------------
 
 
-def test_gradient_matches_differences():
-    rng = np.random.default_rng(1)
-    x, row, y = rng.normal(size=(30, 5)), np.sort(rng.integers(0, 6, 30)), rng.integers(0, 2, 6).astype(float)
-    row = np.searchsorted(np.unique(row), row)
-    y = y[: row.max() + 1]
+def plain_forward(model, bags):
+    """Gated attention written out, passage by passage."""
+    w, out = model.weights, []
+    for bag in bags:
+        hidden, energy = [], []
+        for passage in bag:
+            x = [min(8.0, max(-8.0, (v - m) / s)) for v, m, s in zip(passage, model.mean, model.scale)]
+            h = [math.tanh(sum(x[i] * w["enc"][i, j] for i in range(len(x))) + w["enc0"][j]) for j in range(quality.HIDDEN)]
+            gate = 0.0
+            for k in range(quality.GATES):
+                v = math.tanh(sum(h[j] * w["v"][j, k] for j in range(quality.HIDDEN)))
+                u = 1 / (1 + math.exp(-sum(h[j] * w["u"][j, k] for j in range(quality.HIDDEN))))
+                gate += w["a"][k] * v * u
+            hidden.append(h)
+            energy.append(gate)
+        total = sum(math.exp(e) for e in energy)
+        z = [sum(math.exp(e) / total * h[j] for e, h in zip(energy, hidden)) for j in range(quality.HIDDEN)]
+        out.append(1 / (1 + math.exp(-sum(z[j] * w["out"][j] for j in range(quality.HIDDEN)) - w["out0"])))
+    return out
+
+
+def some_bags(seed=1, docs=6, width=5):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, 6, docs)
+    return rng.normal(size=(sizes.sum(), width)) * 3, np.repeat(np.arange(docs), sizes), rng.integers(0, 2, docs).astype(float)
+
+
+def test_forward_matches_plain_loops():
+    x, row, y = some_bags()
+    model = quality.train(x, row, y, epochs=5)
+    want = plain_forward(model, [x[row == d] for d in range(len(y))])
+    assert np.allclose(model.forward(x, row, len(y)), want, atol=1e-12)
+    bare = model.forward(x[:0], row[:0], 1)  # no passage: the bias alone
+    assert np.isclose(bare[0], 1 / (1 + math.exp(-model.weights["out0"])))
+
+
+def test_steps_match_those_by_differences():
+    """Three steps of Adam, each gradient taken by differences of the loss, weight by weight."""
+    x, row, y = some_bags()
+    model, trained = quality.train(x, row, y, epochs=0), quality.train(x, row, y, epochs=3)
+    model.weights["out"] = np.array(model.weights["out"], float)
+
+    def loss():
+        p = model.forward(x, row, len(y))
+        cost = -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+        return cost + 1e-3 / 2 * sum((v * v).sum() for k, v in model.weights.items() if not k.endswith("0"))
+
+    m = {k: np.zeros_like(v) for k, v in model.weights.items()}
+    s = {k: np.zeros_like(v) for k, v in model.weights.items()}
+    for step in (1, 2, 3):
+        grad = {}
+        for k, v in model.weights.items():
+            grad[k] = np.zeros_like(v)
+            for at in np.ndindex(v.shape):
+                ends = []
+                for move in (1e-5, -1e-5):
+                    kept = v[at]
+                    v[at] = kept + move
+                    ends.append(loss())
+                    v[at] = kept
+                grad[k][at] = (ends[0] - ends[1]) / 2e-5
+        for k, d in grad.items():
+            m[k], s[k] = 0.9 * m[k] + 0.1 * d, 0.999 * s[k] + 0.001 * d * d
+            model.weights[k] = np.asarray(model.weights[k] - 0.01 * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8))
+    for k, v in trained.weights.items():
+        # Where a gradient is next to nothing, so is what differences can tell of its sign.
+        clear = np.abs(grad[k]) > 1e-6
+        assert np.allclose(np.asarray(v)[clear], model.weights[k][clear], atol=2e-4), k
+    assert all((np.abs(g) > 1e-6).mean() > 0.9 for k, g in grad.items())
+
+
+def test_training_lowers_the_loss():
+    x, row, y = some_bags()
+    before, after = (quality.train(x, row, y, epochs=n).forward(x, row, len(y)) for n in (0, 80))
+    cost = lambda p: -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+    assert cost(after) < 0.5 * cost(before)
+
+
+def plain_passages(text):
+    """Shape features of a text's passages, word by word."""
+    words, out = re.findall(r"[^\x20\x09-\x0D]+", text), []
+    for at in range(0, len(words), quality.PASSAGE):
+        part = [w.encode() for w in words[at : at + quality.PASSAGE]]
+        chars, n = sum(map(len, part)), len(part)
+        count = lambda members: [sum(c in members for c in w) for w in part]
+        lower, upper, digit, symbol = (count(m) for m in (quality.LOWER, quality.LOWER.upper(), b"0123456789", quality.SYMBOLS))
+        point, cry = count(b"?.,;:!"), count(b"!")
+        other = [len(w) - a - b - c - d - e for w, a, b, c, d, e in zip(part, lower, upper, digit, symbol, point)]
+        shares = [sum(v) / chars for v in (lower, upper, digit, symbol, point, other, cry)]
+        flags = [[u > lo for u, lo in zip(upper, lower)], [len(w) == 1 for w in part], [len(w) > 16 for w in part],
+                 [k == len(w) for k, w in zip(symbol, part)], [2 * d > len(w) for d, w in zip(digit, part)]]
+        extra = [len(set(part)) / n, sum(a == b for a, b in zip(part, part[1:])) / n, math.log(n)]
+        out.append([sum(math.log1p(len(w)) for w in part) / n, *shares, *[sum(f) / n for f in flags], chars / n, *extra])
+    return out
 
-    def loss(m):
-        p = m.forward(x, row, len(y))
-        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
 
-    before = quality.train(x, row, y, epochs=0)
-    after = quality.train(x, row, y, epochs=80)
-    assert loss(after) < 0.5 * loss(before)
+def test_passages_match_plain_loops():
+    texts = ["", "One TWO 3 #$% a!b, é x x x supercalifragilistic 12a 1a", " ".join(f"w{i % 7} Q!" for i in range(100)), "   ", "?"]
+    x, row = quality.encode(pa.array(texts))
+    shape = np.delete(x, np.s_[quality.SHAPES : quality.SHAPES + quality.HASHED], axis=1)
+    want = [plain_passages(t) for t in texts]
+    assert row.tolist() == [i for i, rows in enumerate(want) for _ in rows]
+    assert np.allclose(shape, np.array([p for rows in want for p in rows]), atol=1e-5)
+    signs = x[:, quality.SHAPES : quality.SHAPES + quality.HASHED]
+    assert np.allclose(np.abs(signs[-1]), 1) and np.abs(signs).max() <= math.sqrt(quality.PASSAGE)
 
 
 def test_held_out_quality_is_told(spark):
