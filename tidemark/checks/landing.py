@@ -7,15 +7,16 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.checks.flow import UPSERT_SQL, _changes, _store, attempts
+from tidemark.checks.flow import LAST_SQL, UPSERT_SQL, _changes, _store, attempts
 from tidemark.checks.registry import Tables, pages, query
-from tidemark.operators import batches, reconcile, rejects
+from tidemark.operators import audit, batches, reconcile, rejects
 from tidemark.operators.catalog import Catalog, Layout
-from tidemark.operators.select import BATCH
+from tidemark.operators.nested import stamp
+from tidemark.operators.select import BATCH, is_empty, slice_by
 from tidemark.operators.sinks import LEDGER
 from tidemark.operators.staging import staged
 from tidemark.plans import contracts, normalise
-from tidemark.sources import incremental
+from tidemark.sources import fetch, incremental, ingest, tables
 
 # -- rejects -------------------------------------------------------------------------------------
 
@@ -247,3 +248,74 @@ def batch_reconciliation(t: Tables) -> DataFrame:
     store.replace("silver", silver)
     reconcile.record_all(store, "pages", reconcile.normalised(checked, {"silver": store.read("silver")}))
     return reconcile.reconcile(store, "pages").withColumnRenamed(BATCH, "batch")
+
+
+# -- guards and gates ------------------------------------------------------------------------------
+
+
+@query("failure_gate", f"SELECT source, page_no, CASE status WHEN 'FAILED' THEN 500 ELSE 200 END AS response_code FROM ({LAST_SQL}) WHERE status <> 'SUCCESS'")
+def failure_gate(t: Tables) -> DataFrame:
+    """The gate stops the run and leaves the list of what failed; it lets a run without failures pass."""
+    store, tries = _store(t), attempts(t)
+    audit.raise_on_failed(tries.where("status = 'SUCCESS'"), report=lambda failed: store.append("wrong", failed).path)
+    try:
+        audit.raise_on_failed(tries, report=lambda failed: store.append("failed", failed).path)
+        found = audit.failed_requests(tries)
+    except RuntimeError:
+        found = store.read("failed")
+    return found.select("source", "page_no", "response_code")
+
+
+@query(
+    "publish_together",
+    """SELECT 'orders' AS name, o_orderkey AS key, o_totalprice + 1 AS amount FROM orders
+       UNION ALL SELECT 'customers', c_custkey, c_acctbal + 1 FROM customer""",
+)
+def publish_together(t: Tables) -> DataFrame:
+    """Two tables of one publication, beside an older one and one that ended between the two."""
+    store = _store(t)
+    orders = t.orders.select(F.lit("orders").alias("name"), F.col("o_orderkey").cast("bigint").alias("key"), F.col("o_totalprice").alias("amount"))
+    customers = t.customer.select(F.lit("customers").alias("name"), F.col("c_custkey").cast("bigint").alias("key"), F.col("c_acctbal").alias("amount"))
+    for more, fails in ((0, False), (1, False), (2, True)):
+        try:
+            with store.together() as group:
+                group.replace("orders", orders.withColumn("amount", F.col("amount") + more))
+                if fails:
+                    raise InterruptedError
+                group.replace("customers", customers.withColumn("amount", F.col("amount") + more))
+        except InterruptedError:
+            pass
+    view = store.snapshot()
+    return view.read("orders").unionByName(view.read("customers"))
+
+
+@query(
+    "guarded_tables",
+    """SELECT 'orders' AS name, o_orderstatus AS status, true AS present, count(*) AS found FROM orders GROUP BY o_orderstatus
+       UNION ALL SELECT 'orders', 'X', true, 0 UNION ALL SELECT 'no_such_table', NULL, false, 0""",
+)
+def guarded_tables(t: Tables) -> DataFrame:
+    """Tables that are there are read, others passed over; a slice without rows is told from one with some."""
+    rows = [("no_such_table", None, False, 0)]
+    home = f"{t.folder}/orders.parquet"
+    present = tables.table_exists(t.spark, home)
+    assert not tables.table_exists(t.spark, f"{t.folder}/no_such_table.parquet")
+    orders = tables.read_table(t.spark, home)
+    if is_empty(slice_by(orders, "o_orderstatus", "X")):
+        rows.append(("orders", "X", present, 0))
+    guarded = tables.rows_to_df(t.spark, rows, "name string, status string, present boolean, found bigint")
+    counts = orders.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("found"))
+    return guarded.unionByName(counts.select(F.lit("orders").alias("name"), "status", F.lit(present).alias("present"), "found"))
+
+
+@query(
+    "endpoint_requests",
+    """SELECT 'nation:' || n_name AS source, 1 AS page_no, 'GET' AS http_method, 'https://x.test/' || n_nationkey AS api_url,
+         CAST(NULL AS VARCHAR) AS input_value, CAST(NULL AS VARCHAR) AS request_body, TIMESTAMP '2024-06-01 00:00:00' AS _ingestion_ts FROM nation""",
+)
+def endpoint_requests(t: Tables) -> DataFrame:
+    """First requests of a catalogue of endpoints, each with a table to land in, stamped with the load time."""
+    catalogue = t.nation.select(F.concat(F.lit("nation:"), "n_name").alias("source"), F.concat(F.lit("https://x.test/"), "n_nationkey").alias("api_url"))
+    seeds = fetch.seed(catalogue, F.col("source"), F.col("api_url"))
+    ingest.require_tables(seeds, {"nation": "bronze_nation"})
+    return stamp(seeds, F.lit("2024-06-01 00:00:00").cast("timestamp"))
