@@ -18,11 +18,13 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import key_or_fallback, page_count
 from tidemark.plans.layers import FETCHED, names
+from tidemark.sources.journal import Journal
 
 COLUMNS = names(FETCHED)
 BATCH_ROWS, BATCH_CHARS = 200, 16_000_000
@@ -110,42 +112,66 @@ def crash_row(request: dict, problem: Exception) -> dict:
     }
 
 
-def record_batches(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
-    """Attempts in small record batches: the task holds few pages at a time, however many it sends."""
+def record_batches(rows: Iterable[dict | list[dict]], most: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Attempts in small record batches: the task holds few pages at a time, however many it sends. Those
+    that come as a list stay together."""
     held, chars = [], 0
     for row in rows:
-        held.append(row)
-        chars += len(row.get("response_body") or "")
-        if len(held) >= BATCH_ROWS or chars >= BATCH_CHARS:
+        group = row if isinstance(row, list) else [row]
+        held += group
+        chars += sum(len(one.get("response_body") or "") for one in group)
+        if len(held) >= most or chars >= BATCH_CHARS:
             yield pa.RecordBatch.from_pylist(held, ARROW)
             held, chars = [], 0
     if held:
         yield pa.RecordBatch.from_pylist(held, ARROW)
 
 
-def _on_executors(requests: DataFrame, work: Callable[[dict], Iterator[dict]], in_flight: int):
+def _on_executors(
+    requests: DataFrame, work: Callable[[dict], Iterator[dict]], in_flight: int, journal: str | None = None,
+    journal_rows: int = BATCH_ROWS,
+):
     """Send from ``in_flight`` tasks, which is the cap on open requests."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[dict]:
+        sent = Journal(journal, TaskContext.get().partitionId()) if journal else None
+
+        def asked() -> Iterator[dict]:
             for batch in batches:
                 for request in batch.to_pylist():
-                    try:
-                        yield from work(request)
-                    except Exception as problem:
-                        yield crash_row(request, problem)
+                    if sent is None or not sent.has(request):
+                        yield request
+
+        def rows() -> Iterator[dict]:
+            for request in asked():
+                yield from tried(request)
 
-        yield from record_batches(rows())
+        def tried(request: dict) -> Iterator[dict]:
+            try:
+                yield from work(request)
+            except Exception as problem:
+                yield crash_row(request, problem)
+
+        if sent is None:
+            yield from record_batches(rows())
+            return
+        yield from sent.kept()
+        for group in record_batches((list(tried(request)) for request in asked()), journal_rows):
+            yield sent.write(group)
 
     return requests.repartition(in_flight).mapInArrow(run, FETCHED)
 
 
 def fetch_pages(
     requests: DataFrame, transport: Transport, policy: RetryPolicy = RetryPolicy(),
-    in_flight: int = 5,
+    in_flight: int = 5, journal: str | None = None, journal_rows: int = BATCH_ROWS,
 ) -> DataFrame:
-    """Send every request once (with retries); ``in_flight`` is the number of tasks sending."""
-    return _on_executors(requests, lambda r: send(r, transport, policy), in_flight)
+    """Send every request once (with retries); ``in_flight`` is the number of tasks sending.
+
+    ``journal`` names a shared folder for this fetch: a task that runs again takes over what it had sent
+    (``Journal``), in files of about ``journal_rows`` attempts. Read or write such a frame once.
+    """
+    return _on_executors(requests, lambda r: send(r, transport, policy), in_flight, journal, journal_rows)
 
 
 def fetch_first_pages(

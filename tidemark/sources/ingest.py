@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 from uuid import uuid4
@@ -14,10 +15,12 @@ from tidemark.operators import batches, reconcile
 from tidemark.operators.audit import attempts_to_audit, raise_on_failed, to_bronze
 from tidemark.operators.select import BATCH
 from tidemark.operators.sinks import Store
+from tidemark.session import shared_folder
 from tidemark.sources.fetch import (
     NEXT_LINKS, RetryPolicy, Transport, fan_out, fetch_first_pages, fetch_pages, follow_cursor,
     plan_pages, seed, with_parameters,
 )
+from tidemark.sources.tables import remove_folder
 
 FETCHED_TABLE, AUDIT_TABLE, FAILED_TABLE = "_fetched", "audit", "failed_requests"
 
@@ -33,6 +36,16 @@ def land(store: Store, fetched: DataFrame, batch_id: str, step: str) -> DataFram
     return landed(store, batch_id).where(F.col("_step") == step)
 
 
+@contextmanager
+def journal(store: Store, batch_id: str) -> Iterator[str]:
+    """A folder for the journal of one fetch, deleted when its attempts have landed, or have not."""
+    folder = f"{shared_folder(store.spark)}/tidemark-journal/{batch_id}-{uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        remove_folder(store.spark, folder)
+
+
 def landed(store: Store, batch_id: str) -> DataFrame:
     return store.read(FETCHED_TABLE).where(F.col(BATCH) == batch_id)
 
@@ -112,7 +125,8 @@ def ingest_paged(
         good.select(*[c for c in seeds.columns if c != "page_no"], total.alias("total_count")),
         step, modified_since=modified_since, request="request_body",
     ).select(*seeds.columns)
-    land(store, fetch_pages(planned, transport, policy, in_flight), batch_id, "rest")
+    with journal(store, batch_id) as folder:
+        land(store, fetch_pages(planned, transport, policy, in_flight, folder), batch_id, "rest")
     attempts = landed(store, batch_id)
     return flush(store, attempts, batch_id, bronze, records_path=records_path, total_path=total_path, **how)
 
@@ -124,6 +138,7 @@ def ingest_keys(
 ) -> dict[str, int]:
     """One request per key; the key stays with the page it brought in."""
     requests = fan_out(keys, url_template, source)
-    attempts = land(store, fetch_pages(requests, transport, policy, in_flight), batch_id, source)
+    with journal(store, batch_id) as folder:
+        attempts = land(store, fetch_pages(requests, transport, policy, in_flight, folder), batch_id, source)
     opts = {"keep_failures": True, "key": key, **how}
     return flush(store, attempts, batch_id, {source: table}, **opts)
