@@ -1,3 +1,5 @@
+from uuid import uuid4
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +188,41 @@ def test_names_must_not_meet(spark):
     assert len(pivot.field_names(many)) == 6000  # no number of fields is cut or refused
 
 
+def jobs_of(spark, build):
+    """What ``build`` returns and the jobs it ran."""
+    group = uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        return build(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_noted_map_needs_no_job(spark, tmp_path):
+    """The note survives Parquet and the join with properties; all 6,000 fields become columns."""
+    many = spark.range(6000).select(F.col("id").cast("string").alias("property_id"), F.concat(F.lit("f "), "id").alias("crm_field"))
+    pivot.with_fields(many).write.parquet(str(tmp_path / "map"))
+    mapping = spark.read.parquet(str(tmp_path / "map"))
+    assert len(pivot.noted_fields(mapping)) == 6000 and pivot.noted_fields(many) is None
+    odd = 'x"\n\u0001é\U0001f600\\'
+    long = spark.createDataFrame([("s", "17", "t", "a"), ("s", "17", "t", "b"), ("s", "5999", "t", odd), ("r", "3", "t", None), ("q", "3", "t", "")], "ship string, property_id string, title string, value string")
+    wide, ran = jobs_of(spark, lambda: pivot.pivot_max(pivot.map_properties(long, mapping), "ship", "crm_field", "value"))
+    assert ran == 0 and len(wide.columns) == 6001
+    got = {r.ship: {k: v for k, v in r.asDict().items() if v is not None and k != "ship"} for r in wide.collect()}
+    assert got == {"s": {"f_17": "b", "f_5999": odd}, "r": {}, "q": {"f_3": ""}}
+    _, ran = jobs_of(spark, lambda: pivot.pivot_max(pivot.map_properties(long, many), "ship", "crm_field", "value"))
+    assert ran > 0  # without a note the names are looked up
+
+
+def test_pivot_of_numbers_and_missing_fields(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 3), ("a", None, 9), (None, "y", 2), ("b", None, 5)], "k string, f string, v int")
+    got = pivot.pivot_max(df, "k", "f", "v", ["x", "y"])
+    assert got.schema["x"].dataType.typeName() == "integer"
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", 3, None), ("b", None, None), (None, None, 2)]
+    empty = pivot.pivot_max(df.limit(0), "k", "f", "v", ["x"])
+    assert empty.columns == ["k", "x"] and empty.count() == 0
+
+
 # -- audit ---------------------------------------------------------------------------------------
 
 

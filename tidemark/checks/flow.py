@@ -140,10 +140,11 @@ def property_pages(t: Tables) -> DataFrame:
 
 
 def property_map(t: Tables) -> DataFrame:
-    return t.nation.select(
+    mapping = t.nation.select(
         F.col("n_nationkey").cast("string").alias("property_id"),
         F.regexp_replace("n_name", "_", " no. ").alias("crm_field"),
     )
+    return pivot.with_fields(mapping, [f"NATION no. {i}" for i in range(25)])
 
 
 LONG_SQL = """

@@ -7,9 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.dates import iso_ts
 
+#: Under this name the schema of a property map lists its field names.
+FIELDS = "fields"
+
 
 def clean_name(name: str) -> str:
     return re.sub(r"[^a-zA-Z0-9_]", "_", name).strip("_")
@@ -39,11 +43,35 @@ def map_properties(
 
 def field_names(df: DataFrame, field: str = "crm_field") -> list[str]:
     """The distinct field names, sorted: they become columns, so there are as many as the property map
-    names and all of them are kept."""
+    names and all of them are kept. This runs a job."""
     found = df.select(field).distinct().where(F.col(field).isNotNull()).collect()
     return sorted(row[0] for row in found)
 
 
+def with_fields(
+    mapping: DataFrame, fields: Sequence[str] | None = None, field: str = "crm_field"
+) -> DataFrame:
+    """The property map with its field names noted in the schema, beside the column that holds them.
+
+    Parquet keeps the note, so it is made once, when the map is written, and a pivot over the map read
+    back knows its columns without looking at a row. Names are read from the map unless given.
+    """
+    names = field_names(mapping, field) if fields is None else list(fields)
+    noted = F.col(field).alias(field, metadata={FIELDS: names})
+    return mapping.select(*[noted if c == field else F.col(f"`{c}`") for c in mapping.columns])
+
+
+def noted_fields(df: DataFrame, field: str = "crm_field") -> list[str] | None:
+    """The field names the schema lists; None if it lists none."""
+    return df.schema[field].metadata.get(FIELDS)
+
+
+def _fields(df: DataFrame, field: str, fields: Sequence[str] | None) -> list[str]:
+    if fields is None:
+        fields = noted_fields(df, field)
+    return field_names(df, field) if fields is None else list(fields)
+
+
 def _clean_fields(fields: Sequence[str]) -> list[str]:
     return _checked([clean_name(f) for f in fields], fields)
 
@@ -52,9 +80,45 @@ def pivot_max(
     df: DataFrame, key: str, field: str, value: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per key, one column per field, holding the greatest value."""
-    fields = field_names(df, field) if fields is None else list(fields)
-    wide = df.groupBy(key).pivot(field, fields).agg(F.max(value))
-    return wide.toDF(key, *_clean_fields(fields))
+    fields = _fields(df, field, fields)
+    return shape(pivot_map(df, key, field, value), key, fields)
+
+
+def pivot_map(
+    df: DataFrame, key: str, field: str, value: str, meta: dict[str, Column] | None = None
+) -> DataFrame:
+    """One row per key with the map ``_values`` from field to greatest value, and maxima of ``meta``.
+
+    No list of fields is needed. Properties are first folded to one row per key and field, combined
+    before the shuffle, so a key with a third of all properties is small by the time its row is put
+    together. A property without a field keeps its key and adds no entry, nor does one without a value.
+    """
+    meta = meta or {}
+    cells = df.groupBy(key, field).agg(
+        F.max(value).alias("_value"), *[c.alias(n) for n, c in meta.items()]
+    )
+    some = F.col(field).isNotNull() & F.col("_value").isNotNull()
+    entry = F.when(some, F.struct(F.col(field).alias("field"), F.col("_value").alias("value")))
+    return cells.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_values"),
+        *[F.max(n).alias(n) for n in meta],
+    )
+
+
+def shape(df: DataFrame, key: str, fields: Sequence[str], *others: Column | str) -> DataFrame:
+    """The key, one column per field out of ``_values``, then ``others``.
+
+    Text values pass through JSON, which finds all members of a row in one pass, as a map looks each
+    of thousands of fields up from its start.
+    """
+    kind = df.schema["_values"].dataType.valueType
+    if isinstance(kind, T.StringType):
+        schema = T.StructType([T.StructField(f, kind) for f in fields])
+        values = F.from_json(F.to_json("_values"), schema, {"columnNameOfCorruptRecord": "\0"})
+        df = df.withColumn("_values", values)
+    clean = _clean_fields(fields)
+    columns = [F.col("_values").getItem(f).alias(n) for f, n in zip(fields, clean)]
+    return df.select(key, *columns, *others)
 
 
 def _meta_columns() -> dict[str, Column]:
@@ -86,20 +150,8 @@ def attach_meta(pivoted: DataFrame, meta: DataFrame, key: str) -> DataFrame:
 def pivot_with_meta(
     df: DataFrame, key: str, field: str, value: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """The pivot and its per-key metadata from one pass over the properties.
-
-    They are first folded to one row per key and field, combined before the shuffle, so a key with a
-    third of all properties is small by the time its row is put together, and the per-field
-    comparisons run over those few rows only.
-    """
-    fields = field_names(df, field) if fields is None else list(fields)
+    """The pivot and its per-key metadata from one pass over the properties."""
+    fields = _fields(df, field, fields)
     meta = _meta_columns()
-    cells = df.groupBy(key, field).agg(
-        F.max(value).alias("_value"), *[c.alias(n) for n, c in meta.items()]
-    )
-    columns = [
-        F.max(F.when(F.col(field) == f, F.col("_value"))).alias(n)
-        for f, n in zip(fields, _clean_fields(fields))
-    ]
-    wide = cells.groupBy(key).agg(*columns, *[F.max(n).alias(n) for n in meta])
-    return wide.select(key, *_clean_fields(fields), *[_final_meta(n) for n in meta])
+    folded = pivot_map(df, key, field, value, meta)
+    return shape(folded, key, fields, *[_final_meta(n) for n in meta])

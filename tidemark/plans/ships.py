@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import iso_ts
 from tidemark.functions.json import strings, struct_of
 from tidemark.operators.nested import explode_parsed, page_records, parse_object, stamp
-from tidemark.operators.pivot import map_properties, pivot_with_meta
+from tidemark.operators.pivot import map_properties, noted_fields, pivot_with_meta
 from tidemark.operators.select import BATCH
 from tidemark.operators.staging import staged
 
@@ -59,11 +59,11 @@ def ship_properties(
 ) -> DataFrame:
     """One row per ship, one column per mapped field.
 
-    ``mapping`` (property_id, crm_field) names the columns; those that occur become columns unless
-    ``fields`` fixes the list. Without it the list has to be looked up first, so the parsed
-    properties are staged rather than parsed twice.
+    ``mapping`` (property_id, crm_field) names the columns: all that ``fields`` or the map's own schema
+    (``pivot.with_fields``) lists. Where neither does, those that occur become columns; the list has to
+    be looked up first, so the parsed properties are staged rather than parsed twice.
     """
     base = map_properties(ship_properties_long(pages), mapping)
-    if fields is None:
+    if fields is None and noted_fields(mapping) is None:
         base = staged(base)
     return stamp(pivot_with_meta(base, "shipImoNr", "crm_field", "value", fields), load_ts)
