@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import pivot
 from tidemark.operators.sinks import Store
 from tidemark.plans import accounts, contracts, employees, normalise, offhires, ships, vessels
 from tidemark.plans.contract_fields import lines as header_lines
@@ -137,6 +138,8 @@ def test_ship_properties(spark):
     got = ships.ship_properties(pages(spark, doc), mapping, load_ts=load())
     assert got.columns[:2] == ["shipImoNr", "a_b"] and "c" not in got.columns
     assert ships.ship_properties(pages(spark, doc), mapping, ["a b", "c"]).first().c is None
+    noted = ships.ship_properties(pages(spark, doc), pivot.with_fields(mapping), load_ts=load())
+    assert noted.drop("c").collect() == got.collect() and noted.first().c is None
 
 
 COUNTRY = "flag string, mapped_flag string"

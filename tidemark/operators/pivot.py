@@ -115,10 +115,10 @@ def shape(df: DataFrame, key: str, fields: Sequence[str], *others: Column | str)
     if isinstance(kind, T.StringType):
         schema = T.StructType([T.StructField(f, kind) for f in fields])
         values = F.from_json(F.to_json("_values"), schema, {"columnNameOfCorruptRecord": "\0"})
-        df = df.withColumn("_values", values)
-    clean = _clean_fields(fields)
-    columns = [F.col("_values").getItem(f).alias(n) for f, n in zip(fields, clean)]
-    return df.select(key, *columns, *others)
+        wide = df.withColumn("_values", values).select(key, "_values.*", *others)
+    else:
+        wide = df.select(key, *[F.col("_values").getItem(f).alias(f) for f in fields], *others)
+    return wide.toDF(key, *_clean_fields(fields), *wide.columns[1 + len(fields):])
 
 
 def _meta_columns() -> dict[str, Column]:
