@@ -367,7 +367,7 @@ def test_quality_edges(spark, make):
 # -- language-model scores -----------------------------------------------------------------------
 
 
-def plain_scores(rows, held):
+def plain_counts(rows, held):
     one, two, three, docs = Counter(), Counter(), Counter(), 0
     tokens = [((t or "").encode().lower().split() + [b"\n"], h) for (_, t), h in zip(rows, held)]
     for w, h in tokens:
@@ -377,33 +377,57 @@ def plain_scores(rows, held):
             one[x] += 1
             two[b, x] += 1
             three[a, b, x] += 1
-    n, v, out = sum(one.values()), len(one), []
-    for w, _ in tokens:
+    return tokens, one, two, three, docs
+
+
+def plain_scores(counts, prior_2, prior_3):
+    """Per document the contract's figures and the score; and what training tokens score without themselves."""
+    tokens, one, two, three, docs = counts
+    n, v, out, fit = sum(one.values()), len(one), [], 0.0
+    for w, held in tokens:
         base = full = 0.0
         for k, x in enumerate(w):
             b, a = w[k - 1] if k else 0, w[k - 2] if k > 1 else 0
-            p1 = (one[x] + 0.1) / (n + 0.1 * (v + 1))
-            p2 = (two[b, x] + ngrams.PRIOR_2 * p1) / ((one[b] if k else docs) + ngrams.PRIOR_2)
-            p3 = (three[a, b, x] + ngrams.PRIOR_3 * p2) / ((two[a, b] if k else docs) + ngrams.PRIOR_3)
-            base, full = base + math.log10(p1), full + math.log10(p3)
+            for own in (0, 1) if not held else (0,):
+                p1 = (one[x] - own + 0.1) / (n - own + 0.1 * (v + 1))
+                p2 = (two[b, x] - own + prior_2 * p1) / ((one[b] if k else docs) - own + prior_2)
+                p3 = (three[a, b, x] - own + prior_3 * p2) / ((two[a, b] if k else docs) - own + prior_3)
+                if own:
+                    fit += math.log10(p3)
+                else:
+                    base, full = base + math.log10(p1), full + math.log10(p3)
         out.append((len(w), sum(one[x] > 0 for x in w), n, base, full))
-    return out
+    return out, fit
 
 
-def test_scores_match_brute_force(make, prose):
+def scored_rows(prose, twice):
     rng = random.Random(2)
-    pool = [prose(12) for _ in range(20)]
-    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randint(0, 30)))) for i in range(120)] + [(500, None), (501, "The the THE")]
+    pool = [prose(12) for _ in range(20 if twice else 400)]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randint(0, 30)))) for i in range(120)]
+    return rows + [(500, None), (501, "The the THE")]
+
+
+@pytest.mark.parametrize("twice", [True, False])
+def test_scores_and_priors_match_brute_force(make, prose, twice):
+    """Among all pairs the weights are those with the likeliest training tokens, each without itself."""
+    rows = scored_rows(prose, twice)
     held = [zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
-    want = {i: w for (i, _), w in zip(rows, plain_scores(rows, held))}
+    counts = plain_counts(rows, held)
+    best = max(ngrams.PRIORS, key=lambda pair: plain_scores(counts, *pair)[1])
+    want = {i: w for (i, _), w in zip(rows, plain_scores(counts, *best)[0])}
     got = ngrams.score_documents(make(rows), held_out("doc_id", 10), block_bytes=4000, shard_bytes=3000).collect()
-    assert len(got) == len(rows)
+    assert len(got) == len(rows) and {(r.prior_2, r.prior_3) for r in got} == {best}
     for r in got:
         n, known, total, base, full = want[r.doc_id]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(full, rel=0.03)
 
 
+def test_score_columns_stand_in_their_order(make):
+    names = ngrams.score_documents(make([(1, "a b")]), held_out("doc_id", 10)).columns
+    assert names[:7] == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+
 def test_score_edges(make):
     got = ngrams.score_documents(make(ODD), held_out("doc_id", 10)).collect()
     assert len(got) == len(ODD) and {r.n_tokens for r in got if r.doc_id in (1, 2, 3)} == {1} and all(r.score < 0 for r in got)

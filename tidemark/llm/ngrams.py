@@ -20,8 +20,10 @@ from tidemark.llm.common import mixed, sliced, staged, word_hashes, word_tokens
 BLOCK_BYTES, SHARD_BYTES, LEAST_SHARDS = 6 << 20, 4 << 20, 8
 #: Bits of an n-gram's key, and of the word before it relative to that n-gram.
 KEY_BITS, LEFT_BITS = 48, 24
-#: Words of a prior sample that the next shorter context is worth.
-PRIOR_2, PRIOR_3 = 2_000.0, 200.0
+#: Words of a prior sample that the next shorter context may be worth, to two and to three words: the
+#: pair is chosen under which training rows are likeliest, each token scored without its own occurrence.
+PRIORS_2, PRIORS_3 = (20.0, 200.0, 2_000.0), (0.5, 2.0, 20.0, 200.0)
+PRIORS = tuple((two, three) for two in PRIORS_2 for three in PRIORS_3)
 START, END = np.uint64(0x5BD1E995A5A5A5A5), np.uint64(0x27D4EB2F165667C5)
 BLOCK, WORDS, GRAMS = 0, 1, 2
 LAYOUT = "block bigint, kind int, shard int, n bigint, data binary"
@@ -296,7 +298,7 @@ def answer_grams(rows: list[list[np.ndarray]]) -> list[bytes]:
 
 
 def answer(key: tuple, group: pa.Table) -> pa.Table:
-    kind, shard = key[0].as_py(), key[1].as_py()
+    kind, shard = (k.as_py() for k in key)
     rows = [unpack(d.as_py()) for d in group["data"]]
     data, distinct = answer_words(rows) if kind == WORDS else (answer_grams(rows), 0)
     blocks = group["block"].to_pylist()
@@ -307,8 +309,20 @@ def answer(key: tuple, group: pa.Table) -> pa.Table:
     })
 
 
+def likelihoods(one: np.ndarray, two: np.ndarray, three: np.ndarray, history: np.ndarray, longer: np.ndarray) -> Iterator[np.ndarray]:
+    """Per pair of ``PRIORS`` the log10 probability of each token, from its probability as a word and the
+    counts of its two- and three-word grams and of their contexts."""
+    two, three = np.minimum(two, history), np.minimum(three, longer)
+    for prior_2 in PRIORS_2:
+        by_two = (two + prior_2 * one) / (history + prior_2)
+        for prior_3 in PRIORS_3:
+            yield np.log10((three + prior_3 * by_two) / (longer + prior_3))
+
+
 def score_block(tables: list[tuple[int, int, bytes]], tokens: int, distinct: int, documents: int) -> dict[str, np.ndarray]:
-    """Scores of a block's documents from its own row and the shards' answers."""
+    """Scores of a block's documents under each pair of priors, from its own row and the shards' answers.
+    ``fit`` is the same for training documents with every token's own occurrence taken out of the counts,
+    0 for held-out ones."""
     parts: dict[int, list] = {BLOCK: [], WORDS: [], GRAMS: []}
     for kind, shard, data in sorted(tables, key=lambda r: r[:2]):
         parts[kind].append(data)
@@ -323,13 +337,20 @@ def score_block(tables: list[tuple[int, int, bytes]], tokens: int, distinct: int
     first = offsets[:-1] + np.arange(len(ids))
     history, longer = np.roll(count, 1), np.roll(two, 1)
     history[first] = longer[first] = documents
-    one = (count + 0.1) / (tokens + 0.1 * (distinct + 1))
-    by_two = (np.minimum(two, history) + PRIOR_2 * one) / (history + PRIOR_2)
-    by_three = (np.minimum(three, longer) + PRIOR_3 * by_two) / (longer + PRIOR_3)
+    total = tokens + 0.1 * (distinct + 1)
+    one = (count + 0.1) / total
     add = lambda x: np.add.reduceat(x, first)
+    scores = np.stack([add(x) for x in likelihoods(one, two, three, history, longer)], axis=1)
+    own = np.flatnonzero(~held[doc])
+    less = lambda x: np.maximum(x[own] - 1, 0)
+    fit, sums = np.zeros_like(scores), np.zeros(len(word))
+    if len(own):
+        for k, x in enumerate(likelihoods((less(count) + 0.1) / max(total - 1, 0.1), less(two), less(three), less(history), less(longer))):
+            sums[own] = x
+            fit[:, k] = add(sums)
     return {
         "doc_id": np.ma.array(ids, mask=null), "held_out": held, "n_tokens": np.diff(offsets) + 1,
-        "n_known": add((count > 0).astype(np.int64)), "base_score": add(np.log10(one)), "score": add(np.log10(by_three)),
+        "n_known": add((count > 0).astype(np.int64)), "base_score": add(np.log10(one)), "scores": scores, "fit": fit,
     }
 
 
@@ -339,8 +360,9 @@ def score_documents(docs: DataFrame, held: Column, doc_id: str = "doc_id", text:
 
     Tokens are the words between ASCII white space, A-Z in lower case, then one end. The model learns
     from all rows where ``held`` is false. Each context length is mixed with the next shorter one as a
-    prior of fixed weight, so probabilities of all words sum to one up to the quantisation of counts
-    over 127. Blocks of documents send their distinct words and n-grams, with counts, to the shard that
+    prior of one weight, so probabilities of all words sum to one up to the quantisation of counts
+    over 127. The weights are the pair of ``PRIORS`` under which all training tokens are likeliest when
+    each is scored without its own occurrence (the first of equal pairs). Blocks of documents send their distinct words and n-grams, with counts, to the shard that
     owns each key; a shard adds the counts, builds its part of the trie and answers every block, so a
     frequent n-gram costs one entry per block, and no key, model or count table is ever whole in one
     place. Shards and blocks grow in number, not in size. Keys are hashes: of 48 bits for n-grams,
@@ -359,8 +381,14 @@ def score_documents(docs: DataFrame, held: Column, doc_id: str = "doc_id", text:
     def score(group: pa.Table) -> pa.Table:
         got = score_block(list(zip(group["kind"].to_pylist(), group["shard"].to_pylist(), (d.as_py() for d in group["data"]))), tokens, distinct, documents)
         ids = got.pop("doc_id")
-        return pa.table({"doc_id": pa.array(ids.data, pa.int64(), mask=np.asarray(np.ma.getmaskarray(ids))), **{k: pa.array(v) for k, v in got.items()}})
+        lists = {k: pa.FixedSizeListArray.from_arrays(pa.array(got.pop(k).ravel()), len(PRIORS)).cast(pa.list_(pa.float64())) for k in ("scores", "fit")}
+        return pa.table({"doc_id": pa.array(ids.data, pa.int64(), mask=np.asarray(np.ma.getmaskarray(ids))), **{k: pa.array(v) for k, v in got.items()}, **lists})
 
     together = blocks.unionByName(answers.where("block >= 0"))
-    scored = together.groupBy("block").applyInArrow(score, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
-    return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
+    scored = staged(together.groupBy("block").applyInArrow(score, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, scores array<double>, fit array<double>"))
+    fits = scored.agg(*[F.sum(F.col("fit")[k]) for k in range(len(PRIORS))]).first()
+    best = max(range(len(PRIORS)), key=lambda k: fits[k] or 0.0)
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score",
+        F.col("scores")[best].alias("score"), F.lit(PRIORS[best][0]).alias("prior_2"), F.lit(PRIORS[best][1]).alias("prior_3"),
+    )
