@@ -428,6 +428,16 @@ def test_score_columns_stand_in_their_order(make):
     assert names[:7] == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 
+def test_shards_are_dealt_evenly(make, prose):
+    """Every task answers at most ``TASK_SHARDS`` shards, and no exchange comes after the deal."""
+    blocks = ngrams.make_blocks(make([(i, prose(40)) for i in range(50)]).withColumn("held_out", F.lit(False)), 2000)
+    asked = ngrams.key_rows(blocks, 30).withColumn("task", F.expr(f"shard div {ngrams.TASK_SHARDS}").cast("int")).repartitionById(8, "task")
+    plan = asked.groupBy("task", "kind", "shard").applyInArrow(ngrams.answer, ngrams.LAYOUT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2  # the deal, and the fixture's own
+    seen = asked.select(F.spark_partition_id().alias("at"), "shard").distinct().groupBy("at").count().collect()
+    assert len(seen) == 8 and max(r["count"] for r in seen) <= ngrams.TASK_SHARDS
+
+
 def test_score_edges(make):
     got = ngrams.score_documents(make(ODD), held_out("doc_id", 10)).collect()
     assert len(got) == len(ODD) and {r.n_tokens for r in got if r.doc_id in (1, 2, 3)} == {1} and all(r.score < 0 for r in got)

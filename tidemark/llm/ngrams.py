@@ -24,6 +24,8 @@ KEY_BITS, LEFT_BITS = 48, 24
 #: pair is chosen under which training rows are likeliest, each token scored without its own occurrence.
 PRIORS_2, PRIORS_3 = (20.0, 200.0, 2_000.0), (0.5, 2.0, 20.0, 200.0)
 PRIORS = tuple((two, three) for two in PRIORS_2 for three in PRIORS_3)
+#: Shards answered by one task, one after the other.
+TASK_SHARDS = 4
 START, END = np.uint64(0x5BD1E995A5A5A5A5), np.uint64(0x27D4EB2F165667C5)
 BLOCK, WORDS, GRAMS = 0, 1, 2
 LAYOUT = "block bigint, kind int, shard int, n bigint, data binary"
@@ -298,7 +300,7 @@ def answer_grams(rows: list[list[np.ndarray]]) -> list[bytes]:
 
 
 def answer(key: tuple, group: pa.Table) -> pa.Table:
-    kind, shard = (k.as_py() for k in key)
+    _, kind, shard = (k.as_py() for k in key)
     rows = [unpack(d.as_py()) for d in group["data"]]
     data, distinct = answer_words(rows) if kind == WORDS else (answer_grams(rows), 0)
     blocks = group["block"].to_pylist()
@@ -373,7 +375,9 @@ def score_documents(docs: DataFrame, held: Column, doc_id: str = "doc_id", text:
     blocks = staged(make_blocks(rows, block_bytes))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(LEAST_SHARDS, ceil(size / shard_bytes))
-    answers = staged(key_rows(blocks, shards).groupBy("kind", "shard").applyInArrow(answer, LAYOUT))
+    asked = key_rows(blocks, shards).withColumn("task", F.expr(f"shard div {TASK_SHARDS}").cast("int"))
+    dealt = asked.repartitionById(ceil(shards / TASK_SHARDS), "task")
+    answers = staged(dealt.groupBy("task", "kind", "shard").applyInArrow(answer, LAYOUT))
     totals = blocks.agg(F.sum("n"), F.sum("shard")).first()
     tokens, documents = totals[0] or 0, totals[1] or 0
     distinct = answers.where("block < 0").agg(F.sum("n")).first()[0] or 0
