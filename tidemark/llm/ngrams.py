@@ -313,8 +313,9 @@ def answer(key: tuple, group: pa.Table) -> pa.Table:
 
 def likelihoods(one: np.ndarray, two: np.ndarray, three: np.ndarray, history: np.ndarray, longer: np.ndarray) -> Iterator[np.ndarray]:
     """Per pair of ``PRIORS`` the log10 probability of each token, from its probability as a word and the
-    counts of its two- and three-word grams and of their contexts."""
-    two, three = np.minimum(two, history), np.minimum(three, longer)
+    counts of its two- and three-word grams and of their contexts. Lowers counts above their context's in place."""
+    np.minimum(two, history, out=two)
+    np.minimum(three, longer, out=three)
     for prior_2 in PRIORS_2:
         by_two = (two + prior_2 * one) / (history + prior_2)
         for prior_3 in PRIORS_3:
@@ -336,6 +337,7 @@ def score_block(tables: list[tuple[int, int, bytes]], tokens: int, distinct: int
     told, scale = [unpack(d) for d in parts[GRAMS]], restored()
     two = scale[np.concatenate([t[0] for t in told])[key_at]]
     three = scale[np.concatenate([t[1] for t in told])[pair_at]]
+    del word, before, earlier, key_at, pair_at, told, at, codes, hashes, parts
     first = offsets[:-1] + np.arange(len(ids))
     history, longer = np.roll(count, 1), np.roll(two, 1)
     history[first] = longer[first] = documents
@@ -343,17 +345,17 @@ def score_block(tables: list[tuple[int, int, bytes]], tokens: int, distinct: int
     one = (count + 0.1) / total
     add = lambda x: np.add.reduceat(x, first)
     scores = np.stack([add(x) for x in likelihoods(one, two, three, history, longer)], axis=1)
-    own = np.flatnonzero(~held[doc])
-    less = lambda x: np.maximum(x[own] - 1, 0)
-    fit, sums = np.zeros_like(scores), np.zeros(len(word))
-    if len(own):
-        for k, x in enumerate(likelihoods((less(count) + 0.1) / max(total - 1, 0.1), less(two), less(three), less(history), less(longer))):
-            sums[own] = x
-            fit[:, k] = add(sums)
-    return {
+    out = {
         "doc_id": np.ma.array(ids, mask=null), "held_out": held, "n_tokens": np.diff(offsets) + 1,
-        "n_known": add((count > 0).astype(np.int64)), "base_score": add(np.log10(one)), "scores": scores, "fit": fit,
+        "n_known": add((count > 0).astype(np.int64)), "base_score": add(np.log10(one)), "scores": scores,
     }
+    own = (~held[doc]).astype(np.float64)
+    for counts in (count, two, three, history, longer):
+        counts -= own
+        np.maximum(counts, 0, out=counts)
+    one = (count + 0.1) / max(total - 1, 0.1)
+    out["fit"] = np.stack([add(x * own) for x in likelihoods(one, two, three, history, longer)], axis=1)
+    return out
 
 
 def score_documents(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
