@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.nested import explode_parsed, listed_records
+from tidemark.operators.nested import explode_parsed, listed_records, spread_records
 from tidemark.operators.select import BATCH
 
 #: Why a page is rejected ...
@@ -65,7 +65,7 @@ def checked_records(
     Columns: ``carry``, ``into`` (the parsed record, NULL if rejected), ``_reason`` (NULL if parsed),
     ``_page`` and ``_rejected`` (the text of what is rejected). Stage the frame, then take ``accepted``
     and ``rejected`` from it. As in ``page_records``, pages are only cut where they were read; records
-    and rejected pages are dealt out over all tasks before the wide parse.
+    and rejected pages are spread over tasks before the wide parse (``spread_records``).
 
     The parse is permissive and notes a text that broke it in a column of its own. A member whose value
     does not fit its type is NULL and the record stays; with ``strict`` the record is rejected.
@@ -79,7 +79,7 @@ def checked_records(
     whole = F.array(item(F.col("_whole"), _why_no_list(F.col("_whole"))))
     items = F.when(F.col("_list").isNull(), whole).otherwise(record)
     rows = explode_parsed(cut.withColumn("_items", items), ["_items"], kept, into="_item")
-    rows = rows.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = spread_records(rows, pages)
 
     wide = T.StructType.fromDDL(schema)
     wide = T.StructType([*wide.fields, T.StructField(CORRUPT, T.StringType())])
