@@ -4,9 +4,10 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import shingles
+from tidemark.llm import shingles, simhash
 
 
 def grams(text, n=5):
@@ -139,3 +140,29 @@ def test_links_of_a_cluster():
             return [label.index(x) for x in label]
 
         assert parts(found) == parts(pairs)
+
+
+def test_classes_of_fingerprints_are_candidates(make, prose):
+    """Texts that SimHash connects are compared though they meet in no band; below 0.8 they stay apart."""
+    long, other, alone = prose(3000), prose(40), prose(200)
+    docs = make([(0, long), (1, long + " end"), (2, other), (3, other + " " + prose(40)), (4, alone)])
+    found = shingles.hashed(docs, "doc_id", "text")
+    rows = shingles.shingled(found, 5).withColumn("bands", F.transform("bands", lambda b: F.xxhash64("node", b)))
+    node = {r.doc_id: r.node for r in rows.collect()}
+    classes = simhash.text_classes(docs)
+    named = {r.doc_id: r["class"] for r in found.join(classes, "x").collect()}
+    prints = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert named[0] == named[1] and len(set(named.values())) == len(set(prints.values())) == 4
+    links = lambda **how: {frozenset(r) for r in shingles.near_links(found, rows, 5, 0.8, **how).collect()}
+    assert links() == set()
+    assert links(classes=classes) == {frozenset((node[0], node[1]))}
+    same = found.select("x", F.lit(7).cast("long").alias("class"))
+    assert links(classes=same) == {frozenset((node[0], node[1]))}
+
+
+def test_stage_asks_simhash(spark, make, prose, monkeypatch):
+    asked, plain = [], simhash.text_classes
+    monkeypatch.setattr(simhash, "text_classes", lambda docs: asked.append(1) or plain(docs))
+    text = prose(80)
+    got = corpus_pipeline.near_duplicates(spark, make([(0, text), (1, text), (2, prose(80)), (3, None), (4, "")]), "")
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3] and asked

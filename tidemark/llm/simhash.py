@@ -108,6 +108,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def text_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
+    """One row per distinct text: ``x`` (its hash, as in ``hashed``) and ``class``, equal for texts that
+    fingerprints within ``radius`` bits connect, directly or in steps."""
+    marked = staged(hashed(docs, doc_id, text).select("x", fingerprint(F.col("text"), shingle).alias("fp")).groupBy("x").agg(F.min("fp").alias("fp")))
+    roots = components(near_links(marked.select("fp").distinct(), radius)).withColumnRenamed("node", "fp")
+    return marked.join(roots, "fp", "left").select("x", F.coalesce("root", "fp").alias("class"))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """The documents that stay: of each group the one with the smallest id, all columns kept.
 
