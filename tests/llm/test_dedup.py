@@ -228,6 +228,17 @@ def test_rows_equal_in_id_and_text_have_one_suffix_each(make, prose, monkeypatch
     assert seen[0].count() == 3
 
 
+def test_lists_of_places_are_as_long_as_there_are_runs(make, prose, monkeypatch):
+    """Thousands of places side by side reach Python as one run, not one entry a place."""
+    a, b, seen = prose(1500), prose(1200), []
+    rows = [(1, f"{a} x {b}"), (2, f"{b} y {a}"), (3, a), (4, a), (5, f"{a} z {a}")]
+    plain = suffixes.staged
+    monkeypatch.setattr(suffixes, "staged", lambda df: seen.append(plain(df)) or seen[-1])
+    assert all_rows(suffixes.repeated_passages(make(rows))) == brute_rows(rows, 50)
+    lists = [(df, c) for df in seen for c, kind in df.dtypes if kind.startswith("array<struct")]
+    assert lists and all(df.selectExpr(f"max(size(`{c}`))").first()[0] <= 2 for df, c in lists)
+
+
 def test_cut_keeps_the_rest():
     text = "one  two\nthree four\tfive "
     assert suffixes.cut_words(text, [{"first_word": 1, "n_words": 2}]) == "one  four\tfive "

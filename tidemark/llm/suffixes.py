@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import drop_staged, gram_hashes, sliced, staged, word_hashes, word_tokens
@@ -225,43 +226,57 @@ def count_words(text: Column) -> Column:
     return count(text)
 
 
+SIDE = ["start", "last", "source"]
+RUN = pa.struct([("start", pa.int64()), ("last", pa.int64()), ("source", pa.int64())])
+
+
+def side_by_side(places: DataFrame) -> DataFrame:
+    """Places (rank, x, start, source, removed) as one list of runs a text and ``removed``: the first and
+    last of places side by side and their least source. A repeated page of a thousand words is one run, so
+    lists stay short where a text has very many places."""
+    text = ["rank", "x", "removed"]
+    nth = F.dense_rank().over(Window.partitionBy(*text).orderBy("start"))
+    runs = places.select(*text, "start", "source", (F.col("start") - nth).alias("run")).groupBy(*text, "run")
+    runs = runs.agg(F.min("start").cast("long").alias("start"), F.max("start").cast("long").alias("last"), F.min("source").alias("source"))
+    return runs.groupBy(*text).agg(F.collect_list(F.struct(*SIDE)).alias("runs"))
+
+
 def merged(min_words: int):
-    """Passages that touch or overlap as one: list of (start, source) to list of spans."""
+    """Passages that touch or overlap as one: list of runs (start, last, source) to list of spans."""
 
     @F.arrow_udf("array<struct<first_word: bigint, n_words: bigint, source: bigint>>")
-    def spans(hits: pa.Array) -> pa.Array:
-        out = []
-        for row in hits.to_pylist():
-            if not row:
-                out.append([])
-                continue
-            start = np.array([h["start"] for h in row], np.int64)
-            source = np.array([h["source"] for h in row], np.int64)
-            order = np.argsort(start, kind="stable")
-            start, source = start[order], source[order]
-            heads = np.flatnonzero(np.concatenate(([True], np.diff(start) > min_words)))
-            ends = start[np.append(heads[1:], len(start)) - 1] + min_words
-            least = np.minimum.reduceat(source, heads)
-            out.append([{"first_word": a, "n_words": e - a, "source": s} for a, e, s in zip(start[heads].tolist(), ends.tolist(), least.tolist())])
-        return pa.array(out, pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("source", pa.int64())])))
+    def spans(runs: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+        flat = runs.flatten()
+        start, last, source = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((start, row))
+        start, last, source = start[order], last[order], source[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (np.diff(row) > 0) | (start[1:] - last[:-1] > min_words)
+        heads = np.flatnonzero(new)
+        ends = last[np.append(heads[1:], len(row))[: len(heads)] - 1] + min_words
+        least = np.minimum.reduceat(source, heads) if len(heads) else source
+        found = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in (start[heads], ends - start[heads], least)], ["first_word", "n_words", "source"])
+        offsets = np.concatenate(([0], np.cumsum(np.bincount(row[heads], minlength=len(sizes)))))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found)
 
     return spans
 
 
 def others(min_words: int):
-    """The places of a text of so many words that are not among ``starts``, as hits of source ``rank``;
-    of places side by side the first and the last, and one in every ``min_words`` between them."""
+    """The places of a text of so many words that are not in the runs ``gone``, as runs of source ``rank``."""
 
-    @F.arrow_udf("array<struct<start: int, source: bigint>>")
-    def places(starts: pa.Array, n_words: pa.Array, rank: pa.Array) -> pa.Array:
+    @F.arrow_udf("array<struct<start: bigint, last: bigint, source: bigint>>")
+    def places(gone: pa.Array, n_words: pa.Array, rank: pa.Array) -> pa.Array:
         out = []
-        for gone, n, source in zip(starts.to_pylist(), n_words.to_pylist(), rank.to_pylist()):
+        for runs, n, source in zip(gone, n_words.to_pylist(), rank.to_pylist()):
             left = np.ones(n - min_words + 1, bool)
-            left[np.array(gone or [], np.int64)] = False
+            for run in runs.as_py() or []:
+                left[run["start"] : run["last"] + 1] = False
             edge = np.flatnonzero(np.diff(np.concatenate(([False], left, [False]))))
-            runs = zip(edge[::2].tolist(), (edge[1::2] - 1).tolist())
-            out.append([{"start": s, "source": source} for a, b in runs for s in [*range(a, b, min_words), b]])
-        return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("source", pa.int64())])))
+            out.append([{"start": a, "last": b, "source": source} for a, b in zip(edge[::2].tolist(), (edge[1::2] - 1).tolist())])
+        return pa.array(out, pa.list_(RUN))
 
     return places
 
@@ -307,15 +322,15 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     drop_staged(array)
     # Neither side has a size bound: rows with texts meet the list by merging, at every size alike.
     hits = first_places(windows(rows.join(wanted.hint("merge"), ["rank", "x"]), min_words, window))
-    listed = staged(hits.groupBy("rank", "x", "removed").agg(F.collect_list(F.struct("start", "source")).alias("hits")))
+    listed = staged(side_by_side(hits))
 
     # A text with copies keeps all its places but those an earlier document holds.
     first = leads.where("several").select(F.col("lead").alias("rank"), "x", "y", "n_words")
-    held = listed.where("removed").select("rank", "x", F.col("hits.start").alias("starts"), F.array_min("hits.source").alias("source"))
+    held = listed.where("removed").select("rank", "x", F.col("runs").alias("gone"), F.array_min("runs.source").alias("source"))
     first = staged(first.join(held, ["rank", "x"], "left"))
-    kept = first.select("rank", "x", F.lit(False).alias("removed"), others(min_words)("starts", "n_words", "rank").alias("hits"))
+    kept = first.select("rank", "x", F.lit(False).alias("removed"), others(min_words)("gone", "n_words", "rank").alias("runs"))
     own = listed.join(first.select("rank", "x", F.lit(False).alias("removed")), ["rank", "x", "removed"], "left_anti")
-    parts = own.unionByName(kept).select("rank", "x", "removed", F.inline(merged(min_words)("hits")))
+    parts = own.unionByName(kept).select("rank", "x", "removed", F.inline(merged(min_words)("runs")))
 
     source = F.least(F.col("lead"), F.coalesce("source", "lead"))
     copied = copies.join(first.select("x", "y", F.col("rank").alias("lead"), "source"), ["x", "y"]).where(F.col("rank") != F.col("lead"))
