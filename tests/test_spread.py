@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tidemark.checks import registry
 from tidemark.checks.registry import few_pages, pages
 from tidemark.operators.nested import page_records
 from tidemark.plans import contracts, offhires
@@ -57,3 +58,13 @@ def test_large_pages_are_made_without_moving_their_text(spark):
     assert "StructsToJson" not in plan(moved).split("Repartition", 1)[1]
     found = [json.loads(r.Raw_data) for r in moved.collect()]
     assert len(found) == 3 and sorted(r["id"] for page in found for r in page) == list(range(500))
+
+
+def test_a_task_has_no_more_pages_as_the_table_grows(spark, monkeypatch):
+    monkeypatch.setattr(registry, "TASK_ROWS", 20, raising=False)
+    tasks = lambda n: [r[0] for r in pages(spark.range(n), F.struct("id")).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    cores = spark.sparkContext.defaultParallelism
+    for n in (20 * cores * 3, 20 * cores * 12):
+        assert sum(tasks(n)) == n and max(tasks(n)) < 2 * 20
+    assert len(tasks(10 * cores)) <= cores
+    assert sum(tasks(0)) == 0

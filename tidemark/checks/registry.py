@@ -59,9 +59,14 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of a table one task makes documents of, about.
+TASK_ROWS = 1_000_000
+
+
 def dealt(df: DataFrame) -> DataFrame:
-    """Rows of a small test table over all cores, so that building documents from them is too."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """Rows of a test table over all cores, so that building documents from them is too; over more tasks
+    if these would have more than ``TASK_ROWS`` each, so that a task does not grow with the table."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS)))
 
 
 #: Records of a large page, about.
