@@ -212,6 +212,30 @@ def test_pairs_count_once_in_the_first_shared_leaf():
     assert total.tolist() == [1, 1, 3]  # the pair (1, 2) belongs to leaf 0
 
 
+def test_leaves_dealt_in_rounds_give_the_same_links(spark, monkeypatch):
+    """The last levels and the comparisons in many rounds; no vector moves without its round."""
+    monkeypatch.setattr(vectors, "LEAF", 16)
+    monkeypatch.setattr(vectors, "BLOCK", 30)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(600, 16))
+    rows = np.concatenate((base, base[:200] + 0.05 * rng.normal(size=(200, 16)), base[3] + 0.05 * rng.normal(size=(90, 16))))
+    data = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, vectors.near_duplicates(data, trees=3, sample=100).collect()))
+    monkeypatch.setattr(vectors, "ROUND", 2_000)
+    dealt, plain = [], vectors.rounds
+    monkeypatch.setattr(vectors, "rounds", lambda leaves: (dealt.append(part.agg(F.sum("n")).first()[0] or 0) or part for part in plain(leaves)))
+    got = vectors.near_duplicates(data, trees=3, sample=100)
+    assert sorted(map(tuple, got.collect())) == want
+    assert len(dealt) > 3 and max(dealt) < 2 * 2_000
+
+
+def test_pairs_share_only_leaves_of_a_smaller_number():
+    leaves = [[1, 4, 9], [2, 4, 9], [3, 9]]
+    assert vectors.sharing(leaves, leaves, 9).tolist() == [[True, True, False], [True, True, False], [False, False, True]]
+    assert not vectors.sharing(leaves[:2], leaves[1:], 4).any(1)[0]
+    assert not vectors.sharing([[]], [[1]], 9).any()
+
+
 def test_vector_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (9, [1.0, 0.0, 0.0]), (None, [1.0, 0.0]), (10, [-1.0, 0.0])]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil, log2
 
 import numpy as np
@@ -17,6 +18,8 @@ from tidemark.llm.components import components
 
 #: Vectors a leaf should hold, vectors compared with each other in one task at most, rows of one product.
 LEAF, BLOCK, ROWS = 256, 2_048, 512
+#: Vectors of leaves, copies counted, that are dealt to their leaves at once; bounds what shuffles hold on disk.
+ROUND = 4_000_000
 #: Vectors from which a split is fitted at least, and levels by which leaves that are still large deepen at once.
 FITTED, STEP = 16, 6
 
@@ -98,6 +101,23 @@ def units_of(vectors: pa.Array) -> np.ndarray:
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 
 
+def sharing(a: list[np.ndarray], b: list[np.ndarray], leaf: int) -> np.ndarray:
+    """For rows with the leaves ``a`` and ``b`` whether two share one of a smaller number than ``leaf``."""
+    flat = [np.concatenate([np.asarray(x, np.int64) for x in rows]) for rows in (a, b)]
+    own = [np.repeat(np.arange(len(rows)), [len(x) for x in rows]) for rows in (a, b)]
+    early = np.intersect1d(*flat)
+    early, out = early[early < leaf], np.zeros((len(a), len(b)), bool)
+    for at in range(0, len(early), BLOCK):
+        part = early[at : at + BLOCK]
+        known = [np.zeros((len(rows), len(part)), np.float32) for rows in (a, b)]
+        for marks, rows, leaves in zip(known, own, flat):
+            place = np.minimum(np.searchsorted(part, leaves), len(part) - 1)
+            hit = part[place] == leaves
+            marks[rows[hit], place[hit]] = 1
+        out |= known[0] @ known[1].T > 0
+    return out
+
+
 def compare_block(a: pd.DataFrame, b: pd.DataFrame | None, leaf: int, least: float) -> tuple[list[np.ndarray], list[tuple]]:
     """Links between the rows of two blocks of one leaf (or within one block).
 
@@ -109,24 +129,14 @@ def compare_block(a: pd.DataFrame, b: pd.DataFrame | None, leaf: int, least: flo
     counts, edges = [np.zeros(len(first), np.int64), np.zeros(len(second), np.int64)], []
     times_a, times_b = first["times"].to_numpy(), second["times"].to_numpy()
     ids_a, ids_b = first["node"].to_numpy(), second["node"].to_numpy()
-    early = sorted({x for row in (*first["leaves"], *second["leaves"]) for x in row if x < leaf})
-    place = {x: i for i, x in enumerate(early)}
-
-    def shared(rows: pd.DataFrame) -> np.ndarray:
-        out = np.zeros((len(rows), len(early)), np.float32)
-        for i, row in enumerate(rows["leaves"]):
-            out[i, [place[x] for x in row if x < leaf]] = 1
-        return out
-
-    known_a, known_b = shared(first), shared(second)
     for at in range(0, len(first), ROWS):
         near = ua[at : at + ROWS] @ ub.T >= least
         if b is None:
             near &= np.arange(len(second))[None, :] > np.arange(at, at + len(near))[:, None]
         if not near.any():
             continue
-        if early:
-            near &= known_a[at : at + ROWS] @ known_b.T == 0
+        i, j = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+        near[np.ix_(i, j)] &= ~sharing([first["leaves"].iat[at + k] for k in i], [second["leaves"].iat[k] for k in j], leaf)
         counts[0][at : at + ROWS] += near @ times_b
         counts[1] += times_a[at : at + ROWS] @ near
         i, j = np.nonzero(near)
@@ -166,12 +176,14 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     length. A null id takes part with no id of its own: its component is named by the smallest other
     id, null if there is none, and it is not kept. Repeated rows link with each other. No rows give none.
     """
-    value = F.col(embedding).cast("array<double>")
+    value = F.col(embedding)
+    if rows.schema[embedding].dataType.simpleString() != "array<float>":  # floats are exact as they are
+        value = value.cast("array<double>")
     good = F.coalesce((F.size(value) > 0) & F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(value, lambda x: x != 0), F.lit(False))
     marked = rows.select(F.col(vec_id).cast("long").alias("vec_id"), value.alias("v"), good.alias("good"))
     classes = marked.where("good").groupBy("v").agg(F.count("*").alias("times"), F.min("vec_id").alias("least"))
     numbered = F.monotonically_increasing_id()  # kept by the write; no two vectors share one, as hashes might
-    classes = staged(classes.select(numbered.alias("node"), F.xxhash64("v").alias("mark"), "v", "times", "least", F.size("v").alias("width")))
+    classes = staged(classes.select(numbered.alias("node"), F.xxhash64(F.col("v").cast("array<double>")).alias("mark"), "v", "times", "least", F.size("v").alias("width")))
     widths = [(r["width"], r["n"]) for r in classes.groupBy("width").agg(F.count("*").alias("n")).collect()]
     links = []
     for width, total in widths:
@@ -182,8 +194,6 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = rows.sparkSession.createDataFrame([], "node bigint, n bigint, other bigint")
-    else:
-        found = staged(found)
     counts = found.groupBy("node").agg(F.sum("n").alias("linked"))
     roots = components(found.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")))
     told = classes.join(roots, "node", "left").select("node", "v", "times", "least", F.coalesce("root", "node").alias("root"))
@@ -196,6 +206,16 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     return both.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def rounds(leaves: DataFrame) -> Iterator[DataFrame]:
+    """Leaves (leaf, n) in parts of about ``ROUND`` vectors, one after the other. Shuffles of a part that is
+    done are let go, so that disk does not hold all leaves at once."""
+    count = ceil((leaves.agg(F.sum("n")).first()[0] or 0) / ROUND)
+    for number in range(count):
+        yield leaves.where(F.pmod(F.xxhash64("leaf"), F.lit(count)) == number)
+        if count > 1:
+            leaves.sparkSession.sparkContext._jvm.System.gc()  # Spark removes the files of shuffles nothing refers to
+
+
 def deepened(placed: DataFrame, classes: DataFrame, forest: Forest, total: int, width: int, seed: int) -> DataFrame:
     """``placed`` (node, leaves) with leaves of about ``LEAF`` vectors however many vectors there are.
 
@@ -240,13 +260,18 @@ def _deeper(each: DataFrame, large: DataFrame, classes: DataFrame, directions: n
                 row, sub = sub_leaves(units_of(b.column("v")), directions[leaf >> bits], cuts, spill)
                 yield pa.RecordBatch.from_arrays([pa.array(node[row]), pa.array((leaf[row] << STEP) + sub)], ["node", "leaf"])
 
-    rows = each.join(large, "leaf").join(classes.select("node", "mark", "v"), "node")
+    own, none = classes.select("node", "v"), F.array_repeat(F.lit(float("inf")), (1 << STEP) - 1)
     share = F.lit(1.0 * FITTED * (1 << STEP)) / F.col("n")
-    some = rows.where(F.pmod(F.xxhash64(F.lit(seed), "mark"), F.lit(1_000_003)) < F.lit(1_000_003) * share)
-    models = some.select("leaf", "n", "v").groupBy("leaf").applyInArrow(fit, "leaf bigint, cuts array<double>")
-    none = F.array_repeat(F.lit(float("inf")), (1 << STEP) - 1)
-    asked = rows.join(models, "leaf", "left").select("node", "leaf", "v", F.coalesce("cuts", none).alias("cuts"))
-    fresh = asked.mapInArrow(descend, "node bigint, leaf bigint")
+    sampled = F.pmod(F.xxhash64(F.lit(seed), "mark"), F.lit(1_000_003)) < F.lit(1_000_003) * share
+
+    def subleaves(part: DataFrame) -> DataFrame:
+        inner = each.join(part, "leaf")
+        some = inner.join(classes.select("node", "mark"), "node").where(sampled).join(own, "node")
+        models = some.select("leaf", "n", "v").groupBy("leaf").applyInArrow(fit, "leaf bigint, cuts array<double>")
+        asked = inner.join(own, "node").join(models, "leaf", "left").select("node", "leaf", "v", F.coalesce("cuts", none).alias("cuts"))
+        return staged(asked.mapInArrow(descend, "node bigint, leaf bigint"))
+
+    fresh = reduce(DataFrame.unionByName, [subleaves(part) for part in rounds(large)])
     stay = each.join(large, "leaf", "left_anti").select("node", (F.col("leaf") * (1 << STEP)).alias("leaf"))
     return fresh.unionByName(stay).groupBy("node").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
 
@@ -269,14 +294,9 @@ def _links(classes: DataFrame, total: int, least: float, trees: int, spill: floa
 
     placed = staged(classes.select("node", "v").mapInArrow(assign, "node bigint, leaves array<bigint>"))
     placed = deepened(placed, classes, forest, total, fitted.shape[1], seed)
-    sizes = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")
-    spread = placed.select("node", "leaves", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
-    # A leaf of n vectors is cut into parts of BLOCK; every pair of parts is one group of work.
-    parts = F.ceil(F.col("n") / BLOCK)
-    own = F.pmod(F.xxhash64(F.lit(seed + 1), "node"), parts)
-    work = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda o: F.struct(F.least(own, o).alias("p"), F.greatest(own, o).alias("q")))
-    dealt = spread.select("node", "leaves", "leaf", own.alias("part"), F.explode(work).alias("w"))
-    rows = dealt.join(classes.drop("mark"), "node").select("node", "leaves", "leaf", "part", "w.p", "w.q", "times", F.col("v").cast("array<double>").alias("v"))
+    # Leaves are counted and joined as numbers; vectors move once, when they are dealt to their leaves.
+    each = placed.select("node", F.explode("leaves").alias("leaf"))
+    sizes = staged(each.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1"))
 
     def compare(key: tuple, batch: pa.Table) -> pa.Table:
         leaf, p, q = (x.as_py() for x in key)
@@ -295,4 +315,19 @@ def _links(classes: DataFrame, total: int, least: float, trees: int, spill: floa
         other = pa.array([None] * int(hit.sum()) + [e[1] for e in edges], pa.int64())
         return pa.table({"node": pa.array(u, pa.int64()), "n": pa.array(np.concatenate((n[hit], np.zeros(len(edges), np.int64))), pa.int64()), "other": other})
 
-    return rows.groupBy("leaf", "p", "q").applyInArrow(compare, "node bigint, n bigint, other bigint")
+    def compared(part: DataFrame) -> DataFrame:
+        met = each.join(part, "leaf").groupBy("node").agg(F.collect_list(F.struct("leaf", "n")).alias("met"))
+        spread = met.join(placed, "node").join(classes.drop("mark"), "node").select("node", "leaves", "times", "v", F.explode("met").alias("m"))
+        spread = spread.select("node", F.filter("leaves", lambda x: x < F.col("m.leaf")).alias("leaves"), "times", "v", "m.leaf", "m.n")
+        # A leaf of n vectors is cut into parts of BLOCK; every pair of parts is one group of work.
+        parts = F.ceil(F.col("n") / BLOCK)
+        own = F.pmod(F.xxhash64(F.lit(seed + 1), "node"), parts)
+        work = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda o: F.struct(F.least(own, o).alias("p"), F.greatest(own, o).alias("q")))
+        dealt = spread.select("node", "leaves", "leaf", own.alias("part"), "times", "v", F.explode(work).alias("w"))
+        rows = dealt.select("node", "leaves", "leaf", "part", "w.p", "w.q", "times", "v")
+        return staged(rows.groupBy("leaf", "p", "q").applyInArrow(compare, "node bigint, n bigint, other bigint"))
+
+    found = [compared(part) for part in rounds(sizes)]
+    if not found:
+        return classes.limit(0).select("node", F.lit(0).cast("long").alias("n"), F.col("node").alias("other"))
+    return reduce(DataFrame.unionByName, found)
